@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from lathework.functions.columns import long_form
 
-STEPS = 1000
-ACCURACY = 10_000  # the sketch is off by at most n / ACCURACY ranks: a tenth of a grid step
+STEPS = 200
+ACCURACY = 10_000  # the sketch is off by at most n / ACCURACY ranks: a fiftieth of a grid step
 BRACKET_ROWS = 1_000_000
 
 
