@@ -373,7 +373,7 @@ class FeatureAgglomeration(VectorEstimator):
         linkage, affinity = self.get("linkage"), self.get("affinity")
         if linkage not in ("ward", "complete", "average"):
             raise ValueError("linkage is 'ward', 'complete' or 'average'")
-        if linkage == "ward" and affinity not in ("euclidean", "l2"):
+        if linkage == "ward" and affinity != "euclidean":
             raise ValueError("ward linkage goes with euclidean distance only")
         labels = merge_columns(column_distances(dataset, self.getInputCol(), affinity), self.get("n_clusters"), linkage)
         return GroupedMean(state={"labels": labels}, **shared_params(self, "inputCol", "outputCol"))
