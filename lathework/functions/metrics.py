@@ -40,8 +40,8 @@ def rmsle(y: Column, p: Column, on_invalid="inf") -> Column:
 
 
 def r2(y: Column, p: Column) -> Column:
-    """Aggregate: share of the label's variance that the prediction explains."""
-    return 1.0 - F.sum(F.pow(y - p, 2)) / (F.var_pop(y) * F.count(y))
+    """Aggregate: share of the label's variance that the prediction explains; NULL if it has none."""
+    return 1.0 - F.try_divide(F.sum(F.pow(y - p, 2)), F.var_pop(y) * F.count(y))
 
 
 def rmse(y: Column, p: Column) -> Column:

@@ -22,6 +22,8 @@ def level_counts(df: DataFrame, columns) -> DataFrame:
 
 def fitted_levels(df: DataFrame, columns, max_levels=MAX_LEVELS) -> dict[str, list[str]]:
     """Sorted levels per column; too many levels is an error, not a cut."""
+    if not columns:
+        return {}
     limit = max_levels * len(columns)
     found = level_counts(df, columns).select("column", "level").limit(limit + 1).collect()
     levels: dict[str, list[str]] = {n: [] for n in columns}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c, long_form, numeric_columns, one_row_per
@@ -139,11 +139,22 @@ def pearson_matrix(df: DataFrame, columns=None) -> DataFrame:
     return df.sparkSession.createDataFrame(out, "a string, b string, r double")
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Aggregate: Pearson correlation of rows with both values; NULL if one is constant.
+
+    The built-in aggregate divides by zero on a constant, which is an error in ANSI mode.
+    """
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def target_correlation(df: DataFrame, label: str, columns=None) -> DataFrame:
     """Correlation of every feature with the label, strongest first; one scan, JVM only."""
     names = list(columns or numeric_columns(df, exclude=(label,)))
     at = {n: f"r{i}" for i, n in enumerate(names)}
-    wide = df.agg(*[F.corr(c(n).cast("double"), c(label).cast("double")).alias(at[n]) for n in names])
+    y = c(label).cast("double")
+    wide = df.agg(*[correlation(c(n).cast("double"), y).alias(at[n]) for n in names])
     out = wide.select(one_row_per(names, r=lambda n: F.col(at[n])).alias("p")).select("p.column", "p.r")
     return out.filter(F.col("r").isNotNull() & ~F.isnan("r")).orderBy(F.desc(F.abs("r")), "column")
 

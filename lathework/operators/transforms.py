@@ -197,7 +197,7 @@ def kernel_matrix(kind: str, x: np.ndarray, y: np.ndarray, gamma=1.0, coef0=1.0,
             both = x + landmark
             if (x < 0).any() or (landmark < 0).any():
                 raise ValueError("chi2 kernels need values of zero or more")
-            apart = -(diff ** 2 / np.where(both == 0, 1, both)).sum(axis=1)
+            apart = 0.0 - (diff ** 2 / np.where(both == 0, 1, both)).sum(axis=1)
             out[:, j] = np.exp(gamma * apart) if kind == "chi2" else apart
         else:
             raise ValueError(f"kernel {kind!r} is not one of {KERNELS}")
