@@ -33,19 +33,23 @@ def align_target(features: DataFrame, target: DataFrame, key: str, check=False)
     return features.join(target, key, "inner")
 
 
-def join_statistics(df: DataFrame, stats: DataFrame, on, limit_rows=LOOKUP_ROWS) -> DataFrame:
-    """Left join of a table with one row of statistics per group.
+def broadcast_if_small(df: DataFrame, limit_rows=LOOKUP_ROWS) -> DataFrame:
+    """The same rows, marked for broadcast once their number is known to be small.
 
-    The statistics are read back at most ``limit_rows + 1`` rows deep. Up to the limit they
-    are broadcast, and the large table is not shuffled. Beyond it the join stays a shuffle
-    join on the group key, where adaptive execution splits hot groups.
+    At most ``limit_rows + 1`` rows are read. Beyond the limit the table is returned as it is:
+    the join stays a shuffle join, where adaptive execution splits hot keys.
     """
+    head = df.limit(limit_rows + 1).toArrow()
+    if head.num_rows > limit_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+
+
+def join_statistics(df: DataFrame, stats: DataFrame, on, limit_rows=LOOKUP_ROWS) -> DataFrame:
+    """Left join of a table with one row of statistics per group; small ones are broadcast,
+    so that the large table is not shuffled."""
     on = [on] if isinstance(on, str) else list(on)
-    head = stats.limit(limit_rows + 1).toArrow()
-    if head.num_rows <= limit_rows:
-        small = df.sparkSession.createDataFrame(head, schema=stats.schema)
-        return df.join(F.broadcast(small), on, "left")
-    return df.join(stats, on, "left")
+    return df.join(broadcast_if_small(stats, limit_rows), on, "left")
 
 
 def feature_union(df: DataFrame, branches, out="features") -> DataFrame:

@@ -12,13 +12,14 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c
-from lathework.operators.stages import FittedRegressor, Regressor, shared_params, text, whole
+from lathework.operators.stages import FittedRegressor, Regressor, list_matrix, shared_params, text, whole
 from lathework.session import shared_dir
 
 MAX_PIVOTS = 256
@@ -64,13 +65,14 @@ class KNNRegressor(Regressor):
         pivots = np.array([r["x"] for r in found])
         p, k = self.get("p"), self.get("n_neighbors")
 
-        @F.pandas_udf("cell int, d double")
-        def nearest(x: pd.Series) -> pd.DataFrame:
+        @F.arrow_udf("cell int, d double")
+        def nearest(x: pa.Array) -> pa.Array:
             if not len(x):
-                return pd.DataFrame({"cell": pd.Series(dtype="int32"), "d": pd.Series(dtype="float64")})
-            d = distances(np.stack(x.to_numpy()), pivots, p)
+                return pa.array([], pa.struct([("cell", pa.int32()), ("d", pa.float64())]))
+            d = distances(list_matrix(x), pivots, p)
             cell = d.argmin(axis=1)
-            return pd.DataFrame({"cell": cell.astype("int32"), "d": d[np.arange(len(d)), cell]})
+            parts = [pa.array(cell.astype("int32")), pa.array(d[np.arange(len(d)), cell])]
+            return pa.StructArray.from_arrays(parts, ["cell", "d"])
 
         path = shared_dir(rows.sparkSession, "knn")
         rows.withColumn("_n", nearest("x")).select("id", "x", "y", "_n.cell", "_n.d").write.parquet(path)
@@ -102,16 +104,17 @@ class KNNModel(FittedRegressor):
         owner = np.repeat(np.arange(len(ids)), [len(r[4]) for r in s["cells"]])
         p, k = s["p"], s["k"]
 
-        @F.pandas_udf("array<int>")
-        def cells_of(x: pd.Series) -> pd.Series:
+        @F.arrow_udf("array<int>")
+        def cells_of(x: pa.Array) -> pa.Array:
             if not len(x):
-                return pd.Series(dtype=object)
-            d = distances(np.stack(x.to_numpy()), pivots, p)[:, ids]
+                return pa.array([], pa.list_(pa.int32()))
+            d = distances(list_matrix(x), pivots, p)[:, ids]
             # A pivot's close rows bound the k-th distance; cells beyond the bound are left out.
             bound = np.partition(d[:, owner] + close[None, :], k - 1, axis=1)[:, k - 1]
             least = np.maximum(np.maximum(d - hi, lo - d), 0.0)
             keep = least <= (bound * (1 + 1e-9) + 1e-12)[:, None]
-            return pd.Series([ids[row] for row in keep], index=x.index)
+            starts = np.concatenate([[0], np.cumsum(keep.sum(axis=1))]).astype("int32")
+            return pa.ListArray.from_arrays(pa.array(starts), pa.array(ids[np.nonzero(keep)[1]]))
 
         return queries.select("id", "x", F.explode(cells_of("x")).alias("cell"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c, numeric_columns, string_columns
+from lathework.operators.combine import broadcast_if_small
 
 
 def select_columns(df: DataFrame, names) -> DataFrame:
@@ -75,8 +76,7 @@ def _patch_from_table(df: DataFrame, key: str, patches: DataFrame) -> DataFrame:
     if unknown:
         raise KeyError(f"not in the table: {unknown}")
     # Aggregates per target column avoid a pivot and keep partial aggregation on the map side.
-    # The row key is unique after this, so the join cannot multiply rows. No broadcast hint:
-    # the patch table may grow with the data, and adaptive execution sees its real size.
+    # The key is unique after this, so the join cannot multiply rows.
     last = patches.groupBy(F.col("key").alias("_patch_key")).agg(
         *[
             F.max_by(F.when(F.col("column") == n, F.col("value")),
@@ -85,7 +85,7 @@ def _patch_from_table(df: DataFrame, key: str, patches: DataFrame) -> DataFrame:
         ]
     )
     where = {n: f"_patch_{i}" for i, n in enumerate(columns)}
-    joined = df.join(last, c(key) == F.col("_patch_key"), "left")
+    joined = df.join(broadcast_if_small(last), c(key) == F.col("_patch_key"), "left")
     return joined.select(
         *[
             F.coalesce(F.col(where[n]).cast(types[n]), c(n)).alias(n) if n in where else c(n)
@@ -96,7 +96,10 @@ def _patch_from_table(df: DataFrame, key: str, patches: DataFrame) -> DataFrame:
 
 def unmatched_patches(df: DataFrame, key: str, patches: DataFrame) -> DataFrame:
     """Patches whose key is not in the table."""
-    return patches.join(df.select(c(key).alias("key")), "key", "left_anti")
+    # The table is the large side: keep only its keys that are patched before the anti join.
+    keys = patches.select("key").distinct()
+    present = df.select(c(key).alias("key")).join(broadcast_if_small(keys), "key", "left_semi").distinct()
+    return patches.join(broadcast_if_small(present), "key", "left_anti")
 
 
 def split_by_origin(df: DataFrame, labels=("train", "test"), origin="origin") -> list[DataFrame]:

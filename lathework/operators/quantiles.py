@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lathework.functions.columns import long_form
+from lathework.functions.columns import c, long_form
 
 STEPS = 200
 ACCURACY = 10_000  # the sketch is off by at most n / ACCURACY ranks: a fiftieth of a grid step
@@ -51,13 +51,21 @@ def order_statistics(df: DataFrame, columns, ranks, group=None, bracket_rows=BRA
 
     counts = {}
     brackets = {}
-    for r in rows.groupBy("grp", "feature").agg(
-        F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
-        _grid("value").alias("grid"),
+    # The first pass sees every row: one aggregate per column, nothing is exploded.
+    value = {i: F.when(~F.isnan(c(n).cast("double")), c(n).cast("double")) for i, n in enumerate(columns)}
+    by = df.groupBy(c(group).alias("grp")) if group else df.groupBy(F.lit(0).alias("grp"))
+    for r in by.agg(
+        *[
+            F.struct(F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"), _grid(v).alias("grid")).alias(f"s{i}")
+            for i, v in value.items()
+        ]
     ).collect():
-        counts[(r["grp"], r["feature"])] = r["n"]
-        for k in sorted(set(ranks(r["n"]))):
-            brackets[(r["grp"], r["feature"], k)] = _narrow(r["grid"], k, r["n"], r["lo"], r["hi"])
+        for i, name in enumerate(columns):
+            s = r[f"s{i}"]
+            if s["n"]:
+                counts[(r["grp"], name)] = s["n"]
+                for k in sorted(set(ranks(s["n"]))):
+                    brackets[(r["grp"], name, k)] = _narrow(s["grid"], k, s["n"], s["lo"], s["hi"])
     if not brackets:
         return {}
 

@@ -7,7 +7,7 @@ A fitted model keeps its numbers in one JSON-able param, so ``PipelineModel.save
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -109,15 +109,24 @@ def linear(vector: Column, coef, intercept) -> Column:
 def matrix_function(fn):
     """Arrow-batched function on the matrix of a batch of arrays."""
 
-    @F.pandas_udf("array<double>")
-    def apply(x: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<double>")
+    def apply(x: pa.Array) -> pa.Array:
         if not len(x):
             return x
-        return pd.Series(list(fn(np.stack(x.to_numpy()))), index=x.index)
+        out = np.ascontiguousarray(fn(list_matrix(x)), dtype="float64")
+        starts = np.arange(len(out) + 1, dtype="int32") * out.shape[1]
+        return pa.ListArray.from_arrays(pa.array(starts), pa.array(out.ravel()))
 
     return apply
 
 
+def list_matrix(x: pa.Array) -> np.ndarray:
+    """Rows of an Arrow list array as a matrix, without a copy."""
+    if x.null_count:
+        raise ValueError("a row has no vector")
+    return x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+
+
 def shared_params(stage, *names) -> dict:
     return {n: stage.getOrDefault(n) for n in names}
 

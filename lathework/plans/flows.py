@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c, numeric_columns
-from lathework.operators.combine import concat_tables
+from lathework.operators.combine import broadcast_if_small, concat_tables
 from lathework.operators.encode import Dummies, assemble
 from lathework.operators.famd import MixedFactors, famd_fit
 from lathework.operators.generate import Evolved, evolve_features
@@ -91,8 +91,7 @@ def train_valid_test_bundle(train: DataFrame, test: DataFrame, key: str, target:
     scored = LinearBaseline().fit(data).transform(data)
     outliers = outlier_rows(scored, F.col("label") - F.col("prediction"), sigma).select(c(key), "label", "prediction", "z")
     if remove_outliers:
-        # Few rows by construction, but no bound is proven: adaptive execution picks the join.
-        labelled = labelled.join(outliers.select(c(key)), key, "left_anti")
+        labelled = labelled.join(broadcast_if_small(outliers.select(c(key))), key, "left_anti")
     train_rows, valid_rows = train_valid_split(labelled, key, valid_percent)
     xs = [drop_cols(train_rows, ["label"]), drop_cols(valid_rows, ["label"]), test_x]
     if zero_cut is not None:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lathework.functions.columns import c
 from lathework.functions.metrics import METRICS
+from lathework.operators.combine import broadcast_if_small
 from lathework.operators.resample import fold_column
 from lathework.operators.trees import in_parallel
 from lathework.plans.space import build, cand_id, complexity, draw_spec, draw_step, param_space, reject, spec_text
@@ -264,4 +265,4 @@ def pareto_front(df: DataFrame, low: str, high: str, slices=256) -> DataFrame:
     limit = F.greatest(inside, earlier)
     kept = placed.withColumn("_limit", limit).filter(F.col("_limit").isNull() | (F.col("_high") > F.col("_limit")))
     match = (c(low) == F.col("_low")) & (c(high) == F.col("_high"))
-    return df.join(kept.select("_low", "_high"), match, "left_semi")
+    return df.join(broadcast_if_small(kept.select("_low", "_high")), match, "left_semi")
