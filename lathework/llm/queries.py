@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lathework.llm import exact_dedup, mixing, packing
+from lathework.llm import exact_dedup, mixing, near_join, packing
 from lathework.llm.registry import query
 from lathework.plans.registry import table
 
@@ -35,6 +35,11 @@ def op4(spark, folder):
     )
 
 
+@query("op8_near_join")
+def op8(spark, folder):
+    return near_join.near_duplicates(table(spark, folder, "documents"))
+
+
 OP9_SQL = """
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
