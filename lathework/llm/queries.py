@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lathework.llm import exact_dedup, mixing, near_join, packing
+from lathework.llm import exact_dedup, mixing, near_join, packing, suffix_dedup
 from lathework.llm.registry import query
 from lathework.plans.registry import table
 
@@ -35,6 +35,15 @@ def op4(spark, folder):
     )
 
 
+@query("op5_suffix_dedup")
+def op5(spark, folder):
+    found = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op8_near_join")
 def op8(spark, folder):
     return near_join.near_duplicates(table(spark, folder, "documents"))
