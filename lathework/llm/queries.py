@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lathework.llm import exact_dedup, mixing, near_join, packing, suffix_dedup
+from lathework.llm import exact_dedup, merkle, mixing, near_join, packing, suffix_dedup
 from lathework.llm.registry import query
 from lathework.plans.registry import table
 
@@ -44,6 +44,48 @@ def op5(spark, folder):
     )
 
 
+OP7_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (
+  SELECT doc_id, text, length(text)::BIGINT AS n,
+         coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS nxt
+  FROM d),
+e AS (SELECT *, concat(substr(text, 1, n - n // 2), substr(nxt, 1, n // 2)) AS edited FROM n),
+t AS (
+  SELECT doc_id, n, edited,
+    list_transform([text, edited, nxt], lambda v: list_transform(string_split(v, chr(10) || chr(10)),
+      lambda s: list_transform(string_split(s, chr(10)),
+        lambda p: array_to_string(list_transform(
+          regexp_extract_all(p, '(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){1,4}|[\x20\x09-\x0D]+\z'),
+          lambda x: substr(md5(x), 1, 8)), '')))) AS trees
+  FROM e),
+b AS (
+  SELECT doc_id, n, edited,
+    list_transform(trees, lambda t: list_distinct(regexp_extract_all(array_to_string(flatten(t), ''), '.{8}'))) AS sets,
+    list_transform(trees, lambda t: list_transform(t, lambda s: {
+      'h': substr(md5(array_to_string(list_transform(s, lambda p: substr(md5(p), 1, 8)), '')), 1, 16),
+      'p': array_to_string(list_transform(s, lambda p: concat(substr(md5(p), 1, 8), '.', p)), ',')})) AS branches
+  FROM t),
+f AS (
+  SELECT doc_id, n, edited, sets,
+    list_transform(branches, lambda b: concat(md5(array_to_string(list_transform(b, lambda s: s.h), '')), ':',
+      array_to_string(list_transform(b, lambda s: concat(s.h, '=', s.p)), ';'))) AS prints
+  FROM b)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, prints[1] AS fingerprint, prints[2] AS edited_fingerprint,
+  CASE WHEN len(sets[1]) + len(sets[2]) = 0 THEN 1.0::DOUBLE
+       ELSE 2.0::DOUBLE * len(list_intersect(sets[1], sets[2])) / (len(sets[1]) + len(sets[2])) END AS near_edited,
+  CASE WHEN len(sets[1]) + len(sets[3]) = 0 THEN 1.0::DOUBLE
+       ELSE 2.0::DOUBLE * len(list_intersect(sets[1], sets[3])) / (len(sets[1]) + len(sets[3])) END AS near_next
+FROM f
+"""
+
+
+@query("op7_merkle", OP7_SQL)
+def op7(spark, folder):
+    found = merkle.edit_likeness(table(spark, folder, "documents"))
+    return found.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
 @query("op8_near_join")
 def op8(spark, folder):
     return near_join.near_duplicates(table(spark, folder, "documents"))
