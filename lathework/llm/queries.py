@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lathework.llm import exact_dedup, merkle, mixing, near_join, packing, suffix_dedup
+from lathework.llm import exact_dedup, merkle, mixing, near_join, packing, rules, suffix_dedup
 from lathework.llm.registry import query
 from lathework.plans.registry import table
 
@@ -122,3 +122,8 @@ FROM r
 @query("op9_mixing", OP9_SQL)
 def op9(spark, folder):
     return mixing.mix_summary(table(spark, folder, "documents")).withColumn("target", F.round("target", 6))
+
+
+@query("op10_rules")
+def op10(spark, folder):
+    return rules.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
