@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lathework.llm import exact_dedup, merkle, mixing, near_join, packing, rules, suffix_dedup
+from lathework.llm import exact_dedup, merkle, mixing, near_join, packing, rules, suffix_dedup, toxicity
 from lathework.llm.registry import query
 from lathework.plans.registry import table
 
@@ -44,6 +44,11 @@ def op5(spark, folder):
     )
 
 
+@query("op6_toxicity")
+def op6(spark, folder):
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("spans")
+
+
 OP7_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 n AS (
@@ -56,7 +61,7 @@ t AS (
     list_transform([text, edited, nxt], lambda v: list_transform(string_split(v, chr(10) || chr(10)),
       lambda s: list_transform(string_split(s, chr(10)),
         lambda p: array_to_string(list_transform(
-          regexp_extract_all(p, '(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){1,4}|[\x20\x09-\x0D]+\z'),
+          regexp_extract_all(p, '(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){1,4}|[\x20\x09-\x0D]+\\z'),
           lambda x: substr(md5(x), 1, 8)), '')))) AS trees
   FROM e),
 b AS (

@@ -130,9 +130,14 @@ def fit_rules(labelled: DataFrame, trees=TREES, depth=DEPTH, penalty=PENALTY, fi
         found = sorted({rule for i in range(trees) for rule in paths(forest._java_obj.trees()[i].rootNode(), NAMES)})
         if not found:
             return RuleModel(log((ones + 1) / (count - ones + 1)))
+        # rows with the same bits count as one row with a weight
         bits = F.array(*[holds_flat(rule).cast("double") for rule in found])
-        table = sample.select("label", array_to_vector(bits).alias("features"))
-        lasso = LogisticRegression(elasticNetParam=1.0, regParam=penalty, maxIter=100, standardization=False).fit(table)
+        table = sample.select("label", bits.alias("bits")).groupBy("label", "bits").agg(F.count("*").cast("double").alias("rows"))
+        table = table.select("label", "rows", array_to_vector("bits").alias("features")).coalesce(4).persist()
+        lasso = LogisticRegression(
+            elasticNetParam=1.0, regParam=penalty, maxIter=40, tol=1e-5, standardization=False, weightCol="rows"
+        ).fit(table)
+        table.unpersist()
         weights = lasso.coefficients.toArray()
         return RuleModel(float(lasso.intercept), [(r, float(w)) for r, w in zip(found, weights) if abs(w) > 1e-9])
     finally:
