@@ -5,13 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lathework.llm import exact_dedup, merkle, mixing, near_join, packing, rules, suffix_dedup, toxicity
+from lathework.llm import exact_dedup, html_text, merkle, mixing, near_join, packing, rules, suffix_dedup, toxicity
 from lathework.llm.registry import query
 from lathework.plans.registry import table
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+@query("op1_html_text")
+def op1(spark, folder):
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 @query("op3_exact_dedup", """
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
