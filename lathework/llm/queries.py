@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lathework.llm import exact_dedup, html_text, merkle, mixing, near_join, packing, rules, suffix_dedup, toxicity
+from lathework.llm import exact_dedup, html_text, merkle, mixing, near_join, packing, rules, suffix_dedup, toxicity, url_lists
 from lathework.llm.registry import query
 from lathework.plans.registry import table
 
@@ -17,6 +17,46 @@ def op1(spark, folder):
     return html_text.extract(table(spark, folder, "pages"))
 
 
+START = 1_672_531_200  # the first day of the example lists and captures, in seconds
+OP2_SQL = f"""
+WITH cap AS (
+  SELECT page_id, url, {START} + (page_id * 7919 % 365) * 86400 AS fetched_at,
+         regexp_replace(regexp_extract(lower(coalesce(url, '')), '{url_lists.HOST}', 1), '\\.+$', '') AS host
+  FROM pages),
+hosts AS (SELECT DISTINCT host FROM cap WHERE host <> ''),
+keys AS (
+  SELECT host, unnest(list_transform(range(1, len(string_split(host, '.')) + 1),
+                                     lambda i: array_to_string(string_split(host, '.')[i:], '.'))) AS domain
+  FROM hosts),
+dom AS (SELECT domain, ('0x' || substr(md5(domain), 1, 6))::BIGINT AS n FROM (SELECT DISTINCT domain FROM keys)),
+ev AS (
+  SELECT domain, 'block' AS kind, {START} + (n % 200 + o) * 86400 AS moment, a AS action
+  FROM dom, (VALUES (0, 'add'), (60, 'remove'), (120, 'add')) v(o, a) WHERE n % 10 < 3
+  UNION ALL SELECT domain, 'allow', {START} + (n % 100) * 86400, 'add' FROM dom WHERE n % 10 = 3
+  UNION ALL SELECT domain, 'block', {START} + (n % 300) * 86400, 'add' FROM dom WHERE n % 10 = 4),
+iv AS (
+  SELECT domain, kind, since, until FROM (
+    SELECT domain, kind, moment AS since, action, lead(moment) OVER (PARTITION BY domain, kind ORDER BY moment, action) AS until FROM ev)
+  w WHERE action = 'add' AND (until IS NULL OR until > since)),
+hit AS (
+  SELECT cap.page_id, iv.kind, iv.domain,
+         row_number() OVER (PARTITION BY cap.page_id ORDER BY length(iv.domain) DESC, iv.kind) AS place,
+         count(*) OVER (PARTITION BY cap.page_id) AS n
+  FROM cap JOIN keys USING (host) JOIN iv USING (domain)
+  WHERE iv.since <= cap.fetched_at AND (iv.until IS NULL OR iv.until > cap.fetched_at))
+SELECT cap.page_id, cap.url, cap.fetched_at, cap.host AS url_host, coalesce(hit.kind = 'block', false) AS url_blocked,
+       hit.domain AS url_rule, coalesce(hit.n, 0) AS url_active
+FROM cap LEFT JOIN hit ON cap.page_id = hit.page_id AND hit.place = 1
+"""
+
+
+@query("op2_url_lists", OP2_SQL)
+def op2(spark, folder):
+    captures = url_lists.with_fetch_time(table(spark, folder, "pages"), START)
+    hosts = captures.select(url_lists.host_of(F.col("url")).alias("host")).filter("host != ''").distinct()
+    return url_lists.judge(captures, url_lists.example_entries(hosts, START))
+
+
 @query("op3_exact_dedup", """
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
