@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lathework.functions.columns import c
+from lathework.functions.columns import c, present
 
 MAX_COLUMNS = 2000
 
@@ -32,20 +32,44 @@ def matrix_of(batch: pa.RecordBatch, name="x") -> np.ndarray:
 
 
 def numeric_rows(df: DataFrame, columns, **scalars) -> DataFrame:
-    """``x array<double>`` plus named double columns; rows with a missing value are left out."""
-    rows = df.select(as_array(df, columns).alias("x"), *[v.cast("double").alias(k) for k, v in scalars.items()])
-    whole = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v))
-    for k in scalars:
-        whole = whole & F.col(k).isNotNull()
-    return rows.filter(whole)
+    """``x array<double>`` plus named double columns. Missing values are seen to in numpy.
 
-
-def summed(rows: DataFrame, reduce_batch) -> dict[int, np.ndarray]:
-    """Sum over all batches of ``reduce_batch(batch) -> {group: 1-d array}``, by group and cell."""
+    A filter over all columns would make every one of them a constraint of the plan, whose
+    number the optimizer doubles with each renamed column.
+    """
+    return df.select(as_array(df, columns).alias("x"), *[v.cast("double").alias(k) for k, v in scalars.items()])
+
+
+def whole_rows(batch: pa.RecordBatch, on_missing="raise") -> pa.RecordBatch:
+    """The batch, if no row misses a value; with ``drop`` the rows that miss none."""
+    missing = np.zeros(batch.num_rows, dtype=bool)
+    for name in batch.schema.names:
+        if pa.types.is_list(batch.schema.field(name).type):
+            if batch.column(name).null_count:
+                missing |= batch.column(name).is_null().to_numpy(zero_copy_only=False)
+            else:
+                missing |= np.isnan(matrix_of(batch, name)).any(axis=1)
+        else:
+            missing |= np.isnan(batch.column(name).to_numpy(zero_copy_only=False).astype(float))
+    if not missing.any():
+        return batch
+    if on_missing != "drop":
+        raise ValueError(f"{int(missing.sum())} rows of a batch miss a value: fill them first, or ask for on_missing='drop'")
+    return batch.filter(pa.array(~missing))
+
+
+def summed(rows: DataFrame, reduce_batch, on_missing="raise") -> dict[int, np.ndarray]:
+    """Sum over all batches of ``reduce_batch(batch) -> {group: 1-d array}``, by group and cell.
+
+    A missing value is an error, unless ``on_missing`` is ``drop``, which leaves its row out,
+    or ``keep``, which hands it to ``reduce_batch``.
+    """
 
     def partial(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
+            if on_missing != "keep":
+                batch = whole_rows(batch, on_missing)
             if batch.num_rows:
                 for g, cells in reduce_batch(batch).items():
                     sums[g] = sums[g] + cells if g in sums else cells
@@ -96,21 +120,22 @@ class Moments:
 
 
 def means(rows: DataFrame) -> np.ndarray:
-    """Mean of every entry of ``x``; JVM-side, one scan."""
+    """Mean of the values there are of every entry of ``x``; JVM-side, one scan."""
     first = rows.select(F.size("x").alias("p")).first()
     if first is None:
         raise ValueError("no rows to fit on")
-    row = rows.agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(first["p"])]).first()
-    return np.asarray(row, dtype=float)
+    row = rows.agg(*[F.avg(present(F.col("x")[i])).alias(f"m{i}") for i in range(first["p"])]).first()
+    return np.asarray([v or 0.0 for v in row], dtype=float)
 
 
 def moments(df: DataFrame, columns, centre=None, group: Column | None = None,
-            weight: Column | None = None) -> dict[int, Moments]:
+            weight: Column | None = None, on_missing="raise") -> dict[int, Moments]:
     """Weight, sums and cross products per group, in one scan.
 
     ``centre`` is subtracted first, which keeps sums of large values exact enough; by default
     it is the mean of each column, from one cheap aggregate. ``group`` must be a whole number
-    with few values, such as a fold.
+    with few values, such as a fold. A missing value is an error, or with ``on_missing`` of
+    ``drop`` its row is left out; ``n`` is the weight of the rows that took part.
     """
     rows = numeric_rows(
         df, columns, g=F.lit(0) if group is None else group, w=F.lit(1.0) if weight is None else weight
@@ -132,14 +157,19 @@ def moments(df: DataFrame, columns, centre=None, group: Column | None = None,
         return out
 
     out = {}
-    for g, cells in summed(rows, reduce_batch).items():
-        full = np.zeros((p + 1, p + 1))
-        full[upper] = cells
-        full = full + np.triu(full, 1).T
-        out[g] = Moments(float(full[0, 0]), full[0, 1:], full[1:, 1:], shift)
+    for g, cells in summed(rows, reduce_batch, on_missing).items():
+        out[g] = unpacked(cells, upper, shift)
     return out
 
 
+def unpacked(cells: np.ndarray, upper, shift) -> Moments:
+    """Moments from the upper triangle of the products of ``[1, x - shift]``."""
+    full = np.zeros((len(shift) + 1, len(shift) + 1))
+    full[upper] = cells
+    full = full + np.triu(full, 1).T
+    return Moments(float(full[0, 0]), full[0, 1:], full[1:, 1:], shift)
+
+
 def pooled(parts: dict[int, Moments]) -> Moments:
     """All groups together."""
     values = list(parts.values())

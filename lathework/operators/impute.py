@@ -5,13 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Imputer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from lathework.functions.columns import c, dot, key_bucket, numeric_columns, present
+from lathework.functions.columns import c, key_bucket, numeric_columns, present
 from lathework.operators.combine import join_statistics
-from lathework.operators.gram import Moments, moments
+from lathework.operators.gram import Moments, matrix_of, summed, unpacked
 from lathework.operators.quantiles import exact_quantiles
 
 
@@ -140,9 +142,10 @@ def ridge_solve(m: Moments, target: int, predictors, ridge: float) -> tuple[floa
 class ChainedImputer:
     """Each incomplete numeric column regressed on all the others, round after round.
 
-    Starts from column means. A round is one scan: the fills of the earlier rounds are a
-    projection on the raw rows, so nothing is cached, checkpointed or joined, and each
-    incomplete column gets its cross products over the rows where it was observed. Fills are
+    Starts from column means. A round is one pass over the raw rows as arrays: numpy replays the
+    fills of the earlier rounds, masks what is missing, and sums for each incomplete column the
+    cross products of the rows where it was observed. Nothing is cached, checkpointed or
+    joined, and the plan has one expression whatever the number of columns. Fills are
     the regression means (no random draws), or with ``noise`` add a residual drawn from the
     hash of ``key``. Keys and targets do not belong among ``columns``.
     """
@@ -161,21 +164,20 @@ class ChainedImputer:
 
     def fit(self, df: DataFrame) -> "ChainedImputer":
         names = self.columns
-        raw = df.select(*[present(c(n).cast("double")).alias(n) for n in names])
-        row = raw.agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.avg(c(n)).alias(f"m{i}") for i, n in enumerate(names)],
-            *[F.count(c(n)).alias(f"k{i}") for i, n in enumerate(names)],
-        ).first()
-        empty = [n for i, n in enumerate(names) if row[f"k{i}"] == 0]
+        raw = df.select(F.array(*[c(n).cast("double") for n in names]).alias("x"))
+        seen = summed(raw, _counts, on_missing="keep").get(0)
+        if seen is None:
+            raise ValueError("no rows to fit on")
+        total, (present_of, sums) = seen[0], seen[1:].reshape(2, -1)
+        empty = [n for n, k in zip(names, present_of) if k == 0]
         if empty:
             raise ValueError(f"no value at all in {empty}")
-        self.start = {n: row[f"m{i}"] for i, n in enumerate(names)}
-        self.incomplete = [n for i, n in enumerate(names) if row[f"k{i}"] < row["n"]]
+        self.start = {n: float(v / k) for n, v, k in zip(names, sums, present_of)}
+        self.incomplete = [n for n, k in zip(names, present_of) if k < total]
         self.steps = []
         # With one incomplete column the predictors never change: one round is the answer.
         rounds = self.rounds if len(self.incomplete) > 1 else min(self.rounds, 1)
-        centre = [self.start[n] for n in names]
+        centre = np.array([self.start[n] for n in names])
         before = None
         for _ in range(rounds):
             step = self._fit_round(raw, centre)
@@ -189,12 +191,24 @@ class ChainedImputer:
     def _fit_round(self, raw: DataFrame, centre) -> dict:
         """One scan: a row takes part once for every column it has observed."""
         names = self.columns
-        filled = self._fill(raw.select("*", F.array(*[c(n).isNotNull() for n in self.incomplete]).alias("_seen")))
-        rows = filled.select(*[c(n) for n in names], F.posexplode("_seen").alias("_target", "_is_seen"))
-        parts = moments(rows.filter("_is_seen"), names, centre=centre, group=F.col("_target"))
+        upper = np.triu_indices(len(names) + 1)
+        targets = [names.index(n) for n in self.incomplete]
+        replay = self._replay()
+
+        def reduce_batch(batch):
+            x = matrix_of(batch)
+            z = np.hstack([np.ones((len(x), 1)), replay(x) - centre])
+            out = {}
+            for g, target in enumerate(targets):
+                part = z[~np.isnan(x[:, target])]
+                if len(part):
+                    out[g] = (part.T @ part)[upper]
+            return out
+
+        parts = {g: unpacked(cells, upper, centre) for g, cells in summed(raw, reduce_batch, on_missing="keep").items()}
         step = {}
         for g, m in parts.items():
-            target = names.index(self.incomplete[g])
+            target = targets[g]
             others = [i for i in range(len(names)) if i != target]
             b, w = ridge_solve(m, target, others, self.ridge)
             s = m.scatter
@@ -203,30 +217,35 @@ class ChainedImputer:
             step[self.incomplete[g]] = (b, w)
         return {n: step[n] for n in self.incomplete}
 
-    def _fill(self, df: DataFrame) -> DataFrame:
-        """Fill by replaying the rounds; each round is a projection over the one before."""
-        names = self.columns
-        gaps = {n: f"_gap_{i}" for i, n in enumerate(self.incomplete)}
-        rest = [n for n in df.columns if n not in names]
-        df = df.select(
-            *[c(n) for n in rest],
-            *[F.coalesce(c(n), F.lit(self.start[n])).alias(n) for n in names],
-            *[c(n).isNull().alias(g) for n, g in gaps.items()],
-        )
-        for k, step in enumerate(self.steps):
-            last = k == len(self.steps) - 1
-
-            def value(n, step=step, last=last):
-                if n not in step:
-                    return c(n)
-                b, w = step[n]
-                guess = dot([c(o) for o in names if o != n], w, b)
-                if last and self.noise:
-                    guess = guess + self._noise(n)
-                return F.when(c(gaps[n]), guess).otherwise(c(n)).alias(n)
+    def _replay(self):
+        """A function that fills the missing entries of a matrix by all rounds so far.
 
-            df = df.select(*[c(n) for n in rest], *[value(n) for n in names], *[c(g) for g in gaps.values()])
-        return df.drop(*gaps.values())
+        Every round looks at the fills of the one before. ``extra`` is added to the last fills.
+        """
+        names = self.columns
+        start = np.array([self.start[n] for n in names])
+        steps = []
+        for step in self.steps:
+            table = []
+            for n, (b, w) in step.items():
+                target = names.index(n)
+                table.append((target, float(b), np.insert(np.asarray(w, dtype=float), target, 0.0)))
+            steps.append(table)
+
+        def fill(x, extra=None):
+            gap = np.isnan(x)
+            z = np.where(gap, start, x)
+            for k, table in enumerate(steps):
+                new = z.copy()
+                for g, (target, b, w) in enumerate(table):
+                    rows = gap[:, target]
+                    new[rows, target] = b + z[rows] @ w
+                    if extra is not None and k == len(steps) - 1:
+                        new[rows, target] += extra[rows, g]
+                z = new
+            return z
+
+        return fill
 
     def _noise(self, name: str) -> Column:
         if self.key is None:
@@ -237,10 +256,35 @@ class ChainedImputer:
         return normal * F.lit(self.spread[name])
 
     def transform(self, df: DataFrame) -> DataFrame:
-        order = df.columns
-        kinds = {n: present(c(n).cast("double")).alias(n) for n in self.columns}
-        start = df.select(*[kinds.get(n, c(n)) for n in order])
-        return self._fill(start).select(*[c(n) for n in order])
+        names, fill = self.columns, self._replay()
+        rest = [n for n in df.columns if n not in names]
+        extra = [self._noise(n) for n in self.incomplete] if self.noise else []
+        rows = df.select(
+            F.struct(*[c(n) for n in rest], F.lit(0).alias("_one")).alias("rest"),
+            F.array(*[c(n).cast("double") for n in names]).alias("x"),
+            F.array(*extra).cast("array<double>").alias("extra"),
+        )
+
+        def run(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    more = matrix_of(batch, "extra") if extra else None
+                    z = fill(matrix_of(batch), more)
+                    offsets = np.arange(0, z.size + 1, z.shape[1], dtype=np.int32)
+                    filled = pa.ListArray.from_arrays(pa.array(offsets), pa.array(z.ravel()))
+                    yield pa.RecordBatch.from_arrays([batch.column("rest"), filled], names=["rest", "x"])
+
+        out = rows.mapInArrow(run, StructType([rows.schema["rest"], rows.schema["x"]]))
+        return out.select(*[
+            F.col("x")[names.index(n)].alias(n) if n in names else F.col("rest").getField(n).alias(n) for n in df.columns
+        ])
+
+
+def _counts(batch: pa.RecordBatch) -> dict:
+    """Rows, values and sum of values of each column."""
+    x = matrix_of(batch)
+    seen = ~np.isnan(x)
+    return {0: np.concatenate([[len(x)], seen.sum(axis=0), np.where(seen, x, 0.0).sum(axis=0)])}
 
 
 def chained_imputer(df: DataFrame, columns=None, key=None, keep=None, **options) -> DataFrame:

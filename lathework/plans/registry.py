@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c, rounded
+from lathework.session import ship
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -17,7 +20,7 @@ def query(name: str, sql: str | None = None):
     def add(fn):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = fn
+        QUERIES[name] = shipping(fn)
         if sql is not None:
             SQL[name] = sql
         return fn
@@ -25,6 +28,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def shipping(fn):
+    """``fn(spark, folder)`` that first sees to it that the workers have this package."""
+
+    @wraps(fn)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, folder)
+
+    return run
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

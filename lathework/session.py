@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,14 +30,41 @@ def get_session(app="lathework", master=None, **conf) -> SparkSession:
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+_shipped: set = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once for each Spark application.
+
+    Arrow functions name the package's modules, and a worker may start in any folder.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="lathework-zip-")
+    atexit.register(shutil.rmtree, folder, True)
+    path = os.path.join(folder, "lathework.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for top, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
 
     The cluster names the root in ``spark.checkpoint.dir``. Only a local session without
-    that setting gets a temporary root of its own.
+    that setting gets a temporary root of its own, which goes with the process.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -41,6 +72,7 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="lathework-")
+        atexit.register(shutil.rmtree, root, True)
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

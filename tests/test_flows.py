@@ -29,7 +29,7 @@ def house_frame(n, seed, start=1):
     levels.update({n: ["X"] for n in V.ABSENT if n not in levels})
     out = {"Id": np.arange(start, start + n)}
     for column, values in levels.items():
-        pool = ([20, 120] + [int(v) for v in values]) if column == "MSSubClass" else (["A0"] + [v for v in values if v != "None"])
+        pool = ([20, 120] + [int(v) for v in values]) if column == "MSSubClass" else (["0"] + [v for v in values if v != "None"])
         pick = np.array(pool, dtype=object)[rng.integers(0, len(pool), n)]
         pick[: len(pool)] = pool
         if column in V.ABSENT:
