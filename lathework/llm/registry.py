@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lathework.plans.registry import shipping
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -10,7 +12,7 @@ def query(name: str, sql: str | None = None):
     def add(fn):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = fn
+        QUERIES[name] = shipping(fn)
         if sql is not None:
             SQL[name] = sql
         return fn
