@@ -88,7 +88,7 @@ def integrated(knots: DataFrame) -> DataFrame:
 
 def inverse(segments: Column, due: Column) -> Column:
     """The time by which a share ``due`` of a source's demand has been served."""
-    s = F.coalesce(F.filter(segments, lambda x: due < x["f1"])[0], F.element_at(segments, -1))
+    s = F.coalesce(F.get(F.filter(segments, lambda x: due < x["f1"]), F.lit(0)), F.element_at(segments, -1))
     left = F.greatest(due - s["f0"], F.lit(0.0))
     root = F.sqrt(F.greatest(s["rate"] * s["rate"] + 2 * s["slope"] * left, F.lit(0.0)))
     step = F.when(s["rate"] + root > 0, 2 * left / (s["rate"] + root)).otherwise(F.lit(0.0))
