@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from lathework.functions.columns import c
 
-LOOKUP_ROWS = 100_000
-
 
 def concat_tables(tables: dict[str, DataFrame], origin="origin") -> DataFrame:
     """Stack tables; columns missing in one become NULL, ``origin`` says where a row came from."""
@@ -33,23 +31,13 @@ def align_target(features: DataFrame, target: DataFrame, key: str, check=False)
     return features.join(target, key, "inner")
 
 
-def broadcast_if_small(df: DataFrame, limit_rows=LOOKUP_ROWS) -> DataFrame:
-    """The same rows, marked for broadcast once their number is known to be small.
+def join_statistics(df: DataFrame, stats: DataFrame, on) -> DataFrame:
+    """Left join of a table with one row of statistics per group.
 
-    At most ``limit_rows + 1`` rows are read. Beyond the limit the table is returned as it is:
-    the join stays a shuffle join, where adaptive execution splits hot keys.
+    Adaptive execution broadcasts the statistics if their measured size allows it, and splits
+    hot groups where it does not.
     """
-    head = df.limit(limit_rows + 1).toArrow()
-    if head.num_rows > limit_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
-
-
-def join_statistics(df: DataFrame, stats: DataFrame, on, limit_rows=LOOKUP_ROWS) -> DataFrame:
-    """Left join of a table with one row of statistics per group; small ones are broadcast,
-    so that the large table is not shuffled."""
-    on = [on] if isinstance(on, str) else list(on)
-    return df.join(broadcast_if_small(stats, limit_rows), on, "left")
+    return df.join(stats, [on] if isinstance(on, str) else list(on), "left")
 
 
 def feature_union(df: DataFrame, branches, out="features") -> DataFrame:

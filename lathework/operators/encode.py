@@ -104,10 +104,6 @@ class PooledOneHot:
 
     def fit(self, df: DataFrame) -> "PooledOneHot":
         names = list(self.columns or df.columns)
-        # A sketch leaves out columns with far more values than the threshold, so that their
-        # values are never shuffled; it is exact enough at these sizes by a wide margin.
-        row = df.agg(*[F.approx_count_distinct(c(n)).alias(f"d{i}") for i, n in enumerate(names)]).first()
-        names = [n for i, n in enumerate(names) if row[f"d{i}"] <= 10 * self.threshold + 100]
         if not names:
             return self
         counts = level_counts(df, names)

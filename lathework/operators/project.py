@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c, numeric_columns, string_columns
-from lathework.operators.combine import broadcast_if_small
 
 
 def select_columns(df: DataFrame, names) -> DataFrame:
@@ -85,7 +84,7 @@ def _patch_from_table(df: DataFrame, key: str, patches: DataFrame) -> DataFrame:
         ]
     )
     where = {n: f"_patch_{i}" for i, n in enumerate(columns)}
-    joined = df.join(broadcast_if_small(last), c(key) == F.col("_patch_key"), "left")
+    joined = df.join(last, c(key) == F.col("_patch_key"), "left")
     return joined.select(
         *[
             F.coalesce(F.col(where[n]).cast(types[n]), c(n)).alias(n) if n in where else c(n)
@@ -98,8 +97,8 @@ def unmatched_patches(df: DataFrame, key: str, patches: DataFrame) -> DataFrame:
     """Patches whose key is not in the table."""
     # The table is the large side: keep only its keys that are patched before the anti join.
     keys = patches.select("key").distinct()
-    present = df.select(c(key).alias("key")).join(broadcast_if_small(keys), "key", "left_semi").distinct()
-    return patches.join(broadcast_if_small(present), "key", "left_anti")
+    present = df.select(c(key).alias("key")).join(keys, "key", "left_semi").distinct()
+    return patches.join(present, "key", "left_anti")
 
 
 def split_by_origin(df: DataFrame, labels=("train", "test"), origin="origin") -> list[DataFrame]:

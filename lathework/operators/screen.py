@@ -54,20 +54,11 @@ def near_zero_variance(df: DataFrame, columns=None, freq_cut=85 / 15, unique_cut
 
 
 def near_zero_columns(df: DataFrame, columns=None, freq_cut=85 / 15, unique_cut=10.0) -> list[str]:
-    """Names of the flagged columns.
-
-    One scan of sketches first finds the columns with far too many distinct values to be
-    flagged (three times the cut, where the sketch is off by a twentieth), so that their values
-    are never shuffled. The others are counted exactly.
-    """
+    """Names of the flagged columns; every value of every column is counted exactly."""
     names = list(columns or df.columns)
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(c(n)).alias(f"d{i}") for i, n in enumerate(names)]
-    ).first()
-    few = [n for i, n in enumerate(names) if row[f"d{i}"] <= max(3 * unique_cut / 100 * row["n"], 100)]
-    if not few:
+    if not names:
         return []
-    flagged = near_zero_variance(df, few, freq_cut, unique_cut).filter("nzv").select("column").collect()
+    flagged = near_zero_variance(df, names, freq_cut, unique_cut).filter("nzv").select("column").collect()
     return sorted(r["column"] for r in flagged)
 
 

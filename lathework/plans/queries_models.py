@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -107,14 +107,24 @@ def _famd_variables(spark, d):
     return round_all(model.variables().filter("factor = 1"), "coord", "cos2", "contrib")
 
 
-@query("famd_contrib", """
-SELECT factor::INT AS factor, count(DISTINCT n_nationkey) * 0 + 2 AS variables, 100.0::DOUBLE AS total
-FROM nation, (VALUES (1), (2), (3)) t(factor) GROUP BY factor""")
+# Two numbers and a factor with two levels: the factor is one more standardised column, and the
+# first axis is the leading vector of the three correlations, found by repeated products.
+@query("famd_contrib", f"""
+WITH RECURSIVE r AS (
+  SELECT corr(l_quantity, p) AS ab, corr(l_quantity, g) AS ac, corr(p, g) AS bc
+  FROM (SELECT l_quantity, l_extendedprice + 1500 * l_quantity AS p, (l_linestatus = 'O')::INT::DOUBLE AS g FROM lineitem)),
+v AS (
+  SELECT 0 AS step, 1.0::DOUBLE AS a, 0.9::DOUBLE AS b, 0.1::DOUBLE AS c
+  UNION ALL
+  SELECT step + 1, x / s, y / s, z / s FROM (
+    SELECT step, x, y, z, sqrt(x * x + y * y + z * z) AS s FROM (
+      SELECT step, a + ab * b + ac * c AS x, ab * a + b + bc * c AS y, ac * a + bc * b + c AS z FROM v, r WHERE step < 300)))
+SELECT 1 AS factor, n AS variable, {rnd('100 * e * e', 5)} AS contrib
+FROM (SELECT a, b, c FROM v WHERE step = 300), LATERAL (VALUES ('l_quantity', a), ('p', b), ('l_linestatus', c)) t(n, e)""")
 def _famd_contrib(spark, d):
-    _, model = _mixed(spark, d)
-    return model.contributions((1, 2, 3)).groupBy("factor").agg(
-        F.count(F.lit(1)).alias("variables"), rounded(F.sum("contrib")).alias("total")
-    )
+    rows = table(spark, d, "lineitem").withColumn("p", F.col("l_extendedprice") + 1500 * F.col("l_quantity"))
+    model = famd.famd_fit(rows, ["l_quantity", "p"], ["l_linestatus"], 3)
+    return round_all(model.contributions((1,)), "contrib", digits=5)
 
 
 @query("famd_scores", _ETA + f"""
@@ -275,17 +285,28 @@ def _kernels(spark, d):
     return out
 
 
+# Two sources mixed by known weights: each recovered component correlates with one source as the
+# source does with itself, and with the other as the sources do with each other.
 @query("fast_ica", """
-SELECT i::INT AS i, j::INT AS j, CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0 END AS cov, (SELECT count(*) FROM lineitem)::DOUBLE AS n
-FROM range(3) a(i), range(3) b(j)""")
+SELECT i, j, round(abs(CASE WHEN i = 1 AND j = 1 THEN corr(l_discount, l_discount) WHEN i = 2 AND j = 2 THEN corr(l_tax, l_tax)
+                       ELSE corr(l_discount, l_tax) END), 1) + 0.0 AS link
+FROM lineitem, (VALUES (1, 1), (1, 2), (2, 1), (2, 2)) t(i, j) GROUP BY i, j""")
 def _ica(spark, d):
-    data = lines(spark, d, ("l_quantity", "l_extendedprice", "l_discount")).cache()
-    model = X.FastICA(tol=0.001, max_iter=25).fit(data)
-    m = moments(model.transform(data), "transformed")[0]
-    cov = m.scatter / m.n
-    # Components have unit variance and no correlation, whatever the rotation.
-    rows = [(i, j, float(round(cov[i, j], 6)) + 0.0, m.n) for i in range(3) for j in range(3)]
-    return spark.createDataFrame(rows, "i int, j int, cov double, n double")
+    rows = table(spark, d, "lineitem").select(
+        "l_discount", "l_tax", (2 * F.col("l_discount") + F.col("l_tax")).alias("a"), (F.col("l_discount") - 2 * F.col("l_tax")).alias("b")
+    )
+    data = assemble(rows, ["a", "b"], keep=["l_discount", "l_tax"]).cache()
+    found = X.FastICA(tol=1e-5, max_iter=200).fit(data).transform(data).withColumn("t", vector_to_array("transformed"))
+    link = {(i, j): F.abs(F.corr(F.col("t")[i], F.col(s))) for i in (0, 1) for j, s in enumerate(("l_discount", "l_tax"))}
+    row = found.agg(*[v.alias(f"c{i}{j}") for (i, j), v in link.items()])
+    # components come in no fixed order: the first is the one closer to the first source
+    swap = F.col("c00") < F.col("c10")
+    at = lambda i, j: F.when(swap, F.col(f"c{1 - i}{j}")).otherwise(F.col(f"c{i}{j}"))
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(i + 1).alias("i"), F.lit(j + 1).alias("j"), rounded(at(i, j), 1).alias("link")) for i in (0, 1) for j in (0, 1)
+    ]))
+    out = row.select(cells.alias("x")).select("x.*")
+    return out
 
 
 @query("feature_agglomeration", f"""

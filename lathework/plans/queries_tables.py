@@ -442,6 +442,35 @@ def _chained_rounds(spark, d):
     return round_all(round_all(out, "q"), "price", digits=3)
 
 
+# 41 numbers: 35 powers and waves of three columns, and six sums of them with gaps, which a linear
+# fit on the others gives back.
+_WIDE_OF = ("l_quantity", "l_extendedprice / 1000", "l_discount * 100")
+_WIDE_SUMS = {f"s{k}": [(k + 1.0, f"x{k}"), (2.0, f"x{5 * k + 3}"), (-1.0, f"x{3 * k + 11}")] for k in range(6)}
+
+
+def _wide_columns(wave="sin"):
+    for k in range(35):
+        yield f"x{k}", f"{wave}({_WIDE_OF[k % 3]} * {0.1 + 0.07 * k:.2f} + {k}) * {1 + k % 4}"
+
+
+def _wide_sum(terms):
+    return " + ".join(f"({w!r} * {x})" for w, x in terms)
+
+
+@query("chained_imputer_wide", f"""
+WITH w AS (SELECT l_orderkey, {", ".join(f"{e} AS {n}" for n, e in _wide_columns())} FROM lineitem)
+SELECT l_orderkey, {", ".join(f"{rnd(_wide_sum(t), 3)} AS {n}" for n, t in _WIDE_SUMS.items())} FROM w""")
+def _chained_wide(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", *[F.expr(e).alias(n) for n, e in _wide_columns()])
+    gapped = rows.select("*", *[
+        F.when(F.col("l_orderkey") % (5 + k) == 0, None).otherwise(F.expr(_wide_sum(t)).cast("double")).alias(n)
+        for k, (n, t) in enumerate(_WIDE_SUMS.items())
+    ])
+    columns = [n for n in gapped.columns if n != "l_orderkey"]
+    out = impute.chained_imputer(gapped, columns, ridge=0.0, rounds=3)
+    return round_all(out.select("l_orderkey", *_WIDE_SUMS), *_WIDE_SUMS, digits=3)
+
+
 @query("mean_imputer", f"""
 WITH o AS (SELECT o_orderkey, {sql_gap('o_totalprice', 'o_orderkey')} AS price FROM orders)
 SELECT o_orderkey, {rnd('coalesce(price, avg(price) OVER ())')} AS price FROM o""")
