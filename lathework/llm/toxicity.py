@@ -33,8 +33,8 @@ FEATURES = 30_000  # features at most that the field has
 EVIDENCE = 20.0  # likelihood ratio from which a feature marks its tokens as toxic
 MARKING = 0.6  # share of a feature's tokens that are in toxic texts, from which it can mark
 BURST = 4  # tokens of one text that count for that share
-STEPS = 25
-DECAY = 1e-4
+STEPS = 30
+DECAY = 0.1  # of the squared weights, against the sum of the log likelihoods
 CUT = 0.7
 HELD_OUT, AT = 3, 1
 LANE = 64
@@ -297,7 +297,7 @@ def climb(gradient, size: int, steps: int, decay=DECAY, memory=6) -> np.ndarray:
     def at(x):
         g = gradient(x)
         n = scale[0]
-        return g[-1] / n - decay * (x @ x) / 2, g[:-1] / n - decay * x
+        return (g[-1] - decay * (x @ x) / 2) / n, (g[:-1] - decay * x) / n
 
     scale = [1.0]
     raw = gradient(theta)
