@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c, long_form, numeric_columns, safe_names, string_columns
+from lathework.operators.ranks import ranked
 
 MAX_LEVELS = 2000
 
@@ -31,7 +32,7 @@ def fitted_levels(df: DataFrame, columns, max_levels=MAX_LEVELS) -> dict[str, li
         levels[r["column"]].append(r["level"])
     wide = {n: len(v) for n, v in levels.items() if len(v) > max_levels}
     if wide or len(found) > limit:
-        raise ValueError(f"too many levels to become columns: {wide or 'all columns'}")
+        raise ValueError(f"too many levels to become columns: {wide or 'all columns'}; see sparse_dummies")
     return {n: sorted(v) for n, v in levels.items()}
 
 
@@ -85,6 +86,29 @@ def dummies_aligned(train: DataFrame, test: DataFrame, columns=None, safe=False)
     return model.transform(train, safe), model.transform(test, safe)
 
 
+def level_places(df: DataFrame, columns) -> DataFrame:
+    """``column, level, at``: the place of every level of every column in one long vector.
+
+    The vocabulary of wide factors: it stays a table, however many levels there are.
+    """
+    return ranked(level_counts(df, columns).select("column", "level"), "column", "level", name="at")
+
+
+def sparse_dummies(df: DataFrame, key: str, places: DataFrame) -> DataFrame:
+    """``key, indices``: the sorted places of a row's levels, its indicators in sparse form.
+
+    ``places`` comes from :func:`level_places`, perhaps of another table. Missing and unseen
+    levels have no place. Rows are put together by ``key``, which names them.
+    """
+    columns = [r["column"] for r in places.select("column").distinct().collect()]
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("column"), c(n).cast("string").alias("level")) for n in columns if n in df.columns
+    ])).alias("x")
+    rows = df.select(c(key).alias("_key"), cells).select("_key", "x.*")
+    found = rows.join(places, ["column", "level"], "left").groupBy("_key").agg(F.sort_array(F.collect_list("at")).alias("indices"))
+    return found.withColumnRenamed("_key", key)
+
+
 OTHER = "other"
 
 

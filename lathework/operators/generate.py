@@ -6,6 +6,7 @@ are columns of one projection, scored by one cross-product scan.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -145,6 +146,8 @@ def offspring(trees, columns, count: int, rng: np.random.Generator, max_depth=4)
         if depth(child) <= max_depth and name not in seen:
             seen.add(name)
             out.append(child)
+    if len(out) < count:
+        warnings.warn(f"only {len(out)} of {count} new candidates were found", stacklevel=2)
     return out
 
 

@@ -43,11 +43,13 @@ def soft(value: float, cut: float) -> float:
     return np.sign(value) * max(abs(value) - cut, 0.0)
 
 
-def elastic_net_path(m: Moments, alphas, l1_ratio: float, tol: float, max_iter=1000) -> np.ndarray:
+def elastic_net_path(m: Moments, alphas, l1_ratio: float, tol: float, max_iter=1000) -> tuple[np.ndarray, bool]:
     """Coefficients per alpha of ``|y - Xb|^2 / 2n + alpha (l1 |b| + (1 - l1) b^2 / 2)``.
 
-    Coordinate descent on the cross products, warm-started from the largest alpha.
+    Coordinate descent on the cross products, warm-started from the largest alpha. The second
+    value says whether all of them converged within ``max_iter`` rounds.
     """
+    converged = True
     s = m.scatter / m.n
     c, b = s[:-1, :-1], s[:-1, -1]
     beta = np.zeros(len(b))
@@ -62,8 +64,10 @@ def elastic_net_path(m: Moments, alphas, l1_ratio: float, tol: float, max_iter=1
                 beta[j] = new
             if largest <= tol * np.sqrt(max(s[-1, -1], 1e-300)):
                 break
+        else:
+            converged = False
         out.append(beta.copy())
-    return np.array(out)
+    return np.array(out), converged
 
 
 def alpha_grid(m: Moments, l1_ratio: float, count=100, eps=1e-3) -> np.ndarray:
@@ -165,17 +169,17 @@ class ElasticNetCV(_Linear):
         for held in parts.values():
             train = whole_table - held
             scale = self._unit(train)
-            for k, beta in enumerate(elastic_net_path(_scaled(train, scale), alphas, l1, self.get("tol"))):
+            for k, beta in enumerate(elastic_net_path(_scaled(train, scale), alphas, l1, self.get("tol"))[0]):
                 coef = beta * scale
                 b = train.mean[-1] - train.mean[:-1] @ coef
                 errors[k] += squared_error(held, coef, b) / held.n / len(parts)
         best = int(np.argmin(errors))
-        path = elastic_net_path(_scaled(whole_table, unit), alphas[: best + 1], l1, self.get("tol"))
+        path, converged = elastic_net_path(_scaled(whole_table, unit), alphas[: best + 1], l1, self.get("tol"))
         coef = path[-1] * unit
         m = whole_table.mean
         return self._model(
             coef, m[-1] - m[:-1] @ coef, alpha=float(alphas[best]), alphas=[float(a) for a in alphas],
-            errors=[float(e) for e in errors],
+            errors=[float(e) for e in errors], converged=converged,
         )
 
     def _unit(self, m: Moments) -> np.ndarray:
@@ -227,9 +231,9 @@ class LinearSVR(_Linear):
         widths = [0.0] if squared else [spread * 0.3 ** k for k in range(8)]
         scans = 0
         for width in widths:
-            w, used = self._newton(rows, w, size, width)
+            w, used, converged = self._newton(rows, w, size, width)
             scans += used
-        return self._model(w[:-1], w[-1], scans=scans)
+        return self._model(w[:-1], w[-1], scans=scans, converged=converged)
 
     def _newton(self, rows, w, size, width):
         """Minimise with tube ``epsilon`` and corner width ``width`` (0: squared loss)."""
@@ -259,12 +263,12 @@ class LinearSVR(_Linear):
             grad = w + penalty * got[cells:]
             direction = -np.linalg.solve(np.eye(size) + penalty * hess, grad)
             if np.abs(direction).max() <= 1e-3 * self.get("tol") * (1 + np.abs(w).max()):
-                break
+                return w, scans, True
             at = penalty * summed(rows, partial(losses, w=w, direction=direction))[0]
             scans += 1
             at = at + np.array([0.5 * ((w + t * direction) ** 2).sum() for t in ladder])
             w = w + ladder[int(np.argmin(at))] * direction
-        return w, scans
+        return w, scans, False
 
 
 def _with_one(batch) -> np.ndarray:

@@ -278,11 +278,12 @@ class FastICA(VectorEstimator):
             w = new
             if moved < self.get("tol"):
                 break
+        converged = bool(moved < self.get("tol"))
         weights = white @ w.T
         top = np.abs(weights).argmax(axis=0)
         weights = weights * np.sign(weights[top, np.arange(size)])
         weights = weights[:, np.lexsort((-np.abs(weights).max(axis=0), top))]
-        state = {"shift": _floats(mean), "weights": weights.tolist()}
+        state = {"shift": _floats(mean), "weights": weights.tolist(), "converged": converged}
         return MatrixMap(state=state, **shared_params(self, "inputCol", "outputCol"))
 
 

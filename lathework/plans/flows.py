@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c, numeric_columns
+from lathework.functions.metrics import rmsle
 from lathework.operators.combine import concat_tables
 from lathework.operators.encode import Dummies, assemble
 from lathework.operators.famd import MixedFactors, famd_fit
@@ -16,7 +17,7 @@ from lathework.operators.linear import LassoCV, LinearBaseline
 from lathework.operators.project import (
     drop_cols, drop_matching, drop_target, null_filter, patch_cells, recast_code, select_columns, split_by_origin,
 )
-from lathework.operators.resample import train_valid_split
+from lathework.operators.resample import fold_column, train_valid_split
 from lathework.operators.screen import drop_mostly_zero, near_zero_columns, outlier_rows
 from lathework.operators.transforms import MinMaxScaler, StackingFeature
 from lathework.operators.trees import ExtraTrees, gradient_boosting, random_forest
@@ -62,13 +63,34 @@ def neighborhoods_without(df: DataFrame, column="LotFrontage", group="Neighborho
 
 def evolve_and_fit(train: DataFrame, target: DataFrame, key="Id", label="SalePrice", learner="boosting",
                    generations=100, population=500, survivors=25, seed=7) -> tuple[Evolved, object]:
-    """Generated features under a boosted or forest learner."""
-    rows = train.join(target, key)
+    """Generated features, chosen by a boosted or forest learner.
+
+    The search ranks candidates by their correlation with the target. How many of the best
+    different ones are kept is the learner's choice: each of a doubling ladder of counts is
+    fitted on three key-hashed folds, and the smallest log error of the folds held out wins.
+    """
+    rows = train.join(target, key).persist()
     features = numeric_columns(rows, exclude=(key, label))
     evolved = evolve_features(rows, features, label, generations, population, survivors, seed=seed)
-    data = evolved.transform(rows, keep=[key, label])
     stage = gradient_boosting(labelCol=label) if learner == "boosting" else random_forest(labelCol=label)
-    return evolved, stage.fit(data)
+    counts = sorted({min(1 << k, len(evolved.trees)) for k in range(len(evolved.trees).bit_length() + 1)})
+    best = min(counts, key=lambda n: (_fold_error(Evolved(evolved.trees[:n], []), rows, key, label, stage), n))
+    chosen = Evolved(evolved.trees[:best], evolved.history)
+    model = stage.fit(chosen.transform(rows, keep=[key, label]))
+    rows.unpersist()
+    return chosen, model
+
+
+def _fold_error(evolved: Evolved, rows: DataFrame, key: str, label: str, stage, folds=3) -> float:
+    """Mean log error of a learner on the folds it was not fitted on; empty folds do not count."""
+    data = evolved.transform(rows, keep=[key, label]).withColumn("_fold", fold_column(c(key), folds)).persist()
+    errors = []
+    for f in range(folds):
+        held = stage.fit(data.filter(F.col("_fold") != f)).transform(data.filter(F.col("_fold") == f))
+        errors.append(held.agg(rmsle(c(label), F.col("prediction")).alias("e")).first()["e"])
+    data.unpersist()
+    scored = [e for e in errors if e is not None]
+    return sum(scored) / len(scored) if scored else float("inf")
 
 
 def train_valid_test_bundle(train: DataFrame, test: DataFrame, key: str, target: str, fill=None, group_fill=None,

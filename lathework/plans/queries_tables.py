@@ -532,6 +532,17 @@ def _dummies_aligned(spark, d):
 _FEW = "CASE WHEN o_orderkey % 20 = 0 THEN 'a' WHEN o_orderkey % 20 = 1 THEN 'b' WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END"
 
 
+@query("sparse_dummies", """
+WITH l AS (SELECT p_partkey, unnest(['p_name', 'p_brand', 'p_type']) AS col, unnest([p_name, p_brand, p_type]) AS level FROM part),
+v AS (SELECT col, level, row_number() OVER (ORDER BY col, encode(level)) - 1 AS place FROM (SELECT DISTINCT col, level FROM l WHERE level IS NOT NULL))
+SELECT p_partkey, string_agg(place::VARCHAR, ',' ORDER BY place) AS places FROM l JOIN v USING (col, level) GROUP BY p_partkey""")
+def _sparse_dummies(spark, d):
+    rows = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    places = encode.level_places(rows, ["p_name", "p_brand", "p_type"])
+    out = encode.sparse_dummies(rows, "p_partkey", places)
+    return out.select("p_partkey", F.array_join(F.transform("indices", lambda x: x.cast("string")), ",").alias("places"))
+
+
 @query("onehot_min_fraction", f"""
 WITH o AS (SELECT o_orderkey, o_totalprice, {_FEW} AS few FROM orders)
 SELECT o_orderkey, o_totalprice, CASE WHEN few = 'even' THEN 1 ELSE 0 END AS few_even, CASE WHEN few = 'odd' THEN 1 ELSE 0 END AS few_odd,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import threading
+import warnings
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -172,9 +173,16 @@ def distinct_specs(space: dict, count: int, rng, max_pre=2) -> list[dict]:
             break
         spec = draw_spec(space, rng, max_pre)
         out.setdefault(cand_id(spec), spec)
+    short_of(count, len(out))
     return list(out.values())
 
 
+def short_of(wanted: int, found: int) -> None:
+    """Say so when a space gives fewer different candidates than asked for."""
+    if found < wanted:
+        warnings.warn(f"only {found} of {wanted} different candidates were found", stacklevel=3)
+
+
 def population_search(search: Search, population=300, offspring=400, generations=100, seed=7, max_pre=2) -> DataFrame:
     """Generations: the population and its offspring compete for the next population.
 
@@ -206,6 +214,7 @@ def breed(parents, space, count: int, rng, max_pre=2) -> list[dict]:
         if cand_id(child) not in seen:
             seen.add(cand_id(child))
             out.append(child)
+    short_of(count, len(out))
     return out
 
 
