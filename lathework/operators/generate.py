@@ -7,7 +7,7 @@ are columns of one projection, scored by one cross-product scan.
 from __future__ import annotations
 
 import warnings
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector
@@ -155,6 +155,7 @@ def offspring(trees, columns, count: int, rng: np.random.Generator, max_depth=4)
 class Evolved:
     trees: list
     history: list[tuple[int, str, float]]
+    winners: list = field(default_factory=list)
 
     def table(self, spark) -> DataFrame:
         """Best candidate of each generation; its score never falls."""
@@ -174,11 +175,12 @@ def evolve_features(df: DataFrame, columns, label: str, generations=100, populat
     if len(pool) > population:
         extra = [pool[i] for i in sorted(rng.choice(np.arange(len(columns), len(pool)), population - len(columns), replace=False))]
         pool = columns + extra
-    history, best = [], None
+    history, winners, best = [], [], None
     for g in range(generations):
         scored = score_features(df, pool, label)
         best = select_diverse(scored, survivors, cut)
         history.append((g, label_of(best.trees[0]), float(abs(best.target[0]))))
+        winners.append(best.trees[0])
         if g + 1 < generations:
             pool = best.trees + offspring(best.trees, columns, population - len(best.trees), rng)
-    return Evolved(best.trees, history)
+    return Evolved(best.trees, history, winners)

@@ -75,7 +75,7 @@ def evolve_and_fit(train: DataFrame, target: DataFrame, key="Id", label="SalePri
     stage = gradient_boosting(labelCol=label) if learner == "boosting" else random_forest(labelCol=label)
     counts = sorted({min(1 << k, len(evolved.trees)) for k in range(len(evolved.trees).bit_length() + 1)})
     best = min(counts, key=lambda n: (_fold_error(Evolved(evolved.trees[:n], []), rows, key, label, stage), n))
-    chosen = Evolved(evolved.trees[:best], evolved.history)
+    chosen = Evolved(evolved.trees[:best], evolved.history, evolved.winners)
     model = stage.fit(chosen.transform(rows, keep=[key, label]))
     rows.unpersist()
     return chosen, model
