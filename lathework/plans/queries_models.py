@@ -711,16 +711,32 @@ def _curve(spark, d):
     return round_all(resample.learning_curve(L.LinearBaseline(), data, "l_orderkey", _CURVE), "train_score", "valid_score")
 
 
-@query("oob_score")
+_DRAWS = ", ".join(repr(float(v)) + "::DOUBLE" for v in np.cumsum([np.exp(-1) / m for m in (1, 1, 2, 6, 24, 120, 720, 5040)]))
+
+
+def _drawn(tree):
+    return f"len(list_filter([{_DRAWS}], lambda v: {sql_bucket('l_orderkey', 1 << 30, f'7-bag-{tree}')} / {float(1 << 30)} >= v))::DOUBLE"
+
+
+# Three bagged stumps: each is grown on its hashed weights and judges the rows it has not drawn.
+@query("oob_score", f"""
+WITH y AS (SELECT l_quantity AS q, l_extendedprice + 900 * l_quantity AS y, {", ".join(f"{_drawn(t)} AS w{t}" for t in range(3))} FROM lineitem),
+{", ".join(f"g{t} AS (SELECT q, sum(w{t}) AS w, sum(w{t} * y) AS s FROM y WHERE w{t} > 0 GROUP BY q), {_stump(f'g{t}', f't{t}')}" for t in range(3))},
+p AS (SELECT y, {" + ".join(f"CASE WHEN w{t} = 0 THEN CASE WHEN q <= t{t}.cut THEN t{t}.lv ELSE t{t}.rv END ELSE 0 END" for t in range(3))} AS total,
+  {" + ".join(f"(w{t} = 0)::INT" for t in range(3))} AS judges FROM y, t0, t1, t2),
+o AS (SELECT y, CASE WHEN judges > 0 THEN total / judges END AS p FROM p)
+SELECT count(*) AS rows, count(p) AS judged,
+  {rnd("(SELECT 1 - sum(power(y - p, 2)) / (var_pop(y) * count(*)) FROM o WHERE p IS NOT NULL)", 4)} AS r2 FROM o""")
 def _oob(spark, d):
     # Lineitem has no row key: rows of an order share their bootstrap weight.
-    data = _wide_rows(spark, d)
-    stage = T.BaggedTrees(n_estimators=5, max_depth=4, keyCol="l_orderkey")
+    data = _stump_rows(spark, d).cache()
+    stage = T.BaggedTrees(n_estimators=3, max_depth=1, maxBins=64, keyCol="l_orderkey")
     model = stage.fit(data)
     rows = stage.oob_predictions(model, data)
+    label = F.when(F.col("oob_prediction").isNotNull(), F.col("label"))
     return rows.agg(
         F.count(F.lit(1)).alias("rows"), F.count("oob_prediction").alias("judged"),
-        rounded(r2(F.col("label"), F.col("oob_prediction")), 4).alias("r2"),
+        rounded(r2(label, F.col("oob_prediction")), 4).alias("r2"),
     )
 
 
