@@ -5,9 +5,9 @@ same order everywhere. Two sets that reach the threshold share a shingle among t
 of each, the prefix. Equal sets count as one set; sets with the same prefix and size form one
 group, and groups meet on the shingles of their prefixes. Pairs are verified on whole texts.
 
-The result is classes, so not all pairs of a class are looked at: sets first meet one hub of
-each list (rounds of stars, linear in the lists), and only pairs that are still in different
-classes afterwards meet each other, all of them, under the size and overlap filters.
+The result is classes, so not all pairs of a class are looked at: each set first meets the most
+typical set of its lists (a star, linear in the lists), and only sets that are in different
+classes afterwards meet each other, all that pass the size and the overlap filter.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
@@ -28,7 +29,6 @@ WORDS = 5
 PERCENT = 80
 SLOT_BITS = 22  # the table of counts has 4 million slots, as bytes 4 MB: a fixed size
 BLOCK = 1 << 16
-STARS = 3  # rounds in which a set meets one hub only
 
 
 def _slots(hashes: np.ndarray) -> np.ndarray:
@@ -184,86 +184,77 @@ def _close(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _classes(spark, links: list) -> DataFrame:
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.unionByName(more)
-    return settle(components(edges), "classes")
+def _needed(n: str, last: str, n2: str, last2: str, percent: int):
+    """How many prefix shingles a linked pair shares at least.
 
+    The overlap is at least ``percent / (100 + percent)`` of both sizes together. All shared
+    shingles up to the smaller of the two prefix ends are in both prefixes; of those beyond,
+    the set whose prefix ends there has no more than what is not in its prefix.
+    """
+    overlap = F.ceil(F.lit(percent) * (F.col(n) + F.col(n2)) / F.lit(100.0 + percent))
+    beyond = F.ceil(F.lit(percent) * F.when(F.col(last) <= F.col(last2), F.col(n)).otherwise(F.col(n2)) / F.lit(100.0)) - 1
+    return overlap - beyond
+
+
+def _lists(table: DataFrame, sets: DataFrame) -> DataFrame:
+    """``shingle, id, n, last, rank, weight``: prefix shingles that two or more sets have.
+
+    Sets with the same prefix and size are one group, whose prefix is read once. ``rank`` counts
+    a set's listed shingles from the most frequent one, ``weight`` sums up their frequencies.
+    """
+    groups = settle(sets.groupBy("n", "tail").agg(F.min("id").alias("group"), F.count("*").alias("members")), "groups")
+    entries = table.select(F.col("_at").alias("group"), "prefix").join(groups.select("group", "members"), "group").select(
+        "group", "members", F.explode("prefix").alias("shingle")
+    )
+    many = entries.groupBy("shingle").agg(F.sum("members").alias("m")).filter("m > 1")
+    listed = entries.join(many.hint("merge"), "shingle").select("shingle", "group", "m")
+    members = sets.join(groups.select("n", "tail", "group"), ["n", "tail"]).select("group", "id", "n", "last")
+    own = W.partitionBy("id")
+    return settle(listed.join(members, "group").select(
+        "shingle", "id", "n", "last", F.row_number().over(own.orderBy(F.desc("m"), "shingle")).alias("rank"),
+        F.sum("m").over(own).alias("weight"),
+    ), "lists")
 
-def classes(texts: DataFrame, words=WORDS, percent=PERCENT, stars=STARS) -> DataFrame:
+
+def classes(texts: DataFrame, words=WORDS, percent=PERCENT) -> DataFrame:
     """``doc_id, [_row,] n, id, class``: the class of each row, named by the row's set.
 
     ``id`` numbers the distinct sets, ``class`` is the smallest id that links reach; both are
     null for an empty set.
     """
-    spark = texts.sparkSession
     table = settle(
         set_table(texts, commonness(texts, words), words, percent).withColumn("_at", F.monotonically_increasing_id()), "sets"
     )
     key = ["n", "f1", "f2"]
-    sets = settle(table.filter("n > 0").groupBy(*key).agg(F.min(F.struct("_at", "doc_id", "tail")).alias("first")).select(
-        F.col("first._at").alias("id"), F.col("first.doc_id").alias("doc_id"), *key, F.col("first.tail").alias("tail")
+    whole = table.withColumn("last", F.element_at("prefix", -1)).filter("n > 0")
+    sets = settle(whole.groupBy(*key).agg(F.min(F.struct("_at", "doc_id", "tail", "last")).alias("first")).select(
+        F.col("first._at").alias("id"), F.col("first.doc_id").alias("doc_id"), *key, "first.tail", "first.last"
     ), "distinct")
-    # groups: sets with the same prefix and size
-    grouped = sets.groupBy("n", "tail").agg(F.min("id").alias("group"), F.count("*").alias("members"))
-    groups = settle(grouped, "groups")
-    entries = table.select(F.col("_at").alias("group"), "prefix").join(groups, "group").select(
-        "group", "n", "members", F.posexplode("prefix").alias("place", "shingle")
-    )
-    entries = entries.select("shingle", "group", "members", F.shiftleft(F.col("n"), 32).bitwiseOR(F.col("place").cast("long")).alias("np"))
-    many = entries.groupBy("shingle").agg(F.sum("members").alias("m")).filter("m > 1").select("shingle")
-    lists = settle(
-        entries.join(many.hint("merge"), "shingle").select(
-            "shingle", "group", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(0xFFFFFFFF).alias("place")
-        ), "lists",
-    )
-    in_group = sets.join(groups.filter("members > 1").select("n", "tail", "group"), ["n", "tail"]).select(
-        "group", "id", "n"
-    )
-    in_group = settle(in_group, "members")
-    # members expand the lists; a group of one is its own member
-    alone = lists.join(in_group.select("group").distinct(), "group", "left_anti").withColumn("id", F.col("group"))
-    expanded = settle(alone.unionByName(lists.join(in_group.drop("n"), "group")), "expanded") if in_group.head(1) else alone
-    members = settle(sets.join(expanded.select("id").distinct(), "id", "left_semi"), "candidates")
-    held = settle(texts_of(texts, members.select("id", "doc_id", *key), words), "texts")
-
-    links, named = [], None
-
-    def with_class(df):
-        if named is None:
-            return df.withColumn("cls", F.col("id"))
-        return df.join(named.withColumnRenamed("node", "id"), "id", "left").withColumn("cls", F.coalesce("component", "id")).drop("component")
-
-    live = expanded
-    for turn in range(stars):
-        at = with_class(live.select("shingle", "id", "n", "place"))
-        hub = at.groupBy("shingle").agg(
-            F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "n", "cls")).alias("hub"), F.min("cls").alias("lo"), F.max("cls").alias("hi")
-        ).filter("lo < hi").select("shingle", "hub")
-        live = settle(at.join(hub.hint("merge"), "shingle"), "live")
-        met = live.filter(F.col("cls") != F.col("hub.cls")).filter(_close("n", "hub.n", percent))
-        met = met.groupBy("id", F.col("hub.id").alias("hub")).agg(F.count("*").alias("shared"))
-        best = met.groupBy("id").agg(F.max(F.struct("shared", "hub")).alias("best")).select(
-            F.least("id", "best.hub").alias("a"), F.greatest("id", "best.hub").alias("b")
-        ).distinct()
-        links.append(settle(verified(best, held, words, percent), "links"))
-        named = _classes(spark, links)
-    # what is left: every pair of a list in different classes
-    at = with_class(live.select("shingle", "id", "n", "place"))
-    open_lists = at.groupBy("shingle").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("shingle")
-    at = settle(at.join(open_lists.hint("merge"), "shingle").select("shingle", "id", "n", "place", "cls"), "open")
-    other = at.select("shingle", *[c(x).alias(f"{x}2") for x in ("id", "n", "place", "cls")])
+    lists = _lists(table, sets)
+    wanted = sets.join(lists.filter("rank = 1").select("id"), "id").select("id", "doc_id", *key)
+    held = settle(texts_of(texts, wanted, words), "texts")
+    # a star: each set meets the most typical set of its lists, by all of which it can be reached
+    hubs = lists.groupBy("shingle").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"), "n", "last")).alias("hub"))
+    met = lists.join(hubs.hint("merge"), "shingle").select("id", "n", (-F.col("hub.id")).alias("hub"), F.col("hub.n").alias("hub_n"))
+    met = met.filter((F.col("id") != F.col("hub")) & _close("n", "hub_n", percent)).groupBy("id", "hub").agg(F.count("*").alias("shared"))
+    best = met.groupBy("id").agg(F.max(F.struct("shared", "hub")).alias("best")).select(F.col("id").alias("a"), F.col("best.hub").alias("b"))
+    star = settle(verified(best, held, words, percent), "links")
+    named = settle(components(star), "classes")
+    # what is left: pairs in different classes that can share enough of their prefixes. A pair
+    # that shares k shingles shares one whose rank is k or more on both sides.
+    at = lists.join(named.withColumnRenamed("node", "id"), "id", "left").withColumn("cls", F.coalesce("component", "id"))
+    at = settle(at.select("shingle", "id", "n", "last", "rank", "cls"), "open")
+    mixed_lists = at.groupBy("shingle").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("shingle")
+    at = at.join(mixed_lists.hint("merge"), "shingle")
+    other = at.select("shingle", *[c(x).alias(f"{x}2") for x in ("id", "n", "last", "rank", "cls")])
     pairs = at.join(other.hint("merge"), "shingle").filter(
         (F.col("id") < F.col("id2")) & (F.col("cls") != F.col("cls2")) & _close("n", "n2", percent)
+        & (F.least("rank", "rank2") >= _needed("n", "last", "n2", "last2", percent))
     )
-    need = F.ceil(F.lit(percent) * (F.col("n") + F.col("n2")) / (100 + percent))
-    beyond = lambda n: F.col(n) - (F.col(n) - F.ceil(F.lit(percent) * F.col(n) / 100) + 1)
-    pairs = pairs.groupBy("id", "id2", "n", "n2").agg(F.count("*").alias("shared")).filter(
-        F.col("shared") + F.least(beyond("n"), beyond("n2")) >= need
-    )
-    last = settle(verified(pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")), held, words, percent), "links")
-    named = _classes(spark, [*links, last])
+    pairs = pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
+    last = settle(verified(pairs, held, words, percent), "links")
+    if last.head(1):
+        named = settle(components(star.unionByName(last)), "classes")
     by_set = sets.select("id", *key).join(named.withColumnRenamed("node", "id"), "id", "left").select(
         *key, "id", F.coalesce("component", "id").alias("class")
     )
@@ -273,7 +264,7 @@ def classes(texts: DataFrame, words=WORDS, percent=PERCENT, stars=STARS) -> Data
     )
 
 
-def near_duplicates(docs: DataFrame, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, stars=STARS) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs``.
 
     ``component_id`` is the smallest doc_id that links reach, its own included. A null or empty
@@ -281,7 +272,7 @@ def near_duplicates(docs: DataFrame, doc_id="doc_id", text="text", words=WORDS,
     its whole sequence as one. Repeated rows and equal texts are in one component. An empty
     table gives an empty table. Other columns are not read.
     """
-    found = settle(classes(narrow(docs, doc_id=c(doc_id), text=text_of(text)), words, percent, stars), "classes")
+    found = settle(classes(narrow(docs, doc_id=c(doc_id), text=text_of(text)), words, percent), "classes")
     least = found.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("component_id"))
     linked = found.filter("class IS NOT NULL").join(least.hint("merge"), "class")
     alone = found.filter("class IS NULL").withColumn("component_id", F.col("doc_id"))
@@ -290,13 +281,13 @@ def near_duplicates(docs: DataFrame, doc_id="doc_id", text="text", words=WORDS,
     )
 
 
-def keep_one(docs: DataFrame, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, stars=STARS) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT) -> DataFrame:
     """The rows of ``docs`` with one row of each class: the smallest doc_id, then the first row.
 
     Rows without words are no copies of anything and stay.
     """
     rows = packed_rows(docs, doc_id=c(doc_id), text=text_of(text))
-    found = settle(classes(rows.select("doc_id", "text", ROW), words, percent, stars), "classes").filter("class IS NOT NULL")
+    found = settle(classes(rows.select("doc_id", "text", ROW), words, percent), "classes").filter("class IS NOT NULL")
     first = found.groupBy("class").agg(F.min(F.struct(c("doc_id").isNull().alias("nameless"), "doc_id", ROW)).alias("first"))
     gone = found.join(first.hint("merge"), "class").filter(c(ROW) != F.col(f"first.{ROW}")).select(ROW)
     return rows.join(gone, ROW, "left_anti").select("whole.*")
