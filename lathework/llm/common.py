@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c
@@ -38,31 +40,16 @@ def packed_rows(docs: DataFrame, **columns: Column) -> DataFrame:
     return numbered(docs.select(F.struct(*[c(x) for x in docs.columns]).alias("whole"), *[v.alias(k) for k, v in columns.items()]), "rows")
 
 
-def ranked(df: DataFrame, *order, name="rank") -> DataFrame:
-    """``df`` with the number of each row in the given order, from 0.
-
-    Rows are dealt by ranges and counted within their range; only one count for each range
-    meets in a window, never the rows.
-    """
-    placed = settle(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()),
-        "ranked",
-    ).withColumn("_part", F.shiftright("_at", 33))
-    from pyspark.sql import Window as W
-
-    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    starts = counts.select(
-        "_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_start")
-    )
-    inside = F.col("_at") - F.shiftleft(F.col("_part"), 33)
-    return placed.join(starts, "_part").withColumn(name, F.col("_start") + inside).drop("_at", "_part", "_start")
-
-
 def groups_of(n: int, rows: int) -> int:
     """How many groups of about ``rows`` rows hold ``n`` rows: the power of two at or above."""
     return 1 << max(0, (max(1, n) - 1) // rows).bit_length()
 
 
-def release(*frames: DataFrame) -> None:
-    for df in frames:
-        df.unpersist()
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of tables that nothing refers to any more.
+
+    Its cleaner follows the garbage collector of the driver's JVM, which may not run for half an
+    hour on a driver with little garbage; until then the files fill the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c
-from lathework.llm.common import narrow, ranked, text_of
+from lathework.llm.common import narrow, text_of
+from lathework.operators.ranks import ranked
 from lathework.session import settle
 
 PIECE_WORDS = 4
@@ -102,13 +103,26 @@ def edit_likeness(docs: DataFrame, doc_id="doc_id", text="text", words=PIECE_WOR
     document of a table is its own next one. An empty table gives an empty table.
     """
     rows = narrow(docs, doc_id=c(doc_id), text=text_of(text))
-    order = following(rows).withColumnRenamed("doc_id", "for_id")
-    heads = rows.join(order.hint("merge"), c("doc_id").eqNullSafe(c("next_id"))).select(
-        "for_id", F.substring("text", F.lit(1), F.col("most")).alias("head"), leaf_string(tree(F.col("text"), words)).alias("next_leaves")
+    order = following(rows)
+    kind = rows.schema["doc_id"].dataType
+
+    def key(name):  # two columns that are never null, so that one exchange serves sums and joins
+        return F.coalesce(c(name), F.lit(0).cast(kind)), c(name).isNull()
+
+    def keyed(df, name, a, b):
+        return df.withColumns(dict(zip((a, b), key(name))))
+
+    # both joins read the very same columns, so that the texts are shuffled once for the two
+    rows = keyed(rows, "doc_id", "k", "k0").select("k", "k0", "text")
+    order = keyed(keyed(order, "next_id", "k", "k0"), "doc_id", "f", "f0").select("k", "k0", "f", "f0", "most")
+    heads = rows.join(order.hint("merge"), ["k", "k0"]).select(
+        "f", "f0", F.substring("text", F.lit(1), F.col("most")).alias("head"), leaf_string(tree(F.col("text"), words)).alias("next_leaves")
+    )
+    heads = heads.groupBy("f", "f0").agg(F.min(F.struct("head", "next_leaves")).alias("next")).select(
+        F.col("f").alias("k"), F.col("f0").alias("k0"), "next"
     )
-    heads = heads.groupBy("for_id").agg(F.min(F.struct("head", "next_leaves")).alias("next"))
-    both = rows.join(heads.hint("merge"), c("doc_id").eqNullSafe(c("for_id"))).select(
-        "doc_id", "text", F.char_length("text").alias("n"), "next"
+    both = rows.join(heads.hint("merge"), ["k", "k0"]).select(
+        F.when(~F.col("k0"), F.col("k")).alias("doc_id"), "text", F.char_length("text").alias("n"), "next"
     )
     half = F.floor(F.col("n") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n") - half), F.substring("next.head", F.lit(1), half))

@@ -13,7 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c
-from lathework.llm.common import ROW, SPACE, WORD, groups_of, numbered, packed_rows, ranked, text_of
+from lathework.llm.common import ROW, SPACE, WORD, groups_of, numbered, packed_rows, text_of
+from lathework.operators.ranks import ranked
 from lathework.session import settle
 
 WEIGHTS = (3.0, 1.0, 2.0)
