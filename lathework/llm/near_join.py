@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from lathework.functions.columns import c
-from lathework.llm.common import ROW, narrow, packed_rows, text_of
+from lathework.llm.common import ROW, free_shuffles, narrow, packed_rows, text_of
 from lathework.llm.components import components
 from lathework.llm.textbytes import OTHER, chunks, distinct_by_row, mixed, shingles
 from lathework.session import settle
@@ -222,6 +222,7 @@ def classes(texts: DataFrame, words=WORDS, percent=PERCENT) -> DataFrame:
     ``id`` numbers the distinct sets, ``class`` is the smallest id that links reach; both are
     null for an empty set.
     """
+    spark = texts.sparkSession
     table = settle(
         set_table(texts, commonness(texts, words), words, percent).withColumn("_at", F.monotonically_increasing_id()), "sets"
     )
@@ -231,14 +232,17 @@ def classes(texts: DataFrame, words=WORDS, percent=PERCENT) -> DataFrame:
         F.col("first._at").alias("id"), F.col("first.doc_id").alias("doc_id"), *key, "first.tail", "first.last"
     ), "distinct")
     lists = _lists(table, sets)
+    free_shuffles(spark)
     wanted = sets.join(lists.filter("rank = 1").select("id"), "id").select("id", "doc_id", *key)
     held = settle(texts_of(texts, wanted, words), "texts")
+    free_shuffles(spark)
     # a star: each set meets the most typical set of its lists, by all of which it can be reached
     hubs = lists.groupBy("shingle").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"), "n", "last")).alias("hub"))
     met = lists.join(hubs.hint("merge"), "shingle").select("id", "n", (-F.col("hub.id")).alias("hub"), F.col("hub.n").alias("hub_n"))
     met = met.filter((F.col("id") != F.col("hub")) & _close("n", "hub_n", percent)).groupBy("id", "hub").agg(F.count("*").alias("shared"))
     best = met.groupBy("id").agg(F.max(F.struct("shared", "hub")).alias("best")).select(F.col("id").alias("a"), F.col("best.hub").alias("b"))
     star = settle(verified(best, held, words, percent), "links")
+    free_shuffles(spark)
     named = settle(components(star), "classes")
     # what is left: pairs in different classes that can share enough of their prefixes. A pair
     # that shares k shingles shares one whose rank is k or more on both sides.
