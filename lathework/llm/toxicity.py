@@ -48,8 +48,8 @@ def features(word: str) -> list[str]:
     return ["w" + w[:40], *["p" + w[:k] for k in (3, 4, 5, 6, 7) if len(w) > k], *["s" + w[-k:] for k in (3, 4) if len(w) > k]]
 
 
-def forward_backward(logits: np.ndarray, lengths: np.ndarray, steps: np.ndarray, start: float):
-    """Marginals of the toxic state, sums over pairs, and log normalisers of all rows.
+def forward_backward(logits: np.ndarray, lengths: np.ndarray, steps: np.ndarray, start: float, with_pairs=True):
+    """Marginals of the toxic state, sums over pairs if asked for, and log normalisers of all rows.
 
     ``logits``: how much a token speaks for the toxic state; ``steps[i, j]``: log weight of a
     step from state i to j, ``start``: of a toxic first token. Rows are cut into lanes; the
@@ -91,7 +91,8 @@ def forward_backward(logits: np.ndarray, lengths: np.ndarray, steps: np.ndarray,
         k = active[t]
         if not k:
             break
-        p = product[:k] @ matrix(begin[:k] + t)
+        m, q = matrix(begin[:k] + t), product[:k]
+        p = q[:, :, :1] * m[:, :1, :] + q[:, :, 1:] * m[:, 1:, :]
         top = p.max(axis=(1, 2))
         product[:k], scale[:k] = p / top[:, None, None], scale[:k] + np.log(top)
     # messages into and out of the lanes, from lane to lane of all rows at once
@@ -123,7 +124,8 @@ def forward_backward(logits: np.ndarray, lengths: np.ndarray, steps: np.ndarray,
         if not k:
             break
         at = begin[:k] + t
-        v = np.einsum("ri,rij->rj", m[:k], matrix(at))
+        w = matrix(at)
+        v = m[:k, :1] * w[:, 0, :] + m[:k, 1:] * w[:, 1, :]
         m[:k] = v / v.sum(axis=1)[:, None]
         alpha[at] = m[:k]
     beta = np.empty((n, 2))
@@ -134,13 +136,14 @@ def forward_backward(logits: np.ndarray, lengths: np.ndarray, steps: np.ndarray,
             continue
         at = begin[:k] + t
         beta[at] = m[:k]
-        v = np.einsum("rij,rj->ri", matrix(at), m[:k])
+        w = matrix(at)
+        v = w[:, :, 0] * m[:k, :1] + w[:, :, 1] * m[:k, 1:]
         m[:k] = v / v.sum(axis=1)[:, None]
     both = alpha * beta
     marginal = both[:, 1] / both.sum(axis=1)
     pairs = np.zeros((2, 2))
     inner = np.flatnonzero(~first)
-    if len(inner):
+    if with_pairs and len(inner):
         p = alpha[inner - 1][:, :, None] * a * np.stack([np.ones(len(inner)), hit[inner]], axis=1)[:, None, :] * beta[inner][:, None, :]
         pairs = (p / p.sum(axis=(1, 2))[:, None, None]).sum(axis=0)
     return marginal, pairs, norm
@@ -357,7 +360,7 @@ def tagged(rows: DataFrame, model: Field) -> DataFrame:
                     values.append(v)
                     lengths.append(len(v))
                 lengths = np.array(lengths, np.int64)
-                marginal, _, _ = forward_backward(np.concatenate(values), lengths, m.steps, m.start)
+                marginal, _, _ = forward_backward(np.concatenate(values), lengths, m.steps, m.start, with_pairs=False)
                 total, most, spans = [], [], []
                 for text, b, n in zip(texts, (np.cumsum(lengths) - lengths).tolist(), lengths.tolist()):
                     own = marginal[b:b + n]
