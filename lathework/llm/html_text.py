@@ -29,11 +29,13 @@ BLOCK = frozenset(
     "title tr ul video audio canvas object".split()
 )
 RAW = frozenset("script style textarea title noframes noembed iframe xmp".split())
-# Elements and names that are never part of an article.
-OUTSIDE = frozenset(
-    "head title script style noscript template nav footer aside form button select option textarea input label fieldset "
-    "iframe noframes object svg canvas menu dialog audio video noembed".split()
+# Elements that are never part of an article, whatever they hold.
+NEVER = frozenset(
+    "head title script style noscript template nav footer button select option textarea input label iframe noframes object svg "
+    "canvas menu audio video noembed".split()
 )
+# Elements, roles and names that are not part of an article, unless they hold the page.
+OUTSIDE = frozenset("aside form fieldset dialog".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar alert".split())
 OUTSIDE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|breadcrumb\w*|sidebar\w*|side-bar|footer\w*|"
@@ -42,6 +44,9 @@ OUTSIDE_NAMES = re.compile(
     r"social\w*|related\w*|recommend\w*|widget\w*|pagination|pager|paging|tags|tagcloud|skip-link|copyright|disclaimer|alert|hidden)"
     r"(?=$|[\s_-])", re.I
 )
+# A name behind one of these says what a layout has or lacks, not what the element is.
+MODIFIER = re.compile(r"(?:^|[\s_-])(?:with|without|no|has|have)[_-][\w-]*", re.I)
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comment|comments|commentlist|comment-\w+|respond|disqus\w*|replies|reply)(?=$|[\s_-])", re.I)
 ARTICLE = frozenset(("article", "main"))
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|\Z)", re.S)
@@ -52,19 +57,74 @@ MARKED = 2.0  # by how much an article mark raises a word's score and lowers a t
 DEFAULTS = {"word": 1.0, "link": 0.2, "tag": -3.25}
 
 
-def pieces(html: str):
-    """The page as ``(kind, value, outside, article)`` in order.
+class Matches:
+    """The elements of a page that look like none of an article's, as a tree in page order.
+
+    Number 0 is the page. ``words`` are those of an element's own places first, and with all
+    that is below it after ``outside``. Elements of ``NEVER`` and their words do not count.
+    """
+
+    def __init__(self):
+        self.parent, self.kind, self.words, self.heading = [0], ["page"], [0], [False]
+
+    def add(self, parent: int, kind: str) -> int:
+        self.parent.append(parent)
+        self.kind.append("never" if self.kind[parent] == "never" else kind)
+        self.words.append(0)
+        self.heading.append(False)
+        return len(self.parent) - 1
+
+    def outside(self) -> list[bool]:
+        """For each match whether its places are outside; not so for those that hold the page.
+
+        A match holds the page if it has more than half of the words, and a main heading or ten
+        times the words that are left beside all matches. Comments hold it if no words are left.
+        """
+        below = [[] for _ in self.parent]
+        beside = self.words[:]  # words that are in an element, but in no match below it
+        for i in range(len(self.parent) - 1, 0, -1):
+            if self.kind[i] == "never":
+                self.words[i] = 0
+                continue
+            below[self.parent[i]].append(i)
+            self.words[self.parent[i]] += self.words[i]
+            self.heading[self.parent[i]] |= self.heading[i]
+        out = [True] * len(self.parent)
+        out[0], at, left = False, 0, beside[0]
+        while True:
+            at = next((i for i in below[at] if 2 * self.words[i] > self.words[0]), None)
+            if at is None:
+                return out
+            few = left == 0 if self.kind[at] == "comments" else self.heading[at] or 10 * left < self.words[at]
+            if not few:
+                return out
+            out[at] = False
+            left += beside[at]
+
+
+def pieces(html: str) -> list:
+    """The page as ``(kind, value, outside, article, link)`` in order.
 
     ``kind`` is ``text``, ``open`` or ``close``. ``outside`` says that the place is within an
-    element that no article holds, ``article`` numbers the article element around it, or is 0.
+    element that no article holds, ``article`` that it is within an article element.
     """
-    stack: list = []  # (name, outside, article, link)
-    outside, article, link, count, at = False, 0, False, 0, 0
+    matches = Matches()
+    found = list(_pieces(html, matches))
+    outside = matches.outside()
+    return [(kind, value, outside[match], article, link) for kind, value, match, article, link in found]
+
+
+def _pieces(html: str, matches: Matches):
+    """The pieces, with the number of the innermost match in place of ``outside``."""
+    stack: list = []  # (name, match, article, link)
+    match, article, link, at = 0, False, False, 0
     for m in TOKEN.finditer(html):
         if m.start() < at:
             continue  # within raw text
         if m.start() > at:
-            yield "text", html[at:m.start()], outside, article, link
+            text = html[at:m.start()]
+            matches.words[match] += len(text.split())
+            yield "text", text, match, article, link
         at = m.end()
         if not m.group(2):
             continue
@@ -72,51 +132,54 @@ def pieces(html: str):
         if m.group(1):
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if depth is not None and not (name == "p" and any(x[0] in BLOCK and x[0] != "p" for x in stack[depth + 1:])):
-                outside, article, link = stack[depth][1:]
+                match, article, link = stack[depth][1:]
                 del stack[depth:]
-            yield "close", name, outside, article, link
+            yield "close", name, match, article, link
             continue
         if name in BLOCK and stack and stack[-1][0] == "p" and name != "br":
-            outside, article, link = stack[-1][1:]  # a block ends a paragraph
+            match, article, link = stack[-1][1:]  # a block ends a paragraph
             stack.pop()
         if name == "li":  # an item ends the item before it
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("li", "ul", "ol", "menu")), None)
             if depth is not None and stack[depth][0] == "li":
-                outside, article, link = stack[depth][1:]
+                match, article, link = stack[depth][1:]
                 del stack[depth:]
-        now = outside or _leaves(name, m.group(3), article)
+        leaves = _leaves(name, m.group(3), article)
+        now = matches.add(match, leaves) if leaves else match
+        if name in ("h1", "main"):
+            matches.heading[match] = True
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(html, at)
             at = end.end() if end else len(html)
             yield "open", name, now, article, link
             continue
         if name not in VOID and not m.group(3).rstrip().endswith("/"):
-            stack.append((name, outside, article, link))
-            outside, link = now, link or name == "a"
-            if name in ARTICLE and not outside and not article:
-                count += 1
-                article = count
-        yield "open", name, outside if name not in VOID else now, article, link
+            stack.append((name, match, article, link))
+            match, link, article = now, link or name == "a", article or name in ARTICLE
+        yield "open", name, match if name not in VOID else now, article, link
     if at < len(html):
-        yield "text", html[at:], outside, article, link
+        matches.words[match] += len(html[at:].split())
+        yield "text", html[at:], match, article, link
 
 
-def _leaves(name: str, attributes: str, article: int) -> bool:
-    """Whether an element begins here that is never part of an article."""
+def _leaves(name: str, attributes: str, article: bool) -> str:
+    """What begins here that is no part of an article: ``never``, ``match``, ``comments`` or nothing."""
+    if name in NEVER:
+        return "never"
     if name in OUTSIDE or name == "header" and not article:
-        return True
+        return "match"
     if name in ("html", "body") or name in ARTICLE or not attributes.strip():
-        return False
+        return ""
     for m in ATTRIBUTE.finditer(attributes):
         key = m.group(1).lower()
         value = m.group(2) or m.group(3) or m.group(4) or ""
-        if key in ("class", "id") and OUTSIDE_NAMES.search(value) or key == "role" and value.lower() in OUTSIDE_ROLES:
-            return True
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+        if key in ("class", "id") and OUTSIDE_NAMES.search(value) and OUTSIDE_NAMES.search(MODIFIER.sub(" ", value)):
+            return "comments" if COMMENTS.search(MODIFIER.sub(" ", value)) else "match"
+        if key == "role" and value.lower() in OUTSIDE_ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+            return "match"
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return "match"
+    return ""
 
 
 def kind_of(kind: str, value: str, link: bool) -> str:

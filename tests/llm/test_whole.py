@@ -27,3 +27,37 @@ def test_mark_is_a_bounded_bonus():
     assert html_text.main_text(marked, WEIGHTS) == words("a", 40)
     longer = f"<body><article><p>{words('c', 10)}</p></article><div>{words('x', 3)}</div>{'<hr>' * 40}<div><p>{words('a', 400)}</p></div></body>"
     assert words("a", 400) in html_text.main_text(longer, WEIGHTS)
+
+
+BODY = f"<h1>Title here</h1><p>{words('a', 60)}</p><p>{words('b', 60)}</p>"
+TEXT = f"Title here {words('a', 60)} {words('b', 60)}"
+SIDES = f"<nav>{words('n', 30)}</nav><div class='sidebar'>{words('s', 20)}</div>"
+
+
+@pytest.mark.parametrize("weights", [WEIGHTS, html_text.DEFAULTS])
+@pytest.mark.parametrize("begin, end", [
+    ("<form action='x'>", "</form>"), ("<div class='layout with-sidebar'>", "</div>"), ("<div class='content no-sidebar'>", "</div>"),
+    ("<div class='page_has_sidebar'>", "</div>"), ("<div class='sidebar-layout'>", "</div>"), ("<div style='visibility:hidden'>", "</div>"),
+    ("<form><div class='widget-wrapper'><fieldset>", "</fieldset></div></form>"), ("<form><article>", "</article></form>"),
+])
+def test_wrapped_pages_keep_their_text(begin, end, weights):
+    assert html_text.main_text(f"<body>{begin}{SIDES}{BODY}{end}<footer>{words('f', 9)}</footer></body>", weights) == TEXT
+    plain = f"<body>{begin}{SIDES}<p>{words('a', 60)}</p>{end}</body>"
+    assert html_text.main_text(plain, weights) == words("a", 60)
+
+
+def test_marked_articles_in_a_wrapper_are_labels():
+    inside = [p[3] and not p[2] for p in html_text.pieces(f"<body><form>{SIDES}<article>{BODY}</article></form></body>") if p[0] == "text"]
+    assert inside == [False, False, True, True, True]
+
+
+@pytest.mark.parametrize("begin, end", [
+    ("<div id='comments'>", "</div>"), ("<section class='related'>", "</section>"), ("<form>", "</form>"), ("<nav>", "</nav>"),
+    ("<div class='is-hidden hidden'>", "</div>"),
+])
+def test_large_side_parts_stay_outside(begin, end):
+    assert html_text.main_text(f"<body><div>{BODY}</div>{begin}<p>{words('c', 300)}</p>{end}</body>", WEIGHTS) == TEXT
+
+
+def test_pages_of_side_parts_only_are_empty():
+    assert html_text.main_text("<nav>Home About</nav><footer>c</footer>", WEIGHTS) == ""
