@@ -15,7 +15,8 @@ class ChunkIds(dict):
 
     The vocabulary splits at white space before anything else, so a text has the ids of its
     chunks one after another. A chunk of letters with a comma or full stop behind it is split
-    there in the same way. The cache empties itself when it is full.
+    there in the same way, if it still ends in a letter when normalised: some letters become a
+    letter and a mark, which is one piece with the comma. The cache empties itself when it is full.
     """
 
     def __init__(self, path: str, most=CACHE_CHUNKS):
@@ -32,7 +33,7 @@ class ChunkIds(dict):
                 out = self[low]
             else:  # the letters a-z stand for themselves in the byte alphabet
                 out = np.array([t.id for t in self.tokenizer.model.tokenize(chunk)], "<u4").tobytes()
-        elif len(chunk) > 1 and chunk[-1] in ",." and chunk[:-1].isalpha():
+        elif len(chunk) > 1 and chunk[-1] in ",." and chunk[:-1].isalpha() and self.ends_in_letter(chunk[:-1]):
             out = self[chunk[:-1]] + self[chunk[-1]]
         else:
             out = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
@@ -40,6 +41,9 @@ class ChunkIds(dict):
             self[chunk] = out
         return out
 
+    def ends_in_letter(self, chunk: str) -> bool:
+        return chunk[-1].isascii() or self.tokenizer.normalizer.normalize_str(chunk)[-1].isalpha()
+
     def of(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 

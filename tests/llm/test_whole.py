@@ -1,8 +1,14 @@
 """Whole results where a shorter way would lose some."""
 
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from lathework.llm import html_text
+from lathework.llm.tokens import ChunkIds
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
 
 # The weights that the given pages lead to, rounded.
 WEIGHTS = {"word": 3.0, "link": -0.2, "tag": -3.25, "div": -4.0, "article": -4.0, "a": -4.0, "other": -4.0, "form": -4.0} | dict.fromkeys(
@@ -61,3 +67,13 @@ def test_large_side_parts_stay_outside(begin, end):
 
 def test_pages_of_side_parts_only_are_empty():
     assert html_text.main_text("<nav>Home About</nav><footer>c</footer>", WEIGHTS) == ""
+
+
+def test_chunk_ids_of_letters_that_end_in_a_mark():
+    ids, whole = ChunkIds(PATH), Tokenizer.from_file(PATH)
+    letters = [chr(n) for n in range(0x80, 0x20000) if not 0xD800 <= n < 0xE000 and chr(n).isalpha()]
+    marked = [x for x in letters if not whole.normalizer.normalize_str(x)[-1].isalpha()]
+    assert {"\u0130", "\u0958", "\u09dc"} <= set(marked)
+    for word in ["CUMHUR\u0130YET\u0130", *["a" + x for x in marked], *["a" + x for x in letters[::50]]]:
+        for text in (word + ",", word + ".", f"b {word}, c"):
+            assert ids.of(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
