@@ -136,20 +136,25 @@ def sizes_of(docs: DataFrame, doc_id, source, text) -> DataFrame:
 
 
 def mix_summary(docs: DataFrame, doc_id="doc_id", source="source", text="text", **options) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for each row of ``docs``.
+    """``doc_id, size, source_size, target, taken, positions`` for each row of ``docs``, in training order.
 
-    A null text has size 0, a null source is a source of its own, sorted last. Repeated rows
+    ``positions`` has the training position of each copy that is due, from the first to the
+    last. Rows are sorted by the first one over all partitions; those of which nothing is due
+    have none and come last. A null text has size 0, a null source is a source of its own, sorted last. Repeated rows
     count one by one. A document at the end of its source's demand is taken in part. An empty
     table gives an empty table. Other columns are not read.
     """
     sizes = sizes_of(docs, doc_id, source, text)
     placed, targets = placements(sizes, **options)
-    taken = placed.groupBy(ROW).agg(F.sum("taken").alias("taken"))
+    taken = placed.groupBy(ROW).agg(F.sum("taken").alias("taken"), F.sort_array(F.collect_list("position")).alias("positions"))
     named = targets.select(F.col("source").alias("_s"), "source_size", "target")
-    return sizes.join(taken, ROW, "left").join(named, F.col("source").eqNullSafe(F.col("_s"))).select(
+    out = sizes.join(taken, ROW, "left").join(named, F.col("source").eqNullSafe(F.col("_s"))).select(
         "doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("positions", F.array().cast("array<double>")).alias("positions"), ROW,
     )
+    order = F.get("positions", F.lit(0)).asc_nulls_last(), F.col(ROW)
+    return out.repartitionByRange(*order).sortWithinPartitions(*order).drop(ROW)
 
 
 def mix(docs: DataFrame, doc_id="doc_id", source="source", text="text", n_chars="n_chars", **options) -> DataFrame:

@@ -171,6 +171,12 @@ FROM r
 
 @query("op9_mixing", OP9_SQL)
 def op9(spark, folder):
+    # the contract's columns, in training order
+    return op9_positions(spark, folder).drop("positions")
+
+
+@query("op9_positions")
+def op9_positions(spark, folder):
     return mixing.mix_summary(table(spark, folder, "documents")).withColumn("target", F.round("target", 6))
 
 

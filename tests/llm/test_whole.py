@@ -1,11 +1,16 @@
 """Whole results where a shorter way would lose some."""
 
+import hashlib
+from collections import defaultdict
+
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lathework.llm import html_text
+from lathework.llm import html_text, mixing
+from lathework.llm.registry import QUERIES
 from lathework.llm.tokens import ChunkIds
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -77,3 +82,48 @@ def test_chunk_ids_of_letters_that_end_in_a_mark():
     for word in ["CUMHUR\u0130YET\u0130", *["a" + x for x in marked], *["a" + x for x in letters[::50]]]:
         for text in (word + ",", word + ".", f"b {word}, c"):
             assert ids.of(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+
+
+def served(even, t):
+    """The share of a source's demand that is due by a time: weights from 3 to 1, or from 1 to 3."""
+    return 1.5 * t - t * t / 2 if even else t / 2 + t * t / 2
+
+
+def brute_positions(rows):
+    """By ``doc_id``: the position of each copy, found by halving; ``rows`` are ``doc_id, source, size, target``."""
+    by_source = defaultdict(list)
+    for doc, source, size, target in rows:
+        by_source[source].append((int(hashlib.md5(str(doc).encode()).hexdigest()[:13], 16), doc, size, target))
+    out = defaultdict(list)
+    spoken = sorted((s for s in by_source if s is not None and any(x[2] for x in by_source[s])), key=lambda s: s.encode())
+    for rank, source in enumerate(spoken):
+        due, at = round(by_source[source][0][3]), 0
+        for _, doc, size, _ in sorted(by_source[source]) * 2:
+            taken = max(0, min(size, due - at))
+            if taken:
+                low, high, share = 0.0, 1.0, (at + taken / 2) / due
+                for _ in range(60):
+                    half = (low + high) / 2
+                    low, high = (half, high) if served(rank % 2 == 0, half) < share else (low, half)
+                out[doc].append(low)
+            at += size
+    return out
+
+
+def test_positions_of_mixed_documents(spark, docs):
+    summary = mixing.mix_summary(docs)
+    assert summary.columns == ["doc_id", "size", "source_size", "target", "taken", "positions"]
+    rows = summary.collect()
+    source = dict(docs.select("doc_id", "source").collect())
+    want = brute_positions([(r["doc_id"], source[r["doc_id"]], r["size"], r["target"]) for r in rows])
+    for r in rows:
+        assert r["positions"] == pytest.approx(want[r["doc_id"]], abs=1e-9) and bool(r["positions"]) == (r["taken"] > 0)
+    first = [r["positions"][0] if r["positions"] else 2.0 for r in rows]
+    assert first == sorted(first) and len(set(first)) > 100
+
+
+def test_mixed_rows_and_the_query_are_in_training_order(spark, data, docs):
+    want = sorted((p, r["doc_id"]) for r in mixing.mix_summary(docs).collect() for p in r["positions"])
+    assert [r["doc_id"] for r in mixing.mix(docs).collect()] == [d for _, d in want]
+    got = [r["doc_id"] for r in QUERIES["op9_mixing"](spark, data).collect()]
+    assert got[:len({d for _, d in want})] == list(dict.fromkeys(d for _, d in want))
