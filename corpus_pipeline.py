@@ -37,8 +37,11 @@ def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pieces of token windows, with the ids of each piece."""
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    """Pieces of token windows, with the ids of each piece; sequence ids go with the training order.
+
+    The order of the mixed rows is lost when they are written and read, so it is found anew.
+    """
+    return packing.pack(mixing.in_order(docs), public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [("quality", quality), ("exact", exact), ("near", near), ("mix", mix), ("pack", pack)]

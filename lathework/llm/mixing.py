@@ -21,6 +21,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
 BUCKET_ROWS = 20_000
+RANGE_WORDS = 2_000_000
 
 
 def count_words(text: Column) -> Column:
@@ -57,9 +58,15 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST) ->
 
 
 def default_knots(targets: DataFrame) -> DataFrame:
-    """Schedules that fade odd-ranked sources in and even-ranked ones out, from 3:1 to 1:3."""
+    """Schedules that fade odd-ranked sources in and even-ranked ones out, from 3:1 to 1:3.
+
+    The ranks are those among the sources that have words, so that they can be told from the
+    mixed documents too.
+    """
+    spoken = targets.filter("source_size > 0").select("source", F.col("source").isNull().alias("_null"))
+    spoken = ranked(spoken, "_null", "source")
     sign = F.when(F.col("rank") % 2 == 0, 0.5).otherwise(-0.5)
-    return targets.select(
+    return spoken.select(
         "source", F.explode(F.array(
             F.struct(F.lit(0.0).alias("t"), (1 + sign).alias("w")), F.struct(F.lit(1.0).alias("t"), (1 - sign).alias("w"))
         )).alias("k")
@@ -96,32 +103,47 @@ def inverse(segments: Column, due: Column) -> Column:
     return F.coalesce(F.least(s["t"] + step, F.lit(1.0)), due)
 
 
-def placements(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, knots: DataFrame | None = None,
-               bucket_rows=BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Where each document goes: ``_row, copy, taken, position``, and the table of targets.
+def _same(a: str, b: str) -> Column:
+    return F.col(a).eqNullSafe(F.col(b))
 
-    ``sizes``: ``_row, doc_id, source, size`` of every row, a table that was written. A source
-    may hold a third of all rows, so its running total is made of bucket totals and of
-    running totals within buckets of about ``bucket_rows`` rows.
+
+def running(sizes: DataFrame, bucket_rows=BUCKET_ROWS) -> DataFrame:
+    """``sizes`` with ``begin``, the words before a row in its source, in the order of mixing.
+
+    ``sizes``: ``_row, doc_id, source, size`` and, if there is one, ``copy``, which goes before
+    the hash of the id.
     """
-    targets = settle(source_targets(sizes, weights, share, most), "targets")
     n = groups_of(sizes.count(), bucket_rows)
-    hashed = sizes.withColumn("h", place_hash(F.col("doc_id"))).withColumn("bucket", F.shiftright("h", 52 - n.bit_length() + 1))
-    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    lap = F.col("copy") * n if "copy" in sizes.columns else F.lit(0)
+    hashed = sizes.withColumn("h", place_hash(F.col("doc_id"))).withColumn(
+        "bucket", lap + F.shiftright("h", 52 - n.bit_length() + 1)
+    )
     totals = hashed.groupBy("source", "bucket").agg(F.sum("size").alias("_sum")).select(
         F.col("source").alias("_s"), F.col("bucket").alias("_b"),
         (F.sum("_sum").over(W.partitionBy("source").orderBy("bucket")) - F.col("_sum")).alias("_before"),
     )
     inside = W.partitionBy("source", "bucket").orderBy("h", "doc_id", "size", ROW).rowsBetween(W.unboundedPreceding, 0)
-    at = hashed.withColumn("_upto", F.sum("size").over(inside)).join(
-        totals, same("source", "_s") & (F.col("bucket") == F.col("_b"))
+    return hashed.withColumn("_upto", F.sum("size").over(inside)).join(
+        totals, _same("source", "_s") & (F.col("bucket") == F.col("_b"))
     ).withColumn("begin", F.col("_before") + F.col("_upto") - F.col("size"))
+
+
+def placements(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, knots: DataFrame | None = None,
+               bucket_rows=BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Where each document goes: ``_row, copy, taken, position``, and the table of targets.
+
+    ``sizes``: ``_row, doc_id, source, size`` of every row, a table that was written. A source
+    may hold a third of all rows, so its running total is made of bucket totals and of
+    running totals within buckets of about ``bucket_rows`` rows.
+    """
+    targets = settle(source_targets(sizes, weights, share, most), "targets")
+    at = running(sizes, bucket_rows)
     segments = integrated(default_knots(targets) if knots is None else knots).withColumnRenamed("source", "_k")
-    plan = targets.join(segments, same("source", "_k"), "left").select(
+    plan = targets.join(segments, _same("source", "_k"), "left").select(
         F.col("source").alias("_t"), "source_size", F.round("target").cast("long").alias("due"), "segments"
     )
     copies = F.explode(F.sequence(F.lit(0), F.lit(int(-(-most // 1)) - 1))).alias("copy")
-    placed = at.join(plan, same("source", "_t")).select(ROW, "size", "begin", "source_size", "due", "segments", copies)
+    placed = at.join(plan, _same("source", "_t")).select(ROW, "size", "begin", "source_size", "due", "segments", copies)
     placed = placed.withColumn("begin", F.col("begin") + F.col("copy") * F.col("source_size"))
     taken = F.greatest(F.lit(0), F.least(F.col("size"), F.col("due") - F.col("begin"))).cast("long")
     placed = placed.withColumn("taken", taken).filter("taken > 0")
@@ -179,3 +201,32 @@ def mix(docs: DataFrame, doc_id="doc_id", source="source", text="text", n_chars=
             value = F.when(F.col("taken") < F.col("size"), F.char_length("_text").cast(docs.schema[name].dataType)).otherwise(value)
         columns.append(value.alias(name))
     return due.repartitionByRange("position", ROW, "copy").sortWithinPartitions("position", ROW, "copy").select(*columns)
+
+
+def in_order(mixed: DataFrame, doc_id="doc_id", source="source", text="text", knots: DataFrame | None = None,
+             bucket_rows=BUCKET_ROWS, range_words=RANGE_WORDS) -> DataFrame:
+    """``doc_id, text, position`` of documents that ``mix`` gave, in training order again.
+
+    Tables that are written and read lose the order of their rows; here it is found anew from
+    the rows alone. The words of a source fill its demand, so the same running total and the
+    same schedules give the very positions of ``mix``. Rows of a source that share an id are
+    copies, the longest first: ids are unique within a source before mixing. Each partition is
+    a range of training time with about ``range_words`` words. Rows without words are not of
+    ``mix`` and come last. An empty table gives an empty table.
+    """
+    rows = numbered(mixed.select(
+        c(doc_id).alias("doc_id"), c(source).cast("string").alias("source"), c(text).alias("text"), count_words(text_of(text)).alias("size")
+    ), "mixed")
+    by_id = W.partitionBy("source", "doc_id").orderBy(F.col("size").desc(), ROW)
+    sizes = rows.select(ROW, "doc_id", "source", "size").filter("size > 0").withColumn("copy", F.row_number().over(by_id) - 1)
+    due = settle(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "due")
+    total = due.agg(F.sum("source_size")).first()[0] or 0
+    segments = integrated(default_knots(due) if knots is None else knots).withColumnRenamed("source", "_k")
+    plan = due.join(segments, _same("source", "_k"), "left").select(F.col("source").alias("_t"), "source_size", "segments")
+    middle = (F.col("begin") + F.col("size") / 2) / F.col("source_size")
+    at = running(sizes, bucket_rows).join(plan, _same("source", "_t")).select(
+        ROW, "copy", inverse(F.col("segments"), middle).alias("position")
+    )
+    order = F.col("position").asc_nulls_last(), F.col("doc_id"), F.col("copy")
+    out = rows.select(ROW, "doc_id", "text").join(at, ROW, "left")
+    return out.repartitionByRange(groups_of(total, range_words), *order).sortWithinPartitions(*order).select("doc_id", "text", "position")

@@ -126,7 +126,9 @@ def pack(docs: DataFrame, tokenizer_path: str, doc_id="doc_id", text="text", cap
     empty or null text has that one id. Repeated rows are packed one by one. A sequence is
     full or has a power of two of ids, so none needs padding. ``capacity`` is a power of two.
     Sequence ids are the task's number in the high bits and a running number in the low ones:
-    a task that is run again gives the same pieces. An empty table gives an empty table.
+    a task that is run again gives the same pieces. So sequence ids go with the order of the
+    partitions of ``docs`` and, within one, with the order in which windows get full; those
+    still open at its end come last. An empty table gives an empty table.
     Other columns are not read.
     """
     if capacity & (capacity - 1):

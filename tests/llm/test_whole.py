@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lathework.llm import html_text, mixing
+import corpus_pipeline
+from lathework.llm import html_text, mixing, packing
 from lathework.llm.registry import QUERIES
 from lathework.llm.tokens import ChunkIds
 
@@ -127,3 +128,34 @@ def test_mixed_rows_and_the_query_are_in_training_order(spark, data, docs):
     assert [r["doc_id"] for r in mixing.mix(docs).collect()] == [d for _, d in want]
     got = [r["doc_id"] for r in QUERIES["op9_mixing"](spark, data).collect()]
     assert got[:len({d for _, d in want})] == list(dict.fromkeys(d for _, d in want))
+
+
+def test_order_is_found_anew_and_packed(spark, data, docs):
+    want = sorted((p, r["doc_id"]) for r in mixing.mix_summary(docs).collect() for p in r["positions"])
+    mixed = mixing.mix(docs).cache()
+    shuffled = mixed.repartition(7, F.rand(1))
+    found = mixing.in_order(shuffled, bucket_rows=20, range_words=3_000).cache()
+    assert [(r["position"], r["doc_id"]) for r in found.collect()] == want
+    assert sorted(found.select("doc_id", "text").collect()) == sorted(mixed.select("doc_id", "text").collect())
+
+    where = defaultdict(list)
+    for p, d in want:
+        where[d].append(p)
+    last, ranges = defaultdict(list), defaultdict(list)
+    for r in packing.pack(found, PATH).select("doc_id", "sequence_id").collect():
+        if len(where[r["doc_id"]]) == 1:
+            last[r["sequence_id"]].append(where[r["doc_id"]][0])
+    for seq, at in last.items():
+        ranges[seq >> 33] += at
+    spans = [(min(ranges[k]), max(ranges[k])) for k in sorted(ranges)]
+    assert len(spans) > 4 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_pack_stage_does_not_depend_on_the_order_of_rows(spark, data, docs):
+    mixed = mixing.mix(docs).cache()
+    stage = dict(corpus_pipeline.STAGES)["pack"]
+    one, other = (
+        sorted(tuple(r) for r in stage(spark, x, data).select("sequence_id", "offset", "doc_id", "start", "length").collect())
+        for x in (mixed, mixed.repartition(7, F.rand(1)))
+    )
+    assert one == other
