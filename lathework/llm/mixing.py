@@ -139,9 +139,10 @@ def placements(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, knots:
     targets = settle(source_targets(sizes, weights, share, most), "targets")
     at = running(sizes, bucket_rows)
     segments = integrated(default_knots(targets) if knots is None else knots).withColumnRenamed("source", "_k")
-    plan = targets.join(segments, _same("source", "_k"), "left").select(
+    # written, so that the size of a few sources is known and no source meets in one task of a join
+    plan = settle(targets.join(segments, _same("source", "_k"), "left").select(
         F.col("source").alias("_t"), "source_size", F.round("target").cast("long").alias("due"), "segments"
-    )
+    ), "plan")
     copies = F.explode(F.sequence(F.lit(0), F.lit(int(-(-most // 1)) - 1))).alias("copy")
     placed = at.join(plan, _same("source", "_t")).select(ROW, "size", "begin", "source_size", "due", "segments", copies)
     placed = placed.withColumn("begin", F.col("begin") + F.col("copy") * F.col("source_size"))
@@ -222,7 +223,7 @@ def in_order(mixed: DataFrame, doc_id="doc_id", source="source", text="text", kn
     due = settle(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "due")
     total = due.agg(F.sum("source_size")).first()[0] or 0
     segments = integrated(default_knots(due) if knots is None else knots).withColumnRenamed("source", "_k")
-    plan = due.join(segments, _same("source", "_k"), "left").select(F.col("source").alias("_t"), "source_size", "segments")
+    plan = settle(due.join(segments, _same("source", "_k"), "left").select(F.col("source").alias("_t"), "source_size", "segments"), "plan")
     middle = (F.col("begin") + F.col("size") / 2) / F.col("source_size")
     at = running(sizes, bucket_rows).join(plan, _same("source", "_t")).select(
         ROW, "copy", inverse(F.col("segments"), middle).alias("position")
