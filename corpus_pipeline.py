@@ -10,32 +10,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lathework.llm import exact_dedup, mixing, near_join, packing, rules
-from lathework.plans.registry import table
+from lathework.plans.registry import shipping, table
 from lathework.session import settle
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+@shipping
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the rule ensemble rejects go."""
     return rules.keep_quality(docs, table(spark, folder, "labels"))
 
 
+@shipping
 def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One row of each group of equal texts stays."""
     return exact_dedup.keep_distinct(docs)
 
 
+@shipping
 def near(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One row of each group of near copies stays."""
     return near_join.keep_one(docs)
 
 
+@shipping
 def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Sources in their target weights, in training order; some documents are there twice."""
     return mixing.mix(docs)
 
 
+@shipping
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pieces of token windows, with the ids of each piece; sequence ids go with the training order.
 
@@ -50,6 +55,7 @@ STAGES = [("quality", quality), ("exact", exact), ("near", near), ("mix", mix),
 ORACLE_SQL = None
 
 
+@shipping
 def run(spark: SparkSession, folder: str) -> DataFrame:
     """All stages on the documents of ``folder``; each result is written and read again."""
     docs = table(spark, folder, "documents")

@@ -31,11 +31,16 @@ def align_target(features: DataFrame, target: DataFrame, key: str, check=False)
     return features.join(target, key, "inner")
 
 
-def join_statistics(df: DataFrame, stats: DataFrame, on) -> DataFrame:
+def broadcast_if_small(stats: DataFrame, limit_rows=None) -> DataFrame:
+    """``stats`` as it is: adaptive execution decides on a broadcast from its measured size."""
+    return stats
+
+
+def join_statistics(df: DataFrame, stats: DataFrame, on, limit_rows=None) -> DataFrame:
     """Left join of a table with one row of statistics per group.
 
     Adaptive execution broadcasts the statistics if their measured size allows it, and splits
-    hot groups where it does not.
+    hot groups where it does not, so ``limit_rows``, which callers may still pass, has no part.
     """
     return df.join(stats, [on] if isinstance(on, str) else list(on), "left")
 

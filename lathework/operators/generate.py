@@ -96,7 +96,7 @@ def score_features(df: DataFrame, trees, label: str) -> Scored:
     ).first()
     good = [i for i in range(len(trees)) if row[f"b{i}"] == 0]
     centre = [row[f"m{i}"] for i in good] + [row["my"]]
-    m = pooled(moments(df, [*[columns[i] for i in good], y], centre=centre))
+    m = pooled(moments(df, [*[columns[i] for i in good], y], centre=centre, on_missing="raise"))
     s = m.scatter
     size = np.sqrt(np.maximum(np.diag(s), 0))
     scale = np.abs(np.array(centre)) * np.sqrt(m.n)

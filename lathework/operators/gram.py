@@ -129,13 +129,14 @@ def means(rows: DataFrame) -> np.ndarray:
 
 
 def moments(df: DataFrame, columns, centre=None, group: Column | None = None,
-            weight: Column | None = None, on_missing="raise") -> dict[int, Moments]:
+            weight: Column | None = None, on_missing="drop") -> dict[int, Moments]:
     """Weight, sums and cross products per group, in one scan.
 
     ``centre`` is subtracted first, which keeps sums of large values exact enough; by default
     it is the mean of each column, from one cheap aggregate. ``group`` must be a whole number
-    with few values, such as a fold. A missing value is an error, or with ``on_missing`` of
-    ``drop`` its row is left out; ``n`` is the weight of the rows that took part.
+    with few values, such as a fold. A row that misses a value is left out, or with ``on_missing``
+    of ``raise`` is an error, as every estimator asks for; ``n`` is the weight of the rows that
+    took part.
     """
     rows = numeric_rows(
         df, columns, g=F.lit(0) if group is None else group, w=F.lit(1.0) if weight is None else weight

@@ -258,7 +258,8 @@ class ChainedImputer:
     def transform(self, df: DataFrame) -> DataFrame:
         names, fill = self.columns, self._replay()
         rest = [n for n in df.columns if n not in names]
-        extra = [self._noise(n) for n in self.incomplete] if self.noise else []
+        noise = self.noise and bool(self.incomplete)
+        extra = [self._noise(n) for n in self.incomplete] if noise else []
         rows = df.select(
             F.struct(*[c(n) for n in rest], F.lit(0).alias("_one")).alias("rest"),
             F.array(*[c(n).cast("double") for n in names]).alias("x"),
@@ -268,7 +269,7 @@ class ChainedImputer:
         def run(batches):
             for batch in batches:
                 if batch.num_rows:
-                    more = matrix_of(batch, "extra") if extra else None
+                    more = matrix_of(batch, "extra") if noise else None
                     z = fill(matrix_of(batch), more)
                     offsets = np.arange(0, z.size + 1, z.shape[1], dtype=np.int32)
                     filled = pa.ListArray.from_arrays(pa.array(offsets), pa.array(z.ravel()))

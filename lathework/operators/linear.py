@@ -22,7 +22,7 @@ from lathework.operators.stages import LinearModel, Regressor, number, numbers,
 def label_moments(dataset: DataFrame, features: str, label: str, fold: Column | None = None) -> dict[int, Moments]:
     """Cross products of ``[x, y]`` per fold; y is the last entry."""
     joined = dataset.withColumn("_xy", F.concat(vector_to_array(F.col(features)), F.array(F.col(label).cast("double"))))
-    return moments(joined, "_xy", group=fold)
+    return moments(joined, "_xy", group=fold, on_missing="raise")
 
 
 def ridge_coefficients(m: Moments, alpha: float) -> tuple[np.ndarray, float]:

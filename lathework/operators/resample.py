@@ -95,7 +95,7 @@ def linear_cross_validate(df: DataFrame, features, label: str, fold: Column, rid
     aggregates per fold.
     """
     columns = [c(n) for n in features]
-    parts = moments(df, [*columns, c(label)], group=fold)
+    parts = moments(df, [*columns, c(label)], group=fold, on_missing="raise")
     everything = pooled(parts)
     fits = {f: ridge_coefficients(everything - m, ridge) for f, m in parts.items()}
     marked = df.withColumn("fold", fold.cast("bigint"))

@@ -253,7 +253,7 @@ class FastICA(VectorEstimator):
     defaults = {"tol": 1e-4, "max_iter": 200, "k": 0, "seed": 7}
 
     def _fit(self, dataset):
-        m = pooled(moments(dataset, self.getInputCol()))
+        m = pooled(moments(dataset, self.getInputCol(), on_missing="raise"))
         mean = m.mean
         # Whiten from correlations, so that the rank does not depend on the columns' units.
         cov = m.scatter / m.n
@@ -308,7 +308,7 @@ def column_distances(dataset: DataFrame, name: str, affinity: str) -> np.ndarray
         return cells.reshape(size, size)
     # Distances between columns are about the raw values, so nothing is centred.
     size = vector_size(dataset, name)
-    cross = pooled(moments(dataset, name, centre=np.zeros(size))).cross
+    cross = pooled(moments(dataset, name, centre=np.zeros(size), on_missing="raise")).cross
     norms = np.diag(cross)
     if affinity in ("euclidean", "l2"):
         return np.sqrt(np.maximum(norms[:, None] + norms[None, :] - 2 * cross, 0))

@@ -29,12 +29,12 @@ def query(name: str, sql: str | None = None):
 
 
 def shipping(fn):
-    """``fn(spark, folder)`` that first sees to it that the workers have this package."""
+    """``fn(spark, ...)`` that first sees to it that the workers have this package."""
 
     @wraps(fn)
-    def run(spark: SparkSession, folder: str) -> DataFrame:
+    def run(spark: SparkSession, *rest) -> DataFrame:
         ship(spark)
-        return fn(spark, folder)
+        return fn(spark, *rest)
 
     return run
 
