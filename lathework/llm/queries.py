@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lathework.llm import exact_dedup, html_text, merkle, mixing, near_join, packing, rules, suffix_dedup, toxicity, url_lists
+from lathework.llm import exact_dedup, filter_audit, html_text, merkle, mixing, near_join, packing, rules, suffix_dedup, toxicity, url_lists
 from lathework.llm.registry import query
 from lathework.plans.registry import table
 
@@ -183,3 +183,47 @@ def op9_positions(spark, folder):
 @query("op10_rules")
 def op10(spark, folder):
     return rules.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+OP12_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+f AS (
+  SELECT d.doc_id, part,
+         concat(CASE WHEN len(words) < 100 THEN 'A' ELSE '' END,
+                CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END,
+                CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) THEN 'C' ELSE '' END,
+                CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END,
+                CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails
+  FROM d),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+k AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+v AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT concat(a.x, b.x, c.x, e.x, g.x) AS filter_order FROM v a, v b, v c, v e, v g
+  WHERE len(list_distinct([a.x, b.x, c.x, e.x, g.x])) = 5),
+s AS (
+  SELECT part, filter_order, step::INT AS step, substr(filter_order, step, 1) AS own, n, good, toxic, fails,
+         translate(fails, substr(filter_order, 1, step - 1), '') = fails AS alive
+  FROM k, o, range(1, 6) r(step)),
+t AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (alive AND NOT contains(fails, own)), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (alive AND contains(fails, own)), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (NOT alive AND contains(fails, own)), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (alive AND contains(fails, own)), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (alive AND contains(fails, own)), 0)::BIGINT AS toxic_lost
+  FROM s GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley
+FROM t
+"""
+
+
+@query("op12_filter_audit", OP12_SQL)
+def op12(spark, folder):
+    return filter_audit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
