@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lathework.llm import exact_dedup, filter_audit, html_text, merkle, mixing, near_join, packing, rules, suffix_dedup, toxicity, url_lists
+from lathework.llm import ball_codes, exact_dedup, filter_audit, html_text, merkle, mixing, near_join, packing, rules, suffix_dedup, toxicity, url_lists
 from lathework.llm.registry import query
 from lathework.plans.registry import table
 
@@ -227,3 +227,38 @@ FROM t
 @query("op12_filter_audit", OP12_SQL)
 def op12(spark, folder):
     return filter_audit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _op11_assign(k):
+    return f"""
+a{k} AS MATERIALIZED (
+  SELECT p.r, p.part, min(64 * list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT + c.e) AS best
+  FROM p JOIN c{k} c ON p.part = c.part GROUP BY p.r, p.part)"""
+
+
+def _op11_round(k):
+    return f"""{_op11_assign(k)},
+s{k} AS (
+  SELECT part, e, pos, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT a.part, a.best % 64 AS e, unnest(p.v) AS x, unnest(range(len(p.v))) AS pos FROM a{k} a JOIN p USING (r, part)) GROUP BY part, e, pos),
+m{k} AS (SELECT part, e, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS v FROM s{k} GROUP BY part, e),
+c{k + 1} AS MATERIALIZED (SELECT c.part, c.e, coalesce(m.v, c.v) AS v FROM c{k} c LEFT JOIN m{k} m USING (part, e))"""
+
+
+OP11_SQL = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, label NULLS FIRST, embedding) AS r,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, k AS part, q[k * w + 1:(k + 1) * w] AS v FROM (SELECT r, q, len(q) // 16 AS w FROM kept) z, range(16) t(k)),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS e, v FROM p WHERE r <= 64),{_op11_round(0)},{_op11_round(1)},{_op11_assign(2)},
+o AS (
+  SELECT r, string_agg(printf('%02x', best % 64), '' ORDER BY part) AS code, sum(best // 64)::BIGINT AS error FROM a2 GROUP BY r),
+b AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN o USING (r), b
+"""
+
+
+@query("op11_ball_codes", OP11_SQL)
+def op11(spark, folder):
+    return ball_codes.vector_codes(table(spark, folder, "embeddings"))
