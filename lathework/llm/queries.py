@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lathework.llm import ball_codes, exact_dedup, filter_audit, html_text, merkle, mixing, near_join, packing, rules, suffix_dedup, toxicity, url_lists
+from lathework.llm import ball_codes, exact_dedup, filter_audit, html_text, merkle, mixing, near_join, packing, pii, rules, suffix_dedup, toxicity, url_lists
 from lathework.llm.registry import query
 from lathework.plans.registry import table
 
@@ -262,3 +262,8 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 @query("op11_ball_codes", OP11_SQL)
 def op11(spark, folder):
     return ball_codes.vector_codes(table(spark, folder, "embeddings"))
+
+
+@query("op13_pii")
+def op13(spark, folder):
+    return pii.personal_data(table(spark, folder, "documents"))
