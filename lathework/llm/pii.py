@@ -233,6 +233,7 @@ def discovered(table: DataFrame, support=SUPPORT, floor=FLOOR, accept=ACCEPT, ro
     )
     # a seed's value in another form needs no pattern
     known = each.filter("kind IS NOT NULL").groupBy("value").agg(F.min("kind").alias("kind")).withColumn("score", F.lit(1.0))
+    known = known.join(each.filter("kind IS NULL").select("value").distinct().hint("merge"), "value", "left_semi")
     return known.unionByName(named.join(known, "value", "left_anti"))
 
 
@@ -243,6 +244,10 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(ordered, lambda m: F.concat_ws(":", F.element_at(name, m["kind"] + 1), m["start"], m["end"])), ",")
 
 
+def _number_of(kind: int) -> Column:
+    return F.size(F.filter("base", lambda m: m["kind"] == kind)).cast("long")
+
+
 def personal_data(docs: DataFrame, doc_id="doc_id", text="text", **options) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, found`` for each row of ``docs``.
 
@@ -262,7 +267,7 @@ def personal_data(docs: DataFrame, doc_id="doc_id", text="text", **options) -> D
     )
     base = F.transform(F.filter("mentions", lambda m: m["kind"].isNotNull()), lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end")))
     rows = table.select(ROW, "doc_id", base.alias("base")).join(spans, ROW, "left")
-    counts = [F.size(F.filter("base", lambda m, k=k: m["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [_number_of(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     more = F.coalesce("more", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
     return rows.select(
         "doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.concat("base", more)).alias("spans"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,11 +17,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from lathework.llm.textbytes import _SPACE, OTHER, chunks, prefix_sums, stretch_hash, word_bounds
-from lathework.operators.ranks import ranked
 from lathework.session import settle
 
-SHARD_BYTES = 1 << 23
-PIECE_BYTES = 1 << 21
+SHARD_BYTES = 1 << 22
+PIECE_BYTES = 1 << 19
 
 
 def pieces(column, most=PIECE_BYTES):
@@ -89,11 +89,11 @@ class Shard:
         if len(words):
             own = np.array([self.words.setdefault(w, len(self.words)) for w in words])
             cell, counts = np.unique(rows * len(words) + codes, return_counts=True)
-            self.cells.append((row + cell // len(words), own[cell % len(words)], counts))
+            self.cells.append([x.astype(np.int32) for x in (row + cell // len(words), own[cell % len(words)], counts)])
         self.size += len(data)
 
     def row(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
-        none = (np.zeros(0, np.int64),) * 3
+        none = (np.zeros(0, np.int32),) * 3
         rows, columns, counts = summed_cells(*(np.concatenate(x) for x in zip(*self.cells))) if self.cells else none
         ends = np.searchsorted(rows, np.arange(self.rows + 1))
         docs = pa.concat_arrays(self.docs)
@@ -139,10 +139,30 @@ def local_shards(docs: DataFrame, text="text", shard_bytes=SHARD_BYTES) -> DataF
     return docs.select(*[f.name for f in kept], text).mapInArrow(run, schema)
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """``word, term``: all words of the shards, numbered from 0 in their order."""
-    words = shards.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("shards"))
-    return ranked(words.select("word"), "word", name="term")
+def numbered_words(shards: DataFrame) -> DataFrame:
+    """``owner, at, word, term``: the number of every word of every shard, the same in all shards.
+
+    Words are dealt by hash and sorted; the r-th word of partition p of P is number r * P + p, so
+    the numbers have few gaps, and a word is shuffled once for each shard that has it.
+    """
+    parts = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = shards.select(F.col("shard").alias("owner"), F.posexplode("words").alias("at", "word"))
+
+    def run(batches):
+        part, rank, last = TaskContext.get().partitionId(), -1, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word = batch.column("word")
+            new = np.ones(len(word), dtype=np.int64)
+            new[0] = word[0].as_py() != last
+            new[1:] = pc.not_equal(word.slice(1), word.slice(0, len(word) - 1)).to_numpy(zero_copy_only=False)
+            ranks = rank + np.cumsum(new)
+            rank, last = int(ranks[-1]), word[len(word) - 1].as_py()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ranks * parts + part)], names=[*batch.schema.names, "term"])
+
+    # a fixed number of partitions: those that adaptive execution merges would not know their own
+    return words.repartition(parts, "word").sortWithinPartitions("word").mapInArrow(run, "owner long, at int, word binary, term long")
 
 
 def term_matrix(docs: DataFrame, text="text", shard_bytes=SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -154,8 +174,8 @@ def term_matrix(docs: DataFrame, text="text", shard_bytes=SHARD_BYTES) -> tuple[
     words of any length count in full. An empty table gives an empty matrix.
     """
     local = settle(local_shards(docs, text, shard_bytes), "shards")
-    terms = settle(dictionary(local), "dictionary")
-    places = local.select(F.col("shard").alias("owner"), F.posexplode("words").alias("at", "word")).join(terms.hint("merge"), "word").select("owner", "at", "term")
+    numbers = numbered_words(local)
+    places = numbers.select("owner", "at", "term")
     schema = StructType([*local.schema.fields[:3], StructField("terms", BinaryType()), StructField("counts", BinaryType())])
     arrow = to_arrow_schema(schema)
 
@@ -173,7 +193,7 @@ def term_matrix(docs: DataFrame, text="text", shard_bytes=SHARD_BYTES) -> tuple[
         return pa.Table.from_batches(out, schema=arrow)
 
     whole = local.drop("words")
-    return whole.groupBy("shard").cogroup(places.groupBy("owner")).applyInArrow(renumber, schema), terms
+    return whole.groupBy("shard").cogroup(places.groupBy("owner")).applyInArrow(renumber, schema), numbers.select("word", "term").distinct()
 
 
 def row_totals(matrix: DataFrame) -> DataFrame:
