@@ -19,8 +19,9 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 from lathework.llm.textbytes import _SPACE, OTHER, chunks, prefix_sums, stretch_hash, word_bounds
 from lathework.session import settle
 
-SHARD_BYTES = 1 << 22
+SHARD_BYTES = 1 << 23
 PIECE_BYTES = 1 << 19
+HELD_ROWS = 1 << 20  # words of a partition that a task holds before it passes them on
 
 
 def pieces(column, most=PIECE_BYTES):
@@ -58,13 +59,37 @@ def encoded(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def slim(x: np.ndarray) -> bytes:
-    """The numbers in the narrowest unsigned type that holds them, which goes before them."""
-    kind = np.min_scalar_type(int(x.max()) if len(x) else 0)
-    return kind.char.encode() + x.astype(kind).tobytes()
+    """Whole numbers from 0 in as few bytes as the largest needs, all first bytes first, then all second ones.
+
+    The number of bytes goes before them. High bytes are mostly 0, which compression makes use of.
+    """
+    size = np.min_scalar_type(int(x.max()) if len(x) else 0).itemsize
+    return bytes([size]) + x.astype(f"<u{size}").view(np.uint8).reshape(len(x), size).T.tobytes()
 
 
 def wide(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, dtype=raw[:1].decode(), offset=1).astype(np.int64)
+    size = raw[0]
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{size}").ravel().astype(np.int64)
+
+
+def steps(columns: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Ascending columns of each row as the first one and the differences to the one before."""
+    out = np.diff(columns, prepend=0).astype(np.int64)
+    first = ends[:-1][ends[:-1] < ends[1:]]
+    out[first] = columns[first]
+    return out
+
+
+def unstepped(found: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    total = np.cumsum(found)
+    begin = np.concatenate([[0], total])[ends[:-1]]
+    return total - np.repeat(begin, np.diff(ends))
+
+
+def terms_of(ends: bytes, terms: bytes) -> np.ndarray:
+    """The terms of all cells of a shard."""
+    return unstepped(wide(terms), wide(ends))
 
 
 def summed_cells(rows, columns, counts):
@@ -99,7 +124,7 @@ class Shard:
         docs = pa.concat_arrays(self.docs)
         cells = [
             pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
-            *[pa.array([slim(x)], pa.binary()) for x in (ends, columns, counts)],
+            *[pa.array([slim(x)], pa.binary()) for x in (ends, steps(columns, ends), counts)],
             pa.array([list(self.words)], pa.list_(pa.binary())),
         ]
         return pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(cells, schema)], schema=schema)
@@ -139,17 +164,18 @@ def local_shards(docs: DataFrame, text="text", shard_bytes=SHARD_BYTES) -> DataF
     return docs.select(*[f.name for f in kept], text).mapInArrow(run, schema)
 
 
-def numbered_words(shards: DataFrame) -> DataFrame:
-    """``owner, at, word, term``: the number of every word of every shard, the same in all shards.
+def numbered_words(shards: DataFrame, listed=False) -> DataFrame:
+    """``owner, at, terms``: the numbers of the words of a shard, the same in all shards, in a few rows.
 
     Words are dealt by hash and sorted; the r-th word of partition p of P is number r * P + p, so
-    the numbers have few gaps, and a word is shuffled once for each shard that has it.
+    the numbers have few gaps, and a word is shuffled once for each shard that has it. With
+    ``listed``, the dictionary ``word, term`` instead.
     """
     parts = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = shards.select(F.col("shard").alias("owner"), F.posexplode("words").alias("at", "word"))
 
-    def run(batches):
-        part, rank, last = TaskContext.get().partitionId(), -1, None
+    def ranked(batches):
+        rank, last = -1, None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -159,41 +185,71 @@ def numbered_words(shards: DataFrame) -> DataFrame:
             new[1:] = pc.not_equal(word.slice(1), word.slice(0, len(word) - 1)).to_numpy(zero_copy_only=False)
             ranks = rank + np.cumsum(new)
             rank, last = int(ranks[-1]), word[len(word) - 1].as_py()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ranks * parts + part)], names=[*batch.schema.names, "term"])
+            yield batch, new > 0, ranks * parts + TaskContext.get().partitionId()
+
+    def dictionary(batches):
+        for batch, new, terms in ranked(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("word").filter(pa.array(new)), pa.array(terms[new])], names=["word", "term"])
+
+    def by_owner(held):
+        owner, at, terms = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(owner, kind="stable")
+        ends = np.flatnonzero(np.diff(owner[order], append=-1)) + 1
+        parts = [order[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]), ends)]
+        cells = [pa.array([int(owner[p[0]]) for p in parts])] + [
+            pa.array([slim(x) for x in found], pa.binary())
+            for found in ([at[p] for p in parts], [np.diff(terms[p], prepend=0) for p in parts])
+        ]
+        return pa.RecordBatch.from_arrays(cells, names=["owner", "at", "terms"])
+
+    def places(batches):
+        held, rows = [], 0
+        for batch, _, terms in ranked(batches):
+            held.append((batch.column("owner").to_numpy(), batch.column("at").to_numpy(), terms))
+            rows += len(terms)
+            if rows >= HELD_ROWS:
+                yield by_owner(held)
+                held, rows = [], 0
+        if held:
+            yield by_owner(held)
 
     # a fixed number of partitions: those that adaptive execution merges would not know their own
-    return words.repartition(parts, "word").sortWithinPartitions("word").mapInArrow(run, "owner long, at int, word binary, term long")
+    dealt = words.repartition(parts, "word").sortWithinPartitions("word")
+    return dealt.mapInArrow(dictionary, "word binary, term long") if listed else dealt.mapInArrow(places, "owner long, at binary, terms binary")
 
 
 def term_matrix(docs: DataFrame, text="text", shard_bytes=SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """The matrix ``shard, docs, ends, terms, counts`` and its dictionary ``word, term``.
 
     One row is a shard: the documents' other columns, where each document's cells end, and the
-    terms and counts of the cells, sorted by term within a document (read them with ``wide``).
+    terms and counts of the cells, sorted by term within a document (read them with ``wide`` and
+    ``terms_of``).
     A null, empty or blank text is a document without cells; long texts, repeated rows and
     words of any length count in full. An empty table gives an empty matrix.
     """
     local = settle(local_shards(docs, text, shard_bytes), "shards")
-    numbers = numbered_words(local)
-    places = numbers.select("owner", "at", "term")
+    places = numbered_words(local)
     schema = StructType([*local.schema.fields[:3], StructField("terms", BinaryType()), StructField("counts", BinaryType())])
     arrow = to_arrow_schema(schema)
 
     def renumber(shard: pa.Table, places: pa.Table) -> pa.Table:
-        number = np.zeros(len(places), np.int64)
-        number[places.column("at").to_numpy()] = places.column("term").to_numpy()
+        found = [(wide(a), np.cumsum(wide(t))) for a, t in zip(places.column("at").to_pylist(), places.column("terms").to_pylist())]
+        number = np.zeros(sum(len(a) for a, _ in found), np.int64)
+        for at, terms in found:
+            number[at] = terms
         out = []
         for row in shard.to_batches():
             for i in range(row.num_rows):
                 ends, columns, counts = (wide(row.column(k)[i].as_py()) for k in ("ends", "columns", "counts"))
-                order = np.lexsort((number[columns], np.repeat(np.arange(len(ends) - 1), np.diff(ends))))
-                cells = [pa.array([slim(x)], pa.binary()) for x in (number[columns][order], counts[order])]
+                terms = number[unstepped(columns, ends)]
+                order = np.lexsort((terms, np.repeat(np.arange(len(ends) - 1), np.diff(ends))))
+                cells = [pa.array([slim(x)], pa.binary()) for x in (steps(terms[order], ends), counts[order])]
                 parts = [row.column(k).slice(i, 1) for k in ("shard", "docs", "ends")] + cells
                 out.append(pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(parts, arrow)], schema=arrow))
         return pa.Table.from_batches(out, schema=arrow)
 
     whole = local.drop("words")
-    return whole.groupBy("shard").cogroup(places.groupBy("owner")).applyInArrow(renumber, schema), numbers.select("word", "term").distinct()
+    return whole.groupBy("shard").cogroup(places.groupBy("owner")).applyInArrow(renumber, schema), numbered_words(local, listed=True)
 
 
 def row_totals(matrix: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ def cells_of(matrix, terms):
     assert len(set(words.values())) == len(words)
     out = defaultdict(list)
     for r in matrix.collect():
-        ends, found, counts = (term_matrix.wide(r[k]) for k in ("ends", "terms", "counts"))
+        ends, counts, found = term_matrix.wide(r["ends"]), term_matrix.wide(r["counts"]), term_matrix.terms_of(r["ends"], r["terms"])
         for doc, a, b in zip(r["docs"], ends[:-1], ends[1:]):
             assert (np.diff(found[a:b]) > 0).all()
             out[doc["doc_id"]].append(Counter({words[t]: n for t, n in zip(found[a:b].tolist(), counts[a:b].tolist())}))
