@@ -16,18 +16,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from lathework.llm.textbytes import _SPACE, OTHER, chunks, prefix_sums, stretch_hash, word_bounds
+from lathework.llm.textbytes import _SPACE, chunks, prefix_sums, stretch_hash, word_bounds
 from lathework.session import settle
 
-SHARD_BYTES = 1 << 23
+SHARD_BYTES = 1 << 22
 PIECE_BYTES = 1 << 19
+SLICE_ROWS = 1 << 9  # rows of a batch that are copied at a time
 HELD_ROWS = 1 << 20  # words of a partition that a task holds before it passes them on
 
 
 def pieces(column, most=PIECE_BYTES):
     """``(first row, offsets, bytes)`` like :func:`chunks`, with long texts cut between words."""
-    for row, offsets, data in chunks(column, most):
-        at = 0
+    found = ((begin, x) for begin in range(0, len(column), SLICE_ROWS) for x in chunks(column.slice(begin, SLICE_ROWS), most))
+    for begin, (row, offsets, data) in found:
+        row, at = begin + row, 0
         while len(data) - at > 2 * most:
             gaps = np.flatnonzero(_SPACE[data[at + most:at + 2 * most]])
             end = at + most + int(gaps[0]) if len(gaps) else None
@@ -41,17 +43,25 @@ def pieces(column, most=PIECE_BYTES):
         yield row, (offsets if at == 0 else np.array([0, len(data) - at])), data[at:]
 
 
+def same_words(data, starts, ends, other) -> bool:
+    """Whether every word has the bytes of the word that ``other`` says it has."""
+    size = ends - starts
+    if (size != size[other]).any():
+        return False
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    return bool((data[inside + np.repeat(starts, size)] == data[inside + np.repeat(starts[other], size)]).all())
+
+
 def encoded(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Row and word number of every word of a piece, and the distinct words."""
     starts, ends, first = word_bounds(offsets, data)
     rows = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     if not len(starts):
         return rows, rows, []
-    one = stretch_hash(prefix_sums(data), starts, ends)
-    two = stretch_hash(prefix_sums(data, OTHER), starts, ends, OTHER)
-    _, at, codes = np.unique(one, return_index=True, return_inverse=True)
+    hashes = stretch_hash(prefix_sums(data), starts, ends)
+    _, at, codes = np.unique(hashes, return_index=True, return_inverse=True)
     raw = data.tobytes()
-    if (two[at][codes] == two).all() and ((ends - starts)[at][codes] == ends - starts).all():
+    if same_words(data, starts, ends, at[codes]):
         return rows, codes, [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
     numbers: dict[bytes, int] = {}  # two words with one hash: compare the words themselves
     codes = np.array([numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(starts.tolist(), ends.tolist())])
