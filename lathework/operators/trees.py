@@ -11,19 +11,20 @@ import math
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathework.functions.columns import add_up, key_bucket
+from lathework.functions.columns import add_up, key_bucket, vector_size
 from lathework.functions.metrics import r2
+from lathework.operators.growers import RandomSplits, Routes
 from lathework.operators.quantiles import exact_quantiles, order_statistics
 from lathework.operators.stages import (
-    DropColumns, FittedRegressor, FittedVector, Regressor, number, shared_params, switch, text, whole,
+    DropColumns, FittedRegressor, Regressor, list_matrix, number, shared_params, switch, text, whole,
 )
 from lathework.session import settle
 
@@ -127,24 +128,31 @@ def leaf_value(leaf: Column, values: dict) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), leaf), F.lit(0.0))
 
 
-class RandomBins(FittedVector):
-    """Entry to the number of its random cut points at or below it."""
+class TreeMean(FittedRegressor):
+    """Mean of the values that a row reaches in grown trees."""
 
-    def map_array(self, x: Column, state: dict) -> Column:
-        return F.array(
-            *[
-                add_up([F.lit(0.0)] + [F.when(x[i] >= F.lit(v), 1.0).otherwise(0.0) for v in cuts])
-                for i, cuts in enumerate(state["cuts"])
-            ]
-        )
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        trees = self.get("state")["trees"]
+
+        @F.arrow_udf("double")
+        def mean(x: pa.Array) -> pa.Array:
+            if not len(x):
+                return pa.array([], pa.float64())
+            rows = list_matrix(x)
+            total = np.zeros(len(rows))
+            for tree in trees:
+                route = Routes(tree)
+                total += route.value[route.leaves(rows)]
+            return pa.array(total / len(trees))
+
+        return dataset.withColumn(self.getPredictionCol(), mean(vector_to_array(F.col(self.getFeaturesCol()))))
 
 
 class ExtraTrees(Regressor):
-    """Extremely randomised trees as forests over random cut points.
+    """Extremely randomised trees: every node draws its own thresholds, all trees grow level by level.
 
-    The trees come in groups. A group draws its own uniform cut points per feature, codes the
-    rows by them, and grows its share of the trees in one built-in forest, so a level of a
-    whole group is one pass over the data. Thresholds are random per group, not per node.
+    A level takes two scans for all trees together; with ``groups``, or where open nodes are too
+    many for one scan, groups of trees take their scans in turn.
     """
 
     n_estimators = whole("n_estimators")
@@ -153,46 +161,23 @@ class ExtraTrees(Regressor):
     min_samples_leaf = whole("min_samples_leaf")
     bootstrap = switch("bootstrap")
     max_depth = whole("max_depth")
-    cut_points = whole("cut_points", "random thresholds per feature and group")
-    groups = whole("groups", "groups of trees, 0 for a choice by the other params")
+    groups = whole("groups", "groups of trees that take scans of their own, 0 for as few as there can be")
     seed = whole("seed")
-    parallelism = whole("parallelism", "groups fitted at a time")
     defaults = {"n_estimators": 100, "max_features": 1.0, "min_samples_split": 2, "min_samples_leaf": 1,
-                "bootstrap": False, "max_depth": 10, "cut_points": 8, "groups": 0, "seed": 7, "parallelism": 2}
-
-    def _group_count(self) -> int:
-        trees = self.get("n_estimators")
-        if self.get("groups"):
-            return min(self.get("groups"), trees)
-        alike = subset(self.get("max_features")) == "all" and not self.get("bootstrap")
-        return trees if alike else min(trees, 10)
+                "bootstrap": False, "max_depth": 10, "groups": 0, "seed": 7}
 
     def _fit(self, dataset):
-        features, groups, trees = self.getFeaturesCol(), self._group_count(), self.get("n_estimators")
-        ends = dataset.select(Summarizer.metrics("min", "max").summary(F.col(features)).alias("s")).first()["s"]
-        lo, hi = ends["min"].toArray(), ends["max"].toArray()
-        sizes = [trees // groups + (1 if g < trees % groups else 0) for g in range(groups)]
-
-        def fit_group(g):
-            rng = np.random.default_rng([self.get("seed"), g])
-            cuts = [sorted(float(v) for v in rng.uniform(a, b, self.get("cut_points"))) if b > a else []
-                    for a, b in zip(lo, hi)]
-            codes, out = f"_{self.uid}_codes{g}", f"_{self.uid}_p{g}"
-            bins = RandomBins(inputCol=features, outputCol=codes, state={"cuts": cuts})
-            forest = random_forest(
-                sizes[g], self.get("max_features"), self.get("min_samples_split"), self.get("min_samples_leaf"),
-                self.get("bootstrap"), self.get("max_depth"), seed=self.get("seed") + g,
-                maxBins=max(self.get("cut_points") + 2, 4), featuresCol=codes, labelCol=self.getLabelCol(),
-                predictionCol=out,
-            )
-            return [bins, forest.fit(bins.transform(dataset)), DropColumns(columns=[codes])], out
-
-        fitted = in_parallel(dataset.sparkSession, fit_group, range(groups), self.get("parallelism"))
-        stages = [s for parts, _ in fitted for s in parts]
-        columns = [out for _, out in fitted]
-        state = {"columns": columns, "weights": [float(s) for s in sizes], "how": "mean"}
-        combine = CombineColumns(state=state, **shared_params(self, "featuresCol", "labelCol", "predictionCol"))
-        return PipelineModel([*stages, combine, DropColumns(columns=columns)])
+        rows = dataset.select(
+            vector_to_array(F.col(self.getFeaturesCol())).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y")
+        ).withColumn("key", F.xxhash64("x", "y") if self.get("bootstrap") else F.lit(0).cast("long"))
+        rows = settle(rows, "extra")
+        features = vector_size(dataset, self.getFeaturesCol())
+        grower = RandomSplits(
+            self.get("n_estimators"), max(1, int(self.get("max_features") * features + 1e-9)), self.get("min_samples_split"),
+            self.get("min_samples_leaf"), self.get("max_depth"), self.get("bootstrap"), self.get("seed"), self.get("groups"),
+        )
+        state = {"trees": [tree.state() for tree in grower.grow(rows, features)]}
+        return TreeMean(state=state, **shared_params(self, "featuresCol", "labelCol", "predictionCol"))
 
 
 def in_parallel(spark: SparkSession, fn, items, threads: int) -> list:

@@ -17,6 +17,7 @@ from lathework.operators import trees as T
 from lathework.operators.encode import assemble
 from lathework.operators.gram import moments
 from lathework.operators.impute import fill_group_mean
+from lathework.operators.growers import node_draws
 from lathework.operators.neighbors import KNNRegressor
 from lathework.plans.flows import predict, stacked_regressor
 from lathework.plans.registry import gap, query, rnd, round_all, sql_bucket, table, unpack
@@ -606,6 +607,38 @@ def _extra(spark, d):
     return _quality(stage.fit(data).transform(data))
 
 
+STUMPS, STUMP_TRIES, STUMP_SEED = 3, 2, 11
+STUMP_COLUMNS = ("p_size", "p_partkey", "name_size")
+
+
+def _stump_draws():
+    """``(tree, place, feature, uniform)`` of what the roots of the stumps try."""
+    for t in range(STUMPS):
+        order, u = node_draws(STUMP_SEED, t, 1, len(STUMP_COLUMNS))
+        yield from ((t, j, int(f), float(u[f])) for j, f in enumerate(order[:STUMP_TRIES]))
+
+
+@query("extra_trees_stumps", f"""
+WITH w AS (SELECT p_partkey, p_retailprice AS y, [p_size::DOUBLE, p_partkey::DOUBLE, length(p_name)::DOUBLE] AS x FROM part),
+v(t, j, f, u) AS (VALUES {", ".join(map(str, _stump_draws()))}),
+r AS (SELECT f, min(x[f + 1]) AS lo, max(x[f + 1]) AS hi FROM w, (SELECT DISTINCT f FROM v) GROUP BY f),
+c AS (SELECT t, j, v.f, lo + u * (hi - lo) AS cut FROM v JOIN r USING (f) WHERE lo < hi),
+g AS (
+  SELECT t, j, f, cut, avg(y) FILTER (x[f + 1] <= cut) AS a, avg(y) FILTER (x[f + 1] > cut) AS b,
+         sum(y) FILTER (x[f + 1] <= cut) ** 2 / count(*) FILTER (x[f + 1] <= cut) + sum(y) FILTER (x[f + 1] > cut) ** 2 / count(*) FILTER (x[f + 1] > cut) AS gain
+  FROM w, c GROUP BY t, j, f, cut),
+best AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY t ORDER BY gain DESC, j) = 1)
+SELECT p_partkey, round(avg(CASE WHEN x[f + 1] <= cut THEN a ELSE b END), 6) + 0.0 AS prediction FROM w, best GROUP BY p_partkey""")
+def _extra_stumps(spark, d):
+    rows = table(spark, d, "part").select(
+        "p_partkey", F.col("p_size").cast("double"), F.col("p_retailprice").alias("label"), F.length("p_name").cast("double").alias("name_size")
+    )
+    data = assemble(rows, STUMP_COLUMNS, keep=["p_partkey", "label"])
+    share = STUMP_TRIES / len(STUMP_COLUMNS)
+    model = T.ExtraTrees(n_estimators=STUMPS, max_features=share, max_depth=1, seed=STUMP_SEED).fit(data)
+    return round_all(predict(model, data, "p_partkey"), "prediction")
+
+
 @query("forest_quality")
 def _forest_quality(spark, d):
     data = _wide_rows(spark, d)
