@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,6 +80,27 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/lathework-{uuid.uuid4().hex}/{label}"
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded():
+    """The folders that :func:`settle` writes inside, as a list that grows."""
+    folders: list[str] = []
+    _recorders.append(folders)
+    try:
+        yield folders
+    finally:
+        _recorders.remove(folders)
+
+
+def drop_tables(spark: SparkSession, folders) -> None:
+    """Remove written helper tables that nothing reads any more."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.dirname(folder))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame, label="settled") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -88,4 +110,6 @@ def settle(df: DataFrame, label="settled") -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, label)
     df.write.parquet(path)
+    for folders in _recorders:
+        folders.append(path)
     return spark.read.schema(df.schema).parquet(path)
