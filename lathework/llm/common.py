@@ -22,6 +22,11 @@ def text_of(name="text") -> Column:
     return F.coalesce(c(name).cast("string"), F.lit(""))
 
 
+def text_of_whole(name="text") -> Column:
+    """The text in the rows of :func:`packed_rows`; null counts as empty."""
+    return F.coalesce(F.col("whole")[name].cast("string"), F.lit(""))
+
+
 def narrow(docs: DataFrame, **columns: Column) -> DataFrame:
     """Only the named columns, so that extra columns of any name cannot clash."""
     return docs.select(*[v.alias(k) for k, v in columns.items()])

@@ -13,9 +13,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c
-from lathework.llm.common import ROW, SPACE, WORD, groups_of, numbered, packed_rows, text_of
+from lathework.llm.common import ROW, SPACE, WORD, free_shuffles, groups_of, numbered, packed_rows, text_of
 from lathework.operators.ranks import ranked
-from lathework.session import settle
+from lathework.session import drop_tables, recorded, settle
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -185,10 +185,14 @@ def mix(docs: DataFrame, doc_id="doc_id", source="source", text="text", n_chars=
 
     A document that is due twice is there twice; one that is due in part has the words that
     are due, and its ``n_chars`` if there is such a column. Rows are sorted by position over
-    all partitions.
+    all partitions. Rows without words (null, empty or blank texts) have nothing that could be due
+    and are not mixed. An empty table gives an empty table.
     """
     rows = packed_rows(docs, doc_id=c(doc_id), source=c(source).cast("string"), size=count_words(text_of(text)))
-    placed, _ = placements(rows.drop("whole"), **options)
+    with recorded() as helpers:
+        placed = settle(placements(rows.drop("whole"), **options)[0], "placed")
+    drop_tables(docs.sparkSession, helpers[:-1])
+    free_shuffles(docs.sparkSession)
     due = rows.select(ROW, "whole", "size").join(placed, ROW)
     words = F.split(F.regexp_replace(F.col("whole")[text], f"^{SPACE}+", ""), f"{SPACE}+")
     cut = F.when(F.col("taken") < F.col("size"), F.array_join(F.slice(words, 1, F.col("taken").cast("int")), " ")).otherwise(F.col("whole")[text])

@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from lathework.functions.columns import c
-from lathework.llm.common import ROW, free_shuffles, narrow, packed_rows, text_of
+from lathework.llm.common import ROW, free_shuffles, narrow, packed_rows, text_of, text_of_whole
 from lathework.llm.components import components
 from lathework.llm.textbytes import OTHER, chunks, distinct_by_row, mixed, shingles
-from lathework.session import settle
+from lathework.session import drop_tables, recorded, settle
 
 WORDS = 5
 PERCENT = 80
@@ -288,10 +288,15 @@ def near_duplicates(docs: DataFrame, doc_id="doc_id", text="text", words=WORDS,
 def keep_one(docs: DataFrame, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT) -> DataFrame:
     """The rows of ``docs`` with one row of each class: the smallest doc_id, then the first row.
 
-    Rows without words are no copies of anything and stay.
+    Rows without words are no copies of anything and stay. Texts are written once; the tables of
+    the join are removed before the rows are read again.
     """
-    rows = packed_rows(docs, doc_id=c(doc_id), text=text_of(text))
-    found = settle(classes(rows.select("doc_id", "text", ROW), words, percent), "classes").filter("class IS NOT NULL")
-    first = found.groupBy("class").agg(F.min(F.struct(c("doc_id").isNull().alias("nameless"), "doc_id", ROW)).alias("first"))
-    gone = found.join(first.hint("merge"), "class").filter(c(ROW) != F.col(f"first.{ROW}")).select(ROW)
+    rows = packed_rows(docs, doc_id=c(doc_id))
+    with recorded() as helpers:
+        found = settle(classes(rows.select("doc_id", text_of_whole(text).alias("text"), ROW), words, percent), "classes").filter("class IS NOT NULL")
+        first = found.groupBy("class").agg(F.min(F.struct(c("doc_id").isNull().alias("nameless"), "doc_id", ROW)).alias("first"))
+        # written, so that the planner knows how short the list is
+        gone = settle(found.join(first.hint("merge"), "class").filter(c(ROW) != F.col(f"first.{ROW}")).select(ROW), "gone")
+    drop_tables(docs.sparkSession, helpers[:-1])
+    free_shuffles(docs.sparkSession)
     return rows.join(gone, ROW, "left_anti").select("whole.*")

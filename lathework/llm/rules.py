@@ -153,17 +153,32 @@ def held_out(doc_id: Column, every=HELD_OUT, at=0) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % every == at
 
 
-def fit_on(stats: DataFrame, labels: DataFrame, label="quality", doc_id="doc_id", **options) -> RuleModel:
-    """A model from the labelled rows of ``stats`` (``doc_id, stats``) that are not held out.
-
-    A null label is no label. Of several labels of an id, 1 wins.
-    """
-    known = labels.select(c(doc_id).alias("doc_id"), c(label).cast("int").alias("label")).filter(
+def known_labels(labels: DataFrame, label="quality", doc_id="doc_id") -> DataFrame:
+    """``doc_id, label`` of the ids that are not held out. A null label is no label; of several, 1 wins."""
+    return labels.select(c(doc_id).alias("doc_id"), c(label).cast("int").alias("label")).filter(
         F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     ).groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+def fit_on(stats: DataFrame, labels: DataFrame, label="quality", doc_id="doc_id", **options) -> RuleModel:
+    """A model from the labelled rows of ``stats`` (``doc_id, stats``) that are not held out."""
+    known = known_labels(labels, label, doc_id)
     return fit_rules(settle(stats.select("doc_id", "stats").join(known, "doc_id"), "labelled"), **options)
 
 
+def fit_on_texts(rows: DataFrame, labels: DataFrame, label="quality", doc_id="doc_id", fit_rows=FIT_ROWS, **options) -> RuleModel:
+    """Like :func:`fit_on` from ``rows`` (``doc_id, text``), with statistics of the rows of the fit only.
+
+    Ids and labels decide which rows those are; the ids, about ``fit_rows`` at most, go to the texts.
+    """
+    met = settle(rows.select("doc_id").join(known_labels(labels, label, doc_id), "doc_id"), "met")
+    count = met.count()
+    part = 1.0 if count <= fit_rows else fit_rows / count
+    chosen = met.filter(place_hash(F.col("doc_id")) < part * float(1 << 52)).distinct()
+    fitted = with_statistics(rows.join(F.broadcast(chosen), "doc_id")).drop("text")
+    return fit_rules(settle(fitted, "labelled"), fit_rows=fit_rows, **options)
+
+
 def quality(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", label="quality", cut=CUT, **options) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each row of ``docs``.
 
@@ -184,10 +199,9 @@ def keep_quality(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text
     """The rows of ``docs`` whose score reaches ``cut``, with their columns.
 
     The statistics of labelled rows fit the model; those of all rows are computed where the
-    rows are read, so no text is shuffled.
+    rows are read, so no text is shuffled. A null text counts as an empty one: blank rows have
+    a score and stay or go by it. An empty table gives an empty table.
     """
-    rows = narrow(docs, doc_id=c(doc_id), text=text_of(text))
-    stats = settle(with_statistics(rows).drop("text"), "statistics")
-    model = fit_on(stats, labels, label, **options)
+    model = fit_on_texts(narrow(docs, doc_id=c(doc_id), text=text_of(text)), labels, label, **options)
     whole = docs.select(F.struct(*[c(x) for x in docs.columns]).alias("whole"), text_of(text).alias("text"))
     return with_statistics(whole).filter(model.score() >= cut).select("whole.*")
