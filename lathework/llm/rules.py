@@ -64,6 +64,16 @@ def with_statistics(df: DataFrame, text="text") -> DataFrame:
     return df.withColumn("stats", F.struct(*[v.cast("double").alias(k) for k, v in statistics(c(text)).items()]))
 
 
+def with_fixed_statistics(df: DataFrame, text="text") -> DataFrame:
+    """Like :func:`with_statistics`, for a filter that follows.
+
+    The optimizer moves a filter below what it looks at and puts the statistics in each place
+    where one is named. It does not do so with a column that holds a row number.
+    """
+    values = [v.cast("double").alias(k) for k, v in statistics(c(text)).items()]
+    return df.withColumn("stats", F.struct(*values, F.monotonically_increasing_id().alias("at")))
+
+
 NAMES = (
     "chars", "words", "word_size", "letters", "capitals", "digits", "shouts", "symbols", "stops", "words_distinct",
     "lines_distinct", "line_size",
@@ -204,4 +214,4 @@ def keep_quality(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text
     """
     model = fit_on_texts(narrow(docs, doc_id=c(doc_id), text=text_of(text)), labels, label, **options)
     whole = docs.select(F.struct(*[c(x) for x in docs.columns]).alias("whole"), text_of(text).alias("text"))
-    return with_statistics(whole).filter(model.score() >= cut).select("whole.*")
+    return with_fixed_statistics(whole).filter(model.score() >= cut).select("whole.*")
