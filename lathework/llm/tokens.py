@@ -3,46 +3,74 @@
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 250_000  # in each of two generations
+
+# The vocabulary's own way to cut a text in small letters, for texts of the characters in PLAIN.
+PLAIN = re.compile("[!-~\u00c0-\u024f]+")
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|[0-9]|[^a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary: itself if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class ChunkIds(dict):
     """Ids (as little-endian unsigned 32-bit bytes) of text chunks without blanks.
 
     The vocabulary splits at white space before anything else, so a text has the ids of its
-    chunks one after another. A chunk of letters with a comma or full stop behind it is split
-    there in the same way, if it still ends in a letter when normalised: some letters become a
-    letter and a mark, which is one piece with the comma. The cache empties itself when it is full.
+    chunks one after another. A chunk of plain characters, once normalised, is cut into the
+    vocabulary's pieces here, whose ids are looked up one by one; any other one is encoded whole:
+    some letters become a letter and a mark, which makes one piece with what follows. When the
+    cache is full it becomes the old generation, from which chunks are taken up again.
     """
 
     def __init__(self, path: str, most=CACHE_CHUNKS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer, self.most, self.old = Tokenizer.from_file(path), most, {}
+        self.letters = byte_letters()
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        if chunk.isascii() and chunk.isalpha():
-            low = chunk.lower()
-            if low != chunk:
-                out = self[low]
-            else:  # the letters a-z stand for themselves in the byte alphabet
-                out = np.array([t.id for t in self.tokenizer.model.tokenize(chunk)], "<u4").tobytes()
-        elif len(chunk) > 1 and chunk[-1] in ",." and chunk[:-1].isalpha() and self.ends_in_letter(chunk[:-1]):
-            out = self[chunk[:-1]] + self[chunk[-1]]
-        else:
-            out = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        out = self.old.get(chunk)
+        if out is None:
+            out = self.made(chunk)
         if len(chunk) < 200:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
             self[chunk] = out
         return out
 
-    def ends_in_letter(self, chunk: str) -> bool:
-        return chunk[-1].isascii() or self.tokenizer.normalizer.normalize_str(chunk)[-1].isalpha()
+    def made(self, chunk: str) -> bytes:
+        plain = chunk
+        if chunk.isascii():
+            if chunk.isalpha():
+                low = chunk.lower()
+                return self.tokenized(chunk) if low == chunk else self[low]
+            if chunk[:-1].isalpha():  # most often a comma or full stop
+                return self[chunk[:-1]] + self[chunk[-1]]
+            plain = chunk.lower()
+        else:
+            plain = self.tokenizer.normalizer.normalize_str(chunk)
+        if "<|" not in chunk and PLAIN.fullmatch(plain):  # no start of a special token
+            found = PIECES.findall(plain)
+            if found == [chunk]:
+                return self.tokenized(chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters))
+            return b"".join(map(self.__getitem__, found))
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def tokenized(self, letters: str) -> bytes:
+        """Ids of one piece, spelled in the letters of the vocabulary."""
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def of(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
