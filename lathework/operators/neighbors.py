@@ -1,7 +1,9 @@
-"""Exact k-nearest-neighbour regression as a pruned join of cells.
+"""Exact k-nearest-neighbour regression as a pruned join of cells, near cells first.
 
-Training rows are assigned to the nearest of a few pivots and written to the shared folder. A
-query row visits only the cells that the triangle inequality cannot rule out. Cells are cut
+Pivots come in two levels: a training row belongs to the nearest pivot among those of its
+nearest top pivot, and is written to the shared folder under that cell. A query row visits its
+nearest cell, then a few more, then the rest that the triangle inequality cannot rule out, and
+the distance of its k-th neighbour so far rules out more from round to round. Cells are cut
 into blocks of bounded size by a hash of the row id, so a cell holding a third of the rows is
 many tasks, and a task keeps only its best k per query: no pair table ever exists.
 """
@@ -20,10 +22,13 @@ from pyspark.sql import functions as F
 
 from lathework.functions.columns import c
 from lathework.operators.stages import FittedRegressor, Regressor, list_matrix, shared_params, text, whole
-from lathework.session import shared_dir
+from lathework.session import settle, shared_dir
 
-MAX_PIVOTS = 256
+MAX_TOPS = 128  # pivots of the upper level, and about as many cells for each of them
 BLOCK_ROWS = 20_000
+VISITS = (1, 5)  # cells that a row has visited after the first and the second round
+EVERY = 1 << 30
+QUERY_BLOCK = 512
 
 
 def distances(x: np.ndarray, y: np.ndarray, p: int) -> np.ndarray:
@@ -60,80 +65,159 @@ class KNNRegressor(Regressor):
         n = rows.count()
         if n < self.get("n_neighbors"):
             raise ValueError(f"{n} rows for {self.get('n_neighbors')} neighbours")
-        wanted = min(MAX_PIVOTS, math.ceil(math.sqrt(n)))
+        wanted = min(MAX_TOPS ** 2, math.ceil(math.sqrt(n)))
         found = rows.select("x").distinct().orderBy(F.xxhash64("x"), "x").limit(wanted).collect()
         pivots = np.array([r["x"] for r in found])
         p, k = self.get("p"), self.get("n_neighbors")
+        tops = pivots[:math.ceil(math.sqrt(len(pivots)))]
+        owner = distances(pivots, tops, p).argmin(axis=1)
 
-        @F.arrow_udf("cell int, d double")
+        @F.arrow_udf("cell int, d double, t double")
         def nearest(x: pa.Array) -> pa.Array:
             if not len(x):
-                return pa.array([], pa.struct([("cell", pa.int32()), ("d", pa.float64())]))
-            d = distances(list_matrix(x), pivots, p)
-            cell = d.argmin(axis=1)
-            parts = [pa.array(cell.astype("int32")), pa.array(d[np.arange(len(d)), cell])]
-            return pa.StructArray.from_arrays(parts, ["cell", "d"])
+                return pa.array([], pa.struct([("cell", pa.int32()), ("d", pa.float64()), ("t", pa.float64())]))
+            rows = list_matrix(x)
+            far = distances(rows, tops, p)
+            top = far.argmin(axis=1)
+            cell, d = np.zeros(len(rows), dtype="int32"), np.zeros(len(rows))
+            for t in np.unique(top):
+                inside, own = np.flatnonzero(top == t), np.flatnonzero(owner == t)
+                near = distances(rows[inside], pivots[own], p)
+                at = near.argmin(axis=1)
+                cell[inside], d[inside] = own[at], near[np.arange(len(inside)), at]
+            return pa.StructArray.from_arrays(
+                [pa.array(cell), pa.array(d), pa.array(far[np.arange(len(rows)), top])], ["cell", "d", "t"]
+            )
 
         path = shared_dir(rows.sparkSession, "knn")
-        rows.withColumn("_n", nearest("x")).select("id", "x", "y", "_n.cell", "_n.d").write.parquet(path)
+        rows.withColumn("_n", nearest("x")).select("id", "x", "y", "_n.*").write.parquet(path)
         placed = rows.sparkSession.read.parquet(path)
-        # Per cell: size, range of distances, and its k smallest distances (at most cells * k).
-        cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi"))
-        close = (
-            placed.withColumn("r", F.row_number().over(W.partitionBy("cell").orderBy("d"))).filter(F.col("r") <= k)
-            .groupBy("cell").agg(F.sort_array(F.collect_list("d")).alias("close"))
+        # one row for each cell: size, and ranges of the distances to its pivot and to its top pivot
+        cells = placed.groupBy("cell").agg(
+            F.count(F.lit(1)).alias("n"), *[f(x).alias(f"{x}{i}") for x in ("d", "t") for i, f in enumerate((F.min, F.max))]
         )
         state = {
-            "path": path, "pivots": pivots.tolist(), "k": k, "p": p, "weights": self.get("weights"),
-            "key": self.get("keyCol"), "block": self.get("blockRows"),
-            "cells": sorted([r["cell"], r["n"], r["lo"], r["hi"], r["close"]] for r in cells.join(close, "cell").collect()),
+            "path": path, "pivots": pivots.tolist(), "tops": len(tops), "owner": owner.tolist(), "k": k, "p": p,
+            "weights": self.get("weights"), "key": self.get("keyCol"), "block": self.get("blockRows"),
+            "cells": sorted(list(r) for r in cells.collect()),
         }
         return KNNModel(state=state, **shared_params(self, "featuresCol", "labelCol", "predictionCol"))
 
 
+def reached(row: np.ndarray, upper: np.ndarray, count: np.ndarray, rows: int, k: int) -> np.ndarray:
+    """For each row the distance within which its sets, taken by ``upper``, hold ``k`` rows together."""
+    order = np.lexsort((upper, row))
+    row, upper, total = row[order], upper[order], np.cumsum(count[order])
+    first = np.searchsorted(row, np.arange(rows))
+    before = np.concatenate([[0], total])[first]
+    at = np.searchsorted(total, before + k)
+    found = at < np.concatenate([first[1:], [len(row)]])
+    return np.where(found, upper[np.minimum(at, len(upper) - 1)] if len(upper) else np.inf, np.inf)
+
+
 class KNNModel(FittedRegressor):
     """Holds the path of the placed training rows and the small table of cells."""
 
-    def _visits(self, queries: DataFrame) -> DataFrame:
-        """Query rows with the cells they have to visit."""
+    def _visits(self, queries: DataFrame, begin=0, end=EVERY) -> DataFrame:
+        """``id, x, cell``: the cells from place ``begin`` to ``end`` that each query row has to visit.
+
+        ``queries``: ``id, x`` and, if it is known, ``kth``, the distance of the k-th neighbour so far.
+        Places go by the least distance that a row of the cell can have.
+        """
         s = self.get("state")
-        pivots = np.array(s["pivots"])
-        ids = np.array([r[0] for r in s["cells"]], dtype="int32")
-        lo, hi = (np.array([r[i] for r in s["cells"]]) for i in (2, 3))
-        close = np.array([d for r in s["cells"] for d in r[4]])
-        owner = np.repeat(np.arange(len(ids)), [len(r[4]) for r in s["cells"]])
+        if "kth" not in queries.columns:
+            queries = queries.withColumn("kth", F.lit(float("inf")))
         p, k = s["p"], s["k"]
+        pivots, owner = np.array(s["pivots"]), np.array(s["owner"])
+        table = np.array(s["cells"], dtype=float)
+        ids, n, lo, hi = table[:, 0].astype(np.int32), table[:, 1], table[:, 2], table[:, 3]
+        top = owner[ids]
+        groups = []  # of each top pivot: its cells, how many rows they hold, and the range of distances
+        for t in range(s["tops"]):
+            own = np.flatnonzero(top == t)
+            if len(own):
+                groups.append((t, own, n[own].sum(), table[own, 4].min(), table[own, 5].max()))
+        tops = pivots[[g[0] for g in groups]]
+        held, near, far = (np.array([g[i] for g in groups]) for i in (2, 3, 4))
+
+        def cells_of(x: np.ndarray, kth: np.ndarray):
+            """``(row, cell)`` pairs of a block of query rows."""
+            m = len(x)
+            d = distances(x, tops, p)
+            row = np.repeat(np.arange(m), len(groups))
+            bound = np.minimum(kth, reached(row, (d + far).ravel(), np.tile(held, m), m, k))
+            least = np.maximum(np.maximum(d - far, near - d), 0.0)
+            parts = []
+            for g, (_, own, *_) in enumerate(groups):
+                inside = np.flatnonzero(least[:, g] <= bound * (1 + 1e-9) + 1e-12)
+                if len(inside):
+                    e = distances(x[inside], pivots[ids[own]], p)
+                    low = np.maximum(np.maximum(np.maximum(e - hi[own], lo[own] - e), least[inside, g][:, None]), 0.0)
+                    parts.append((np.repeat(inside, len(own)), np.tile(own, len(inside)), low.ravel(), (e + hi[own]).ravel()))
+            row, cell, low, up = (np.concatenate(v) for v in zip(*parts))
+            bound = np.minimum(bound, reached(row, up, n[cell], m, k))
+            keep = low <= bound[row] * (1 + 1e-9) + 1e-12
+            row, cell, low = row[keep], cell[keep], low[keep]
+            order = np.lexsort((cell, low, row))
+            row, cell = row[order], cell[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            keep = (place >= begin) & (place < end)
+            return row[keep], ids[cell[keep]]
 
         @F.arrow_udf("array<int>")
-        def cells_of(x: pa.Array) -> pa.Array:
+        def visited(x: pa.Array, kth: pa.Array) -> pa.Array:
             if not len(x):
                 return pa.array([], pa.list_(pa.int32()))
-            d = distances(list_matrix(x), pivots, p)[:, ids]
-            # A pivot's close rows bound the k-th distance; cells beyond the bound are left out.
-            bound = np.partition(d[:, owner] + close[None, :], k - 1, axis=1)[:, k - 1]
-            least = np.maximum(np.maximum(d - hi, lo - d), 0.0)
-            keep = least <= (bound * (1 + 1e-9) + 1e-12)[:, None]
-            starts = np.concatenate([[0], np.cumsum(keep.sum(axis=1))]).astype("int32")
-            return pa.ListArray.from_arrays(pa.array(starts), pa.array(ids[np.nonzero(keep)[1]]))
+            rows, limit = list_matrix(x), kth.to_numpy(zero_copy_only=False)
+            counts, cells = [], []
+            for i in range(0, len(rows), QUERY_BLOCK):
+                block = rows[i:i + QUERY_BLOCK]
+                row, cell = cells_of(block, limit[i:i + QUERY_BLOCK])
+                counts.append(np.bincount(row, minlength=len(block)))
+                cells.append(cell)
+            starts = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype("int32")
+            return pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(cells).astype("int32")))
 
-        return queries.select("id", "x", F.explode(cells_of("x")).alias("cell"))
+        return queries.select("id", "x", F.explode(visited("x", "kth")).alias("cell"))
 
     def neighbors(self, dataset: DataFrame) -> DataFrame:
-        """``(id, neighbor, distance, place)``: the k nearest training rows of every row."""
+        """``(id, neighbor, distance, y, place)``: the k nearest training rows of every row."""
+        s = self.get("state")
+        k = s["k"]
+        queries = settle(dataset.select(c(s["key"]).alias("id"), vector_to_array(c(self.getFeaturesCol())).alias("x")), "queries")
+        order = W.partitionBy("id").orderBy("distance", "neighbor")
+        steps = [0, *[v for v in VISITS if v < len(s["cells"])], EVERY]
+        best, self.visits = None, []
+        for begin, end in zip(steps, steps[1:]):
+            if best is None:
+                asking = queries
+            else:
+                known = best.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("kth"))
+                asking = queries.join(known, "id", "left").select("id", "x", F.coalesce("kth", F.lit(float("inf"))).alias("kth"))
+            visits = settle(self._visits(asking, begin, end), "visits")
+            asked = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+            if not asked and best is not None:
+                break
+            self.visits.append(sum(asked.values()))
+            found = self._met(visits, asked)
+            if best is not None:
+                found = found.unionByName(best.drop("place"))
+            best = settle(found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k), "best")
+        return best
+
+    def _met(self, visits: DataFrame, asked: dict) -> DataFrame:
+        """``id, neighbor, distance, y``: the best rows that each visit meets in a block of its cell."""
         s = self.get("state")
         k, p, block = s["k"], s["p"], s["block"]
-        spark = dataset.sparkSession
-        queries = dataset.select(c(s["key"]).alias("id"), vector_to_array(c(self.getFeaturesCol())).alias("x"))
-        placed = spark.read.parquet(s["path"])
-        visits = self._visits(queries)
+        placed = visits.sparkSession.read.parquet(s["path"])
         # Blocks of a cell on the training side, chunks of its visitors on the query side.
-        blocks = {r[0]: max(1, math.ceil(r[1] / block)) for r in s["cells"]}
-        asked = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+        blocks = {int(r[0]): max(1, math.ceil(r[1] / block)) for r in s["cells"]}
         chunks = {cell: max(1, math.ceil(asked.get(cell, 0) / block)) for cell in blocks}
 
         def pick(sizes) -> Column:
-            pairs = [F.lit(int(v)) for item in sizes.items() for v in item]
-            return F.element_at(F.create_map(*pairs), F.col("cell"))
+            # cells of one part, most often all of them, are not listed
+            pairs = [F.lit(int(v)) for item in sizes.items() if item[1] > 1 for v in item]
+            return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("cell")), F.lit(1)) if pairs else F.lit(1)
 
         def part(sizes, salt) -> Column:
             size = pick(sizes)
@@ -165,11 +249,9 @@ class KNNModel(FittedRegressor):
             return pd.concat(out, ignore_index=True)
 
         by = ["cell", "block", "chunk"]
-        found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
+        return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
             best, f"id {key_type}, neighbor {key_type}, distance double, y double"
         )
-        order = W.partitionBy("id").orderBy("distance", "neighbor")
-        return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         s = self.get("state")
