@@ -27,6 +27,7 @@ from lathework.session import settle, shared_dir
 MAX_TOPS = 128  # pivots of the upper level, and about as many cells for each of them
 BLOCK_ROWS = 20_000
 VISITS = (1, 5)  # cells that a row has visited after the first and the second round
+FEW_CELLS = 64  # up to so many, further rounds cost more than they save, and there is one
 EVERY = 1 << 30
 QUERY_BLOCK = 512
 
@@ -119,7 +120,11 @@ class KNNModel(FittedRegressor):
     """Holds the path of the placed training rows and the small table of cells."""
 
     def _visits(self, queries: DataFrame, begin=0, end=EVERY) -> DataFrame:
-        """``id, x, cell``: the cells from place ``begin`` to ``end`` that each query row has to visit.
+        """``id, x, cell``: a row for each cell of :meth:`_lists`."""
+        return self._lists(queries, begin, end).select("id", "x", F.explode("cells").alias("cell"))
+
+    def _lists(self, queries: DataFrame, begin=0, end=EVERY) -> DataFrame:
+        """``id, x, cells``: the cells from place ``begin`` to ``end`` that each query row has to visit.
 
         ``queries``: ``id, x`` and, if it is known, ``kth``, the distance of the k-th neighbour so far.
         Places go by the least distance that a row of the cell can have.
@@ -178,7 +183,7 @@ class KNNModel(FittedRegressor):
             starts = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype("int32")
             return pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(cells).astype("int32")))
 
-        return queries.select("id", "x", F.explode(visited("x", "kth")).alias("cell"))
+        return queries.select("id", "x", visited("x", "kth").alias("cells"))
 
     def neighbors(self, dataset: DataFrame) -> DataFrame:
         """``(id, neighbor, distance, y, place)``: the k nearest training rows of every row."""
@@ -186,7 +191,7 @@ class KNNModel(FittedRegressor):
         k = s["k"]
         queries = settle(dataset.select(c(s["key"]).alias("id"), vector_to_array(c(self.getFeaturesCol())).alias("x")), "queries")
         order = W.partitionBy("id").orderBy("distance", "neighbor")
-        steps = [0, *[v for v in VISITS if v < len(s["cells"])], EVERY]
+        steps = [0, *[v for v in VISITS if len(s["cells"]) > FEW_CELLS], EVERY]
         best, self.visits = None, []
         for begin, end in zip(steps, steps[1:]):
             if best is None:
@@ -194,7 +199,8 @@ class KNNModel(FittedRegressor):
             else:
                 known = best.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("kth"))
                 asking = queries.join(known, "id", "left").select("id", "x", F.coalesce("kth", F.lit(float("inf"))).alias("kth"))
-            visits = settle(self._visits(asking, begin, end), "visits")
+            lists = settle(self._lists(asking, begin, end), "visits")
+            visits = lists.select("id", "x", F.explode("cells").alias("cell"))
             asked = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
             if not asked and best is not None:
                 break

@@ -20,6 +20,7 @@ def rows_of(spark, n, seed=2, width=2):
 @pytest.mark.parametrize("visits, p, k, block", [((1, 5), 2, 5, 20_000), ((1, 2, 3), 1, 9, 40), ((), 2, 4, 25)])
 def test_rounds_give_the_nearest_rows(spark, monkeypatch, visits, p, k, block):
     monkeypatch.setattr(neighbors, "VISITS", visits)
+    monkeypatch.setattr(neighbors, "FEW_CELLS", 1)
     x, data = rows_of(spark, 300)
     model = KNNRegressor(n_neighbors=k, p=p, blockRows=block).fit(data)
     d = distances(x, x, p)
@@ -31,6 +32,7 @@ def test_rounds_give_the_nearest_rows(spark, monkeypatch, visits, p, k, block):
 
 
 def test_later_rounds_are_cut_by_what_is_near(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "FEW_CELLS", 1)
     cost = {}
     for n in (200, 2000):
         _, data = rows_of(spark, n, seed=6)
@@ -38,8 +40,6 @@ def test_later_rounds_are_cut_by_what_is_near(spark, monkeypatch):
         size = {r[0]: r[1] for r in model.get("state")["cells"]}
         model.neighbors(data).count()
         cost[n] = sum(model.visits) * np.mean(list(size.values()))
-    monkeypatch.setattr(neighbors, "VISITS", ())
-    model.neighbors(data).count()
     assert cost[2000] < 50 * cost[200] and len(model.get("state")["cells"]) > 30 and model.get("state")["tops"] > 5
 
 
