@@ -1,8 +1,12 @@
 """Vector codes, the filter audit and personal data against plain Python."""
 
+import glob
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 from itertools import permutations
 
@@ -219,3 +223,18 @@ def test_personal_data_of_odd_rows(nasty, nothing):
     want = Counter((r["doc_id"], hashlib.sha256(listed(by_rules(r["text"] or "")).encode()).hexdigest()) for r in nasty.collect())
     assert Counter((r["doc_id"], r["base_sha256"]) for r in got) == want
     assert pii.personal_data(nothing).count() == 0
+
+
+def test_pipeline_is_the_first_query_of_a_session_elsewhere(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = (
+        f"import sys; sys.path.insert(0, {root!r}); import __spark_entry__ as e; from pyspark.sql import SparkSession as S; "
+        "s = S.builder.master('local[4]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', 4)"
+        f".config('spark.checkpoint.dir', {str(tmp_path / 'shared')!r}).getOrCreate(); "
+        "print('rows', e.queries()['pipeline'](s, '/root/testdata/sf0.001').count())"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "rows" in done.stdout, done.stderr[-2000:]
+    kept = {os.path.basename(x) for x in glob.glob(f"{tmp_path}/shared/*/*")}
+    assert not kept & {"sets", "lists", "open", "rows", "placed", "digests"}  # helper tables of finished stages
