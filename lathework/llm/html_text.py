@@ -37,24 +37,40 @@ NEVER = frozenset(
 # Elements, roles and names that are not part of an article, unless they hold the page.
 OUTSIDE = frozenset("aside form fieldset dialog".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar alert".split())
+# Names of elements that are not part of an article, by the word that a name is about.
 OUTSIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|breadcrumb\w*|sidebar\w*|side-bar|footer\w*|"
-    r"masthead|site-header|page-header|topbar|toolbar|comment|comments|commentlist|comment-\w+|respond|disqus\w*|replies|reply|"
-    r"cookie\w*|consent\w*|notice\w*|gdpr|popup\w*|modal\w*|overlay\w*|newsletter\w*|subscri\w*|signup|login|search\w*|share\w*|sharing|"
-    r"social\w*|related\w*|recommend\w*|widget\w*|pagination|pager|paging|tags|tagcloud|skip-link|copyright|disclaimer|alert|hidden)"
-    r"(?=$|[\s_-])", re.I
+    r"ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav|navbar|navigation|nav[A-Z]\w*|menu\w*|breadcrumb\w*|sidebar\w*|footer\w*|"
+    r"masthead|topbar|toolbar|comment|comments|commentlist|respond|disqus\w*|replies|reply|cookie\w*|consent\w*|notice\w*|gdpr|popup\w*|"
+    r"modal\w*|overlay\w*|newsletter\w*|subscri\w*|signup|login|search\w*|share\w*|sharing|social\w*|related\w*|recommend\w*|widget\w*|"
+    r"pagination|pager|paging|tagcloud|copyright|disclaimer|side-bar|site-header|page-header|skip-link", re.I
 )
+# Words that say so only where they are the whole name, or follow one of the prefixes.
+STATES = frozenset("hidden alert tags".split())
+PREFIXES = frozenset("is js u visually".split())
 # A name behind one of these says what a layout has or lacks, not what the element is.
-MODIFIER = re.compile(r"(?:^|[\s_-])(?:with|without|no|has|have)[_-][\w-]*", re.I)
-COMMENTS = re.compile(r"(?:^|[\s_-])(?:comment|comments|commentlist|comment-\w+|respond|disqus\w*|replies|reply)(?=$|[\s_-])", re.I)
+MODIFIERS = frozenset("with without no has have".split())
+# Words at the end of a name that say no more than that it is some part of the page.
+PLAIN = frozenset(
+    "area bar bars block body bottom box btn button buttons card cards close col column container content count cta desktop entries "
+    "entry footer form group header heading holder icon icons image inner item items label law layout leaderboard left link links list "
+    "lists main message mobile module news outer panel placeholder policy post posts primary products reading rectangle region results right "
+    "row secondary section skyscraper slot stories story text title toggle top topics trail unit videos wrap wrapper zone articles".split()
+)
+COMMENTS = frozenset("comment comments commentlist respond replies reply".split())
 ARTICLE = frozenset(("article", "main"))
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|\Z)", re.S)
+# A tag whose quotes, if any, are those of values; all others are read by ``_tag_end``.
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>"'=]++|=\s*+(?:"[^"<>]*+"|'[^'<>]*+')?)*+)>""")
+BEGIN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+TAG_STOP = re.compile(r"""=\s*+(["'])|>""")
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 SPACES = re.compile(r"\s+")
 LEAST, MOST = 0.2, 4.0  # bounds of a weight
 MARKED = 2.0  # by how much an article mark raises a word's score and lowers a tag's cost
-DEFAULTS = {"word": 1.0, "link": 0.2, "tag": -3.25}
+DEFAULTS = {"word": 1.0, "link": 0.2, "tag": -3.25, "item": -0.2}
+# Parts of lists and tables: what they cost depends on whether they hold links or words.
+ITEMS = frozenset("ul ol li dl dt dd table tbody thead tfoot tr td th".split())
+LISTS = frozenset("li ul ol menu".split())
 
 
 class Matches:
@@ -114,52 +130,153 @@ def pieces(html: str) -> list:
     return [(kind, value, outside[match], article, link) for kind, value, match, article, link in found]
 
 
+class Open:
+    """The open elements, with the places of each name, so that no search walks over all of them."""
+
+    def __init__(self):
+        self.stack: list = []  # (name, match, article, link), the last three of the place before it
+        self.places = defaultdict(list)  # by name; "*block" and "*list" have those of a kind
+
+    def _kinds(self, name: str) -> list[str]:
+        return [name] + ["*block"] * (name in BLOCK) + ["*list"] * (name in LISTS)
+
+    def push(self, name: str, place: tuple) -> None:
+        for kind in self._kinds(name):
+            self.places[kind].append(len(self.stack))
+        self.stack.append((name, *place))
+
+    def last(self, kind: str) -> int | None:
+        """The place of the innermost element of a name or kind."""
+        return self.places[kind][-1] if self.places.get(kind) else None
+
+    def cut(self, depth: int) -> tuple:
+        """Close all from ``depth`` on; what holds behind them."""
+        place = self.stack[depth][1:]
+        while len(self.stack) > depth:
+            for kind in self._kinds(self.stack.pop()[0]):
+                self.places[kind].pop()
+        return place
+
+
+def _tag_end(html: str, at: int, last: dict) -> tuple[int, int]:
+    """End of a tag's attributes, and of the tag, that begin at ``at``; the page's end if it has none.
+
+    A quote counts behind ``=`` only. One that is never closed, or whose value holds a ``>`` and
+    ends right before another word, was left open: such a tag ends at the first ``>``. ``last``
+    has the last place of each quote, so that no quote is looked for in vain; a page is read once.
+    """
+    while True:
+        m = TAG_STOP.search(html, at)
+        if m is None:
+            return len(html), len(html)
+        if m.group(1) is None:
+            return m.start(), m.end()
+        quote, begin = m.group(1), m.end()
+        end = html.find(quote, begin) if last[quote] >= begin else -1
+        if end < 0 or ">" in html[begin:end] and html[end + 1:end + 2].strip() not in ("", "/", ">"):
+            end = html.find(">", begin)
+            return (end, end + 1) if end >= 0 else (len(html), len(html))
+        at = end + 1
+
+
+def tokens(html: str):
+    """Texts as ``(text, None, None)`` and tags as ``(slash, name, attributes)``; comments are passed over.
+
+    The reader of the tokens sends a name to have all up to that element's end passed over.
+    Each place is read a fixed number of times, whatever is open or broken.
+    """
+    last = {q: html.rfind(q) for q in "\"'"}
+    text, at = 0, html.find("<")
+    while at >= 0:
+        m, after = TAG.match(html, at), 0
+        if m:
+            tag, after = m.groups(), m.end()
+        elif m := BEGIN.match(html, at):
+            end, after = _tag_end(html, m.end(), last)
+            tag = (m.group(1), m.group(2), html[m.end():end])
+        elif html.startswith(("<!", "<?", "</"), at):
+            tag = None
+            if html.startswith(("<!-->", "<!--->"), at):
+                after = html.index(">", at) + 1
+            else:
+                mark = "-->" if html.startswith("<!--", at) else ">"
+                end = html.find(mark, at + 4 if mark == "-->" else at + 2)
+                after = end + len(mark) if end >= 0 else len(html)
+        if not after:  # a lone sign is text
+            at = html.find("<", at + 1)
+            continue
+        if at > text:
+            yield html[text:at], None, None
+        if tag:
+            raw = yield tag
+            if raw:
+                end = re.compile(rf"</{raw}(?=[\s/>]|\Z)[^>]*+(?:>|\Z)", re.I).search(html, after)
+                after = end.end() if end else len(html)
+                yield  # what ``send`` gives back
+        text, at = after, html.find("<", after)
+    if text < len(html):
+        yield html[text:], None, None
+
+
 def _pieces(html: str, matches: Matches):
     """The pieces, with the number of the innermost match in place of ``outside``."""
-    stack: list = []  # (name, match, article, link)
-    match, article, link, at = 0, False, False, 0
-    for m in TOKEN.finditer(html):
-        if m.start() < at:
-            continue  # within raw text
-        if m.start() > at:
-            text = html[at:m.start()]
-            matches.words[match] += len(text.split())
-            yield "text", text, match, article, link
-        at = m.end()
-        if not m.group(2):
+    opened = Open()
+    match, article, link = 0, False, False
+    stream = tokens(html)
+    for slash, name, attributes in stream:
+        if name is None:
+            matches.words[match] += len(slash.split())
+            yield "text", slash, match, article, link
             continue
-        name = m.group(2).lower()
-        if m.group(1):
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None and not (name == "p" and any(x[0] in BLOCK and x[0] != "p" for x in stack[depth + 1:])):
-                match, article, link = stack[depth][1:]
-                del stack[depth:]
+        name = name.lower()
+        if slash:
+            depth = opened.last(name)
+            if depth is not None and not (name == "p" and opened.last("*block") != depth):
+                match, article, link = opened.cut(depth)
             yield "close", name, match, article, link
             continue
-        if name in BLOCK and stack and stack[-1][0] == "p" and name != "br":
-            match, article, link = stack[-1][1:]  # a block ends a paragraph
-            stack.pop()
+        if name in BLOCK and name != "br" and opened.stack and opened.stack[-1][0] == "p":
+            match, article, link = opened.cut(len(opened.stack) - 1)  # a block ends a paragraph
         if name == "li":  # an item ends the item before it
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("li", "ul", "ol", "menu")), None)
-            if depth is not None and stack[depth][0] == "li":
-                match, article, link = stack[depth][1:]
-                del stack[depth:]
-        leaves = _leaves(name, m.group(3), article)
+            depth = opened.last("*list")
+            if depth is not None and opened.stack[depth][0] == "li":
+                match, article, link = opened.cut(depth)
+        leaves = _leaves(name, attributes, article)
         now = matches.add(match, leaves) if leaves else match
         if name in ("h1", "main"):
             matches.heading[match] = True
         if name in RAW:
-            end = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            stream.send(name)
             yield "open", name, now, article, link
             continue
-        if name not in VOID and not m.group(3).rstrip().endswith("/"):
-            stack.append((name, match, article, link))
+        if name not in VOID and not attributes.rstrip().endswith("/"):
+            opened.push(name, (match, article, link))
             match, link, article = now, link or name == "a", article or name in ARTICLE
         yield "open", name, match if name not in VOID else now, article, link
-    if at < len(html):
-        matches.words[match] += len(html[at:].split())
-        yield "text", html[at:], match, article, link
+
+
+def named(value: str) -> str:
+    """What a class or id says: ``match`` for no part of an article, ``comments``, or nothing.
+
+    A name counts by the word that it is about: ``nav-links`` is navigation, as links are any
+    part of a page, but neither ``related-work`` nor ``overflow-hidden`` leave the article.
+    """
+    for name in value.split():
+        words = [w for w in re.split("[-_]+", name) if w]
+        words = words[:next((i for i, w in enumerate(words) if w.lower() in MODIFIERS and i + 1 < len(words)), len(words))]
+        if not words:
+            continue
+        if words[0].lower() == "comment":
+            return "comments"
+        if words[-1].lower() in STATES and all(w.lower() in PREFIXES for w in words[:-1]):
+            return "match"
+        while words:
+            if OUTSIDE_NAMES.fullmatch(words[-1]) or OUTSIDE_NAMES.fullmatch("-".join(words[-2:])):
+                return "comments" if words[-1].lower() in COMMENTS or words[-1].lower().startswith("disqus") else "match"
+            if words[-1].lower() not in PLAIN and not words[-1][0].isdigit():
+                break
+            words.pop()
+    return ""
 
 
 def _leaves(name: str, attributes: str, article: bool) -> str:
@@ -173,8 +290,8 @@ def _leaves(name: str, attributes: str, article: bool) -> str:
     for m in ATTRIBUTE.finditer(attributes):
         key = m.group(1).lower()
         value = m.group(2) or m.group(3) or m.group(4) or ""
-        if key in ("class", "id") and OUTSIDE_NAMES.search(value) and OUTSIDE_NAMES.search(MODIFIER.sub(" ", value)):
-            return "comments" if COMMENTS.search(MODIFIER.sub(" ", value)) else "match"
+        if key in ("class", "id") and (found := named(value)):
+            return found
         if key == "role" and value.lower() in OUTSIDE_ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return "match"
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -189,6 +306,20 @@ def kind_of(kind: str, value: str, link: bool) -> str:
     return value if value in BLOCK or value in VOID or value in ("a", "b", "i", "em", "strong", "span", "u", "small", "img", "code") else "other"
 
 
+def kinds_of(found: list) -> list[str]:
+    """``kind_of`` each piece; parts of lists and tables whose words are no link are an ``item``."""
+    names = [kind_of(kind, value, link) for kind, value, _, _, link in found]
+    for step, side in ((-1, "open"), (1, "close")):  # the next words of a begin, the last ones of an end
+        linked = False
+        for i in range(len(found))[::step]:
+            kind, value, _, _, link = found[i]
+            if kind == "text":
+                linked = link if value.strip() else linked
+            elif kind == side and value in ITEMS and not linked:
+                names[i] = "item"
+    return names
+
+
 def learned(pages: DataFrame) -> dict:
     """Weights from the pages that mark their article: log odds of being inside it.
 
@@ -202,9 +333,11 @@ def learned(pages: DataFrame) -> dict:
             for html in batch.column("html").to_pylist():
                 if "<article" not in html.lower() and "<main" not in html.lower():
                     continue
-                for kind, value, outside, article, link in pieces(html):
+                found = pieces(html)
+                for (kind, value, outside, article, _), name in zip(found, kinds_of(found)):
                     n = len(value.split()) if kind == "text" else 1
-                    name = kind_of(kind, value, link)
+                    if name == "item" and outside:
+                        continue  # lists of menus say nothing of lists in a text
                     all_of[name] += n
                     if article and not outside:
                         inside[name] += n
@@ -252,16 +385,18 @@ def main_text(html: str, weights: dict) -> str:
 
     The scan alone finds the region. An article mark adds to the scores of words and takes from
     the cost of tags within it, by the fixed factor ``MARKED``; no text of the region is dropped
-    for being outside of a mark.
+    for being outside of a mark. What is outside is not part of the text whatever its length, so
+    it costs no more than its own two tags.
     """
-    found = list(pieces(html))
-    scores = []
-    for kind, value, outside, article, link in found:
+    found = pieces(html)
+    weights = DEFAULTS | weights
+    scores, before = [], False
+    for (kind, value, outside, article, _), name in zip(found, kinds_of(found)):
         if kind == "text":
-            n = len(value.split())
-            score = -n * weights["word"] if outside else n * weights["link" if link else "word"]
+            score = 0.0 if outside else len(value.split()) * weights[name]
         else:
-            score = weights.get(kind_of(kind, value, link), weights["tag"])
+            score = 0.0 if outside and before else weights.get(name, weights["tag"])
+        before = outside
         if article and not outside:
             score = score * MARKED if score > 0 else score / MARKED
         scores.append(score)
@@ -290,12 +425,13 @@ def _any_text(found) -> tuple[int, int]:
 
 def _heading_before(found, begin: int) -> int:
     """The begin of a heading whose text is the last one before the region."""
-    i = begin - 1
+    i, absent = begin - 1, set()
     while i >= 0 and not (found[i][0] == "text" and found[i][1].strip()):
-        if found[i][0] == "close" and found[i][1] in ("h1", "h2"):
+        if found[i][0] == "close" and found[i][1] in {"h1", "h2"} - absent:
             for j in range(i - 1, -1, -1):
                 if found[j][0] == "open" and found[j][1] == found[i][1]:
                     return begin if found[j][2] else j
+            absent.add(found[i][1])
         i -= 1
     return begin
 
