@@ -3,12 +3,14 @@
 A text is split into sections at empty lines, a section into paragraphs at line ends, and a
 paragraph into pieces of a few words with the white space before them. Pieces are hashed;
 paragraphs, sections and the root hash what is below them. Nothing of the text is lost in
-the splits, so roots test equality, and differing branches locate an edit.
+the splits. :func:`differences` compares two versions of documents under whole digests: equal
+roots end the comparison, and only branches that differ are followed down to the places of an edit.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c
@@ -49,6 +51,79 @@ def fingerprint(branches: Column) -> Column:
     return F.concat(root, F.lit(":"), rest)
 
 
+# A clause with the white space before it: it ends behind a word's last stop, wherever that is in the text.
+CLAUSE = r"(?s).*?[.!?;:,]+(?=[\x20\x09-\x0D]|\z)|.+\z"
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _node(below: Column) -> Column:
+    """A branch: its whole digest over those of the branches below it."""
+    def node(x):
+        return F.struct(F.sha2(F.array_join(F.transform(x, lambda b: b["hash"]), ""), 256).alias("hash"), x.alias("below"))
+
+    return _let(below, node)
+
+
+def whole_tree(text: Column) -> Column:
+    """The tree of a text as ``hash, below`` down to clauses, which are ``hash, text``; hashes are SHA-256."""
+    def paragraph(p):
+        clauses = F.regexp_extract_all(p, F.lit(CLAUSE), F.lit(0))
+        return _node(F.transform(clauses, lambda x: F.struct(F.sha2(x, 256).alias("hash"), x.alias("text"))))
+
+    def section(s):
+        return _node(F.transform(F.split(s, "\n"), paragraph))
+
+    return _node(F.transform(F.split(text, "\n\n"), section))
+
+
+def _unmatched(rows: DataFrame, *keep: str) -> DataFrame:
+    """Rows of ``_key, side, place, hash`` whose hash has no partner on the other side of its document.
+
+    The n-th of equal branches on one side goes with the n-th on the other, so repeats count.
+    """
+    nth = F.row_number().over(W.partitionBy("_key", "hash", "side").orderBy("place"))
+    rows = rows.withColumn("_nth", nth).withColumn("_n", F.count("*").over(W.partitionBy("_key", "hash", "_nth")))
+    return rows.filter("_n = 1").select("_key", "side", "place", *keep)
+
+
+def _below(rows: DataFrame) -> DataFrame:
+    """The branches one level down, with their place behind that of the branch they hang on."""
+    down = rows.select("_key", "side", F.col("place").alias("_place"), F.posexplode("below").alias("_at", "_branch"))
+    place = F.concat("_place", F.array(F.col("_at") + 1))
+    return down.select("_key", "side", place.alias("place"), "_branch.*")
+
+
+def differences(before: DataFrame, after: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+    """Where two versions of documents differ: ``doc_id, side, section, paragraph, clause, text``.
+
+    One row for each clause that one version has and the other has not; ``side`` is ``before`` or
+    ``after``, and places count from 1 in their own version. A branch that only moved within its
+    document differs nowhere below; where nothing but places or the splits between branches
+    changed, there are no rows, although the roots differ. A document that one table lacks
+    differs in all its clauses. A null text is an empty one, which has no clauses; a null id is
+    an id; of repeated ids the smallest text counts. Empty tables give an empty table. Texts
+    move once, by id, and beyond that only branches of documents whose roots differ.
+    """
+    sides = [narrow(df, _key=c(doc_id), side=F.lit(name), text=text_of(text)) for df, name in ((before, "before"), (after, "after"))]
+    both = sides[0].unionByName(sides[1]).groupBy("_key").agg(
+        *[F.min(F.when(F.col("side") == name, F.col("text"))).alias(name) for name in ("before", "after")]
+    ).filter(~F.col("before").eqNullSafe(F.col("after")))
+    both = both.select("_key", whole_tree(F.col("before")).alias("before"), whole_tree(F.col("after")).alias("after"))
+    both = both.filter(~F.col("before.hash").eqNullSafe(F.col("after.hash")))
+    roots = both.select("_key", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("side"), F.col(f"{name}.below").alias("below")) for name in ("before", "after")
+    ])).alias("_side")).select("_key", "_side.side", F.array().cast("array<int>").alias("place"), "_side.below")
+    sections = _unmatched(_below(roots), "below")
+    paragraphs = _unmatched(_below(sections), "below")
+    clauses = _unmatched(_below(paragraphs), "text")
+    at = {name: F.col("place")[i] for i, name in enumerate(("section", "paragraph", "clause"))}
+    return clauses.select(F.col("_key").alias("doc_id"), "side", *[v.alias(k) for k, v in at.items()], "text")
+
+
 def leaf_string(tree: Column) -> Column:
     return F.array_join(F.flatten(tree), "")
 
