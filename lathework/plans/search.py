@@ -24,6 +24,7 @@ from lathework.operators.resample import fold_column
 from lathework.operators.trees import in_parallel
 from lathework.plans.space import build, cand_id, complexity, draw_spec, draw_step, param_space, reject, spec_text
 from lathework.sources.searchlog import SearchLog
+from lathework.session import settle
 
 
 @dataclass
@@ -249,28 +250,23 @@ def mutate(spec: dict, space: dict, rng, max_pre=2) -> dict:
     return {"pre": pre, "est": est}
 
 
-def pareto_front(df: DataFrame, low: str, high: str, slices=256) -> DataFrame:
+def pareto_front(df: DataFrame, low: str, high: str, slices: int | None = None) -> DataFrame:
     """Rows that no other row beats: ``low`` as small and ``high`` as large as possible.
 
     A row stays if it holds the best ``high`` of its ``low`` level and every smaller level is
-    worse. Levels are cut into slices of the value range; the best of all slices before is a
-    short list, and the running best inside a slice is a window over that slice's levels.
+    worse; a row with a null in either column never stays. Levels are dealt into ranges of about
+    equally many (``slices``, or as many as the session shuffles into). A prefix maximum over one
+    row for each range takes out all levels that an earlier range beats, and only those left
+    meet in a running maximum within their range.
     """
-    levels = df.groupBy(c(low).alias("_low")).agg(F.max(c(high)).alias("_high"))
-    edges = levels.agg(
-        F.percentile_approx("_low", [k / slices for k in range(1, slices)], 10_000).alias("e")
-    ).first()["e"] or []
-    edges = sorted(set(edges))
-    marks = F.lit(edges) if edges else F.array().cast("array<double>")
-    placed = levels.withColumn("_slice", F.size(F.filter(marks, lambda e: e < F.col("_low"))))
-    best, before = None, {}
-    for r in sorted(placed.groupBy("_slice").agg(F.max("_high").alias("m")).collect(), key=lambda r: r["_slice"]):
-        before[r["_slice"]] = best
-        best = r["m"] if best is None else max(best, r["m"])
-    pairs = [F.lit(x) for k, v in before.items() if v is not None for x in (k, v)]
-    earlier = F.try_element_at(F.create_map(*pairs), F.col("_slice")) if pairs else F.lit(None)
-    inside = F.max("_high").over(W.partitionBy("_slice").orderBy("_low").rowsBetween(W.unboundedPreceding, -1))
-    limit = F.greatest(inside, earlier)
-    kept = placed.withColumn("_limit", limit).filter(F.col("_limit").isNull() | (F.col("_high") > F.col("_limit")))
+    levels = df.select(c(low).alias("_low"), c(high).alias("_high")).dropna().groupBy("_low").agg(F.max("_high").alias("_high"))
+    dealt = levels.repartitionByRange(*([slices] if slices else []), F.col("_low"))
+    placed = settle(dealt.withColumn("_slice", F.spark_partition_id()), "levels")
+    before = W.rowsBetween(W.unboundedPreceding, -1)
+    tops = placed.groupBy("_slice").agg(F.max("_high").alias("_top"))
+    tops = tops.select("_slice", F.max("_top").over(before.orderBy("_slice")).alias("_earlier"))
+    able = placed.join(tops, "_slice").filter(F.col("_earlier").isNull() | (F.col("_high") > F.col("_earlier")))
+    inside = F.max("_high").over(before.partitionBy("_slice").orderBy("_low"))
+    kept = able.withColumn("_limit", inside).filter(F.col("_limit").isNull() | (F.col("_high") > F.col("_limit")))
     match = (c(low) == F.col("_low")) & (c(high) == F.col("_high"))
     return df.join(kept.select("_low", "_high"), match, "left_semi")

@@ -245,6 +245,15 @@ def test_pareto_against_brute_force(spark):
         assert {r["id"] for r in pareto_front(df, "cost", "gain", slices).collect()} == want
 
 
+def test_pareto_of_nulls_ties_and_one_hot_level(spark):
+    rows = [(i, 5, 9.0) for i in range(300)] + [(300, 5, 8.0), (301, None, 99.0), (302, 1, None), (303, 4, 7.0), (304, 4, 7.0), (305, 6, 9.0)]
+    df = spark.createDataFrame(rows, "id int, cost int, gain double")
+    for slices in (None, 1, 64):
+        assert {r["id"] for r in pareto_front(df, "cost", "gain", slices).collect()} == {*range(300), 303, 304}
+    assert pareto_front(df.limit(0), "cost", "gain").count() == 0
+    assert pareto_front(df.filter("cost IS NULL"), "cost", "gain").count() == 0
+
+
 def test_train_report_with_grid(rows):
     from pyspark.ml.tuning import ParamGridBuilder
 
