@@ -29,7 +29,7 @@ from lathework.llm.rules import held_out
 from lathework.session import settle
 
 FIT_ROWS = 12_000  # labelled rows at most that the field is fitted on, chosen by the hash of the id
-FEATURES = 30_000  # features at most that the field has
+LEAST_TEXTS = 3  # texts of the sample that a feature is in at least
 EVIDENCE = 20.0  # likelihood ratio from which a feature marks its tokens as toxic
 MARKING = 0.6  # share of a feature's tokens that are in toxic texts, from which it can mark
 BURST = 4  # tokens of one text that count for that share
@@ -45,7 +45,7 @@ CACHE_WORDS = 300_000
 def features(word: str) -> list[str]:
     """The word, its first letters and its last letters."""
     w = word.lower()
-    return ["w" + w[:40], *["p" + w[:k] for k in (3, 4, 5, 6, 7) if len(w) > k], *["s" + w[-k:] for k in (3, 4) if len(w) > k]]
+    return ["w" + w, *["p" + w[:k] for k in (3, 4, 5, 6, 7) if len(w) > k], *["s" + w[-k:] for k in (3, 4) if len(w) > k]]
 
 
 def forward_backward(logits: np.ndarray, lengths: np.ndarray, steps: np.ndarray, start: float, with_pairs=True):
@@ -220,15 +220,16 @@ def count_features(rows: DataFrame) -> DataFrame:
     return counts.groupBy("feature").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def fit_field(rows: DataFrame, steps=STEPS, most_features=FEATURES, needed=EVIDENCE) -> Field | None:
-    """The field from ``text, label`` rows; None without rows of both labels."""
+def fit_field(rows: DataFrame, steps=STEPS, least_texts=LEAST_TEXTS, needed=EVIDENCE) -> Field | None:
+    """The field from ``text, label`` rows; None without rows of both labels.
+
+    Every feature of ``least_texts`` texts is kept, so the rows of the sample bound their number.
+    """
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if ones in (0, n):
         return None
     share = ones / n
-    counts = count_features(rows).filter("total >= 3")
-    odds = F.abs(F.log((F.col("toxic") + 0.5) / (ones + 1)) - F.log((F.col("total") - F.col("toxic") + 0.5) / (n - ones + 1)))
-    chosen = counts.orderBy((odds * F.sqrt("total")).desc(), "feature").limit(most_features).collect()
+    chosen = count_features(rows).filter(F.col("total") >= least_texts).orderBy("feature").collect()
     index = {r["feature"]: i for i, r in enumerate(chosen)}
     marks = {r["feature"] for r in chosen if evidence(r["toxic"], r["total"], share) >= needed and r["toxic_tokens"] >= MARKING * r["tokens"]}
     shared = rows.sparkSession.sparkContext.broadcast((index, marks))
