@@ -32,7 +32,7 @@ def fitted_levels(df: DataFrame, columns, max_levels=MAX_LEVELS) -> dict[str, li
         levels[r["column"]].append(r["level"])
     wide = {n: len(v) for n, v in levels.items() if len(v) > max_levels}
     if wide or len(found) > limit:
-        raise ValueError(f"too many levels to become columns: {wide or 'all columns'}; see sparse_dummies")
+        raise ValueError(f"too many levels to become columns: {wide or 'all columns'}; see sparse_dummies and famd_wide_fit")
     return {n: sorted(v) for n, v in levels.items()}
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lathework.functions.columns import c, key_bucket, rounded
 from lathework.functions.metrics import ColumnScorer, r2, rmsle
 from lathework.operators import combine, famd, generate, resample
+from lathework.operators.famd_wide import famd_wide_fit
 from lathework.operators import linear as L
 from lathework.operators import transforms as X
 from lathework.operators import trees as T
@@ -135,6 +136,30 @@ def _famd_scores(spark, d):
     return round_all(model.scores(rows, keep=["o_orderkey"]), "dim1", digits=5)
 
 
+# The same analysis with every customer as a level: a sparse table of pairs, no matrix of levels.
+_WIDE = _ETA.replace("o_orderpriority", "o_custkey")
+
+
+def _wide(spark, d):
+    rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    return rows, famd_wide_fit(rows, ["o_totalprice"], ["o_custkey"], ncp=1)
+
+
+@query("famd_wide", _WIDE + f"""
+SELECT 1 AS factor, {rnd('1 + eta', 7)} AS eigenvalue, {rnd('(1 + eta) / levels * 100')} AS percent, levels::DOUBLE AS inertia FROM e""")
+def _famd_wide(spark, d):
+    _, model = _wide(spark, d)
+    found = model.eigenvalues().select("factor", "eigenvalue", "percent", F.lit(model.inertia).alias("inertia"))
+    return round_all(round_all(found, "eigenvalue", digits=7), "percent")
+
+
+@query("famd_wide_scores", _WIDE + f"""
+SELECT o_orderkey, {rnd('(z + m / eta) / sqrt(2)', 4)} AS dim1 FROM s JOIN l USING (g), e""")
+def _famd_wide_scores(spark, d):
+    rows, model = _wide(spark, d)
+    return round_all(model.scores(rows, keep=["o_orderkey"]), "dim1", digits=4)
+
+
 @query("scree_table", _ETA + f"""
 SELECT i AS factor, {rnd('CASE WHEN i = 1 THEN 1 + eta ELSE 1.0::DOUBLE END / levels * 100')} AS percent
 FROM e, (VALUES (1), (2)) t(i)""")
