@@ -142,7 +142,7 @@ _WIDE = _ETA.replace("o_orderpriority", "o_custkey")
 
 def _wide(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
-    return rows, famd_wide_fit(rows, ["o_totalprice"], ["o_custkey"], ncp=1)
+    return rows, famd_wide_fit(rows, ["o_totalprice"], ["o_custkey"], ncp=1, tolerance=1e-12)
 
 
 @query("famd_wide", _WIDE + f"""
