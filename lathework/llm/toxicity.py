@@ -229,9 +229,14 @@ def fit_field(rows: DataFrame, steps=STEPS, least_texts=LEAST_TEXTS, needed=EVID
     if ones in (0, n):
         return None
     share = ones / n
-    chosen = count_features(rows).filter(F.col("total") >= least_texts).orderBy("feature").collect()
-    index = {r["feature"]: i for i, r in enumerate(chosen)}
-    marks = {r["feature"] for r in chosen if evidence(r["toxic"], r["total"], share) >= needed and r["toxic_tokens"] >= MARKING * r["tokens"]}
+    chosen = count_features(rows).filter(F.col("total") >= least_texts).orderBy("feature").toArrow()
+    names, *counts = (chosen.column(k).to_pylist() for k in ("feature", "toxic", "total", "toxic_tokens", "tokens"))
+    index = {f: i for i, f in enumerate(names)}
+    marks = {
+        f for f, toxic, total, own, tokens_of in zip(names, *counts)
+        if own >= MARKING * tokens_of and evidence(toxic, total, share) >= needed
+    }
+    del chosen, names, counts
     shared = rows.sparkSession.sparkContext.broadcast((index, marks))
     size = len(index) + 1  # and a bias
 
@@ -257,6 +262,7 @@ def fit_field(rows: DataFrame, steps=STEPS, least_texts=LEAST_TEXTS, needed=EVID
             yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], names=["lengths", "ids", "gold", "own", "features"])
 
     data = settle(rows.select("text", "label").mapInArrow(tokens, "lengths binary, ids binary, gold binary, own binary, features binary"), "tokens")
+    shared.destroy()  # the arrays are written
 
     def gradient(theta):
         weights, trans, start = theta[:size], theta[size:size + 4].reshape(2, 2), theta[size + 4]
@@ -285,7 +291,9 @@ def fit_field(rows: DataFrame, steps=STEPS, least_texts=LEAST_TEXTS, needed=EVID
                     total[size + 5] += (logits * gold).sum() + (trans * gold_pairs).sum() + start * gold[first].sum() - norm.sum()
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["g"])
 
-        return np.sum([np.frombuffer(r["g"]) for r in data.mapInArrow(run, "g binary").collect()], axis=0)
+        parts = data.mapInArrow(run, "g binary").toArrow().column("g")
+        sent.destroy()
+        return np.sum([np.frombuffer(g.as_buffer()) for g in parts], axis=0)
 
     theta = climb(gradient, size + 5, steps)
     return Field(
