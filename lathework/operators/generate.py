@@ -1,7 +1,7 @@
 """Generated features: candidate expressions, one-scan scoring, diverse survivors, generations.
 
 A candidate is a small tree of column names and operations. All candidates of a generation
-are columns of one projection, scored by one cross-product scan.
+are one graph, evaluated and scored in one scan; the survivors are columns of one projection.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c
-from lathework.operators.gram import moments, pooled
+from lathework.operators.graph import graph_moments
 
 UNARY = {
     "log1pabs": lambda a: F.log1p(F.abs(a)),
@@ -79,31 +79,22 @@ class Scored:
 
 
 def score_features(df: DataFrame, trees, label: str) -> Scored:
-    """Correlation of every candidate with the label, in one aggregate and one scan.
+    """Correlation of every candidate with the label and among each other, in one scan.
 
-    A candidate with a missing or infinite value anywhere is rejected.
+    The candidates are one graph, whose shared parts are worked out once for a batch. A candidate
+    with a missing or infinite value anywhere is rejected; a row without a label is an error.
     """
     trees = list(trees)
-    columns = [column_of(t) for t in trees]
-    y = c(label).cast("double")
-
-    def broken(col):
-        return F.count_if(col.isNull() | F.isnan(col) | (F.abs(col) == float("inf")))
-
-    row = df.agg(
-        *[broken(col).alias(f"b{i}") for i, col in enumerate(columns)],
-        *[F.avg(col).alias(f"m{i}") for i, col in enumerate(columns)], F.avg(y).alias("my"),
-    ).first()
-    good = [i for i in range(len(trees)) if row[f"b{i}"] == 0]
-    centre = [row[f"m{i}"] for i in good] + [row["my"]]
-    m = pooled(moments(df, [*[columns[i] for i in good], y], centre=centre, on_missing="raise"))
-    s = m.scatter
-    size = np.sqrt(np.maximum(np.diag(s), 0))
-    scale = np.abs(np.array(centre)) * np.sqrt(m.n)
-    varies = size[:-1] > 1e-7 * np.maximum(scale[:-1], 1e-300)
-    keep = np.flatnonzero(varies & np.isfinite(size[:-1]))
+    m = graph_moments(df, trees, label)
+    with np.errstate(all="ignore"):
+        s = m.scatter
+        size = np.sqrt(np.maximum(np.diag(s), 0))
+        varies = size > 1e-7 * np.maximum(np.abs(m.mean) * np.sqrt(m.n), 1e-300)
+    keep = np.flatnonzero((varies & np.isfinite(size) & np.isfinite(m.total))[:-1])
+    picked = [*keep, len(trees)]
+    s, size = s[np.ix_(picked, picked)], size[picked]
     r = s / np.outer(np.where(size == 0, 1, size), np.where(size == 0, 1, size))
-    return Scored([trees[good[i]] for i in keep], r[keep, -1], r[np.ix_(keep, keep)])
+    return Scored([trees[i] for i in keep], r[:-1, -1], r[:-1, :-1])
 
 
 def select_diverse(scored: Scored, count: int, cut=0.95) -> Scored:
@@ -168,7 +159,7 @@ class Evolved:
 
 def evolve_features(df: DataFrame, columns, label: str, generations=100, population=500, survivors=25, cut=0.95,
                     seed=7) -> Evolved:
-    """Generations of candidates. The table should be cached: each generation reads it twice."""
+    """Generations of candidates. Each generation reads the table once, and a few first rows."""
     rng = np.random.default_rng(seed)
     columns = list(columns)
     pool = first_candidates(columns)
