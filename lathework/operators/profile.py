@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions.columns import c, long_form, numeric_columns, one_row_per
-from lathework.operators.gram import matrix_of, means, numeric_rows, summed
 from lathework.operators.project import is_missing
+from lathework.operators.tiles import correlation_tiles
 
 
 def dtype_groups(df: DataFrame) -> DataFrame:
@@ -121,34 +120,12 @@ def define_vars(profile: DataFrame) -> dict[str, list[str]]:
 def pearson_matrix(df: DataFrame, columns=None) -> DataFrame:
     """``(a, b, r)`` for all ordered pairs of numeric columns; constant columns have no r.
 
-    Each pair uses the rows in which both columns have a value. One scan sums, for every pair,
-    the rows, values, squares and products, about the columns' means; a column that is
-    constant over the rows of a pair has no r in that pair.
+    Each pair uses the rows in which both columns have a value. Sums of values, squares and
+    products of every pair come from one scan up to 512 columns, and from a scan for every five
+    tiles of 512 x 512 pairs beyond; a column that is constant over the rows of a pair has no r in
+    that pair.
     """
-    names = list(columns or numeric_columns(df))
-    rows = numeric_rows(df, names)
-    shift = means(rows) if rows.head(1) else np.zeros(len(names))
-
-    def reduce_batch(batch):
-        x = matrix_of(batch) - shift
-        seen = (~np.isnan(x)).astype(float)
-        x = np.where(seen > 0, x, 0.0)
-        return {0: np.concatenate([m.ravel() for m in (seen.T @ seen, x.T @ seen, (x * x).T @ seen, x.T @ x)])}
-
-    cells = summed(rows, reduce_batch, on_missing="keep").get(0)
-    out = []
-    if cells is not None:
-        n, total, square, product = cells.reshape(4, len(names), len(names))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            spread = square - total ** 2 / n
-            # rounding leaves a constant with a spread of some units in the last place
-            spread = np.where(spread > 1e-12 * np.maximum(square, 1e-300), spread, 0.0)
-            r = (product - total * total.T / n) / np.sqrt(spread * spread.T)
-        out = [
-            (names[i], names[j], float(min(1.0, max(-1.0, r[i, j]))))
-            for i in range(len(names)) for j in range(len(names)) if np.isfinite(r[i, j])
-        ]
-    return df.sparkSession.createDataFrame(out, "a string, b string, r double")
+    return correlation_tiles(df, columns or numeric_columns(df))
 
 
 def correlation(x: Column, y: Column) -> Column:
