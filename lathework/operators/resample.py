@@ -7,17 +7,18 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.ml import Estimator
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lathework.functions.columns import c, key_bucket
+from lathework.functions.columns import add_up, c, key_bucket
 from lathework.functions.metrics import METRICS, ColumnScorer, r2, rmsle
 from lathework.operators.combine import join_statistics
 from lathework.operators.linear import ridge_coefficients
-from lathework.operators.gram import moments, pooled
+from lathework.operators.gram import Moments, moments, numeric_rows, pooled
 from lathework.operators.trees import in_parallel
 
 RANK_ROWS = 100_000
@@ -156,6 +157,55 @@ def learning_curve(estimator: Estimator, df: DataFrame, key: str, shares=(0.1, 0
     )
 
 
+def linear_curves(df: DataFrame, features, label: str, key: str, shares=(0.1, 0.33, 0.55, 0.78, 1.0), folds=5,
+                  repeat=0, ridge=0.0) -> DataFrame:
+    """Scores of a linear model for every training share and every fold, from one scan.
+
+    ``share, fold, train_rows, valid_rows, train_r2, valid_r2, train_rmse, valid_rmse``. Cross products
+    are summed once by fold and hash slice. A training set is the slices up to its share of all folds
+    but one, so smaller sets lie inside larger ones, and shares of 1 alone are a cross-validation.
+    Residual squares follow from the same products, so no row is scored. Where a side has no rows
+    its scores are missing; a row that misses a value is an error.
+    """
+    shares = sorted(float(s) for s in shares)
+    cuts = [int(round(s * 10_000)) for s in shares]
+    columns = [*[c(n) for n in features], c(label)]
+    at = share_of(c(key))
+    piece = add_up([F.when(at >= F.lit(cut), 1).otherwise(0) for cut in cuts])
+    group = fold_column(c(key), folds, repeat) * (len(cuts) + 1) + piece
+    # Near the means, so that sums stay exact; ``take`` reads as few partitions as it can.
+    first = numeric_rows(df, columns).take(1000)
+    centre = np.nan_to_num(np.array([r["x"] for r in first], dtype=float)).mean(axis=0) if first else np.zeros(len(columns))
+    parts = moments(df, columns, centre=centre, group=group, on_missing="raise")
+
+    def together(pick):
+        own = [m for g, m in parts.items() if pick(*divmod(g, len(cuts) + 1))]
+        return pooled(dict(enumerate(own))) if own else None
+
+    rows = []
+    for i, share in enumerate(shares):
+        for fold in range(folds):
+            train = together(lambda f, s: f != fold and s <= i)
+            valid = together(lambda f, s: f == fold)
+            fit = ridge_coefficients(train, ridge) if train else None
+            a, b = (_linear_scores(m, *fit) if m and fit else (None, None) for m in (train, valid))
+            sizes = [int(m.n) if m else 0 for m in (train, valid)]
+            rows.append((share, fold, *sizes, a[0], b[0], a[1], b[1]))
+    return df.sparkSession.createDataFrame(
+        rows, "share double, fold int, train_rows long, valid_rows long, train_r2 double, valid_r2 double, "
+        "train_rmse double, valid_rmse double",
+    )
+
+
+def _linear_scores(m: Moments, coef, intercept) -> tuple[float | None, float]:
+    """R2 (missing where the label is constant) and root mean squared error of a linear fit on summed rows."""
+    weights = np.append(-np.asarray(coef, dtype=float), 1.0)
+    off = float(intercept) - weights @ m.mean
+    squares = max(0.0, float(weights @ m.scatter @ weights) + m.n * off * off)
+    spread = m.scatter[-1, -1]
+    return (float(1 - squares / spread) if spread > 0 else None), math.sqrt(squares / m.n)
+
+
 def share_of(key: Column) -> Column:
     return key_bucket(key, 10_000, "curve")
 

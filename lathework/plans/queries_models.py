@@ -769,6 +769,24 @@ def _curve(spark, d):
     return round_all(resample.learning_curve(L.LinearBaseline(), data, "l_orderkey", _CURVE), "train_score", "valid_score")
 
 
+# Every share and fold from one scan: cross products by fold and slice, added and taken away.
+@query("linear_curves", f"""
+WITH r AS (SELECT l_quantity AS x, l_extendedprice + 900 * l_quantity AS y, {fold('l_orderkey', 3)} AS g,
+                  {sql_bucket('l_orderkey', 10000, 'curve')} AS h FROM lineitem),
+k AS (SELECT s, f::INT AS f FROM (VALUES {', '.join(f'({v}::DOUBLE)' for v in _CURVE)}) v(s), range(3) t(f)),
+m AS (SELECT s, f, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM k JOIN r ON g <> f AND h < s * 10000 GROUP BY s, f),
+p AS (SELECT s, f, y, power(y - a * x - b, 2) AS e, g = f AS valid FROM m JOIN r ON g = f OR h < s * 10000)
+SELECT s AS share, f AS fold, count(*) FILTER (NOT valid) AS train_rows, count(*) FILTER (valid) AS valid_rows,
+       {rnd('1 - avg(e) FILTER (NOT valid) / var_pop(y) FILTER (NOT valid)')} AS train_r2,
+       {rnd('1 - avg(e) FILTER (valid) / var_pop(y) FILTER (valid)')} AS valid_r2,
+       {rnd('sqrt(avg(e) FILTER (NOT valid))', 4)} AS train_rmse, {rnd('sqrt(avg(e) FILTER (valid))', 4)} AS valid_rmse
+FROM p GROUP BY s, f""")
+def _linear_curves(spark, d):
+    rows = table(spark, d, "lineitem").withColumn("y", F.col("l_extendedprice") + 900 * F.col("l_quantity"))
+    found = resample.linear_curves(rows, ["l_quantity"], "y", "l_orderkey", _CURVE, 3)
+    return round_all(round_all(found, "train_r2", "valid_r2"), "train_rmse", "valid_rmse", digits=4)
+
+
 _DRAWS = ", ".join(repr(float(v)) + "::DOUBLE" for v in np.cumsum([np.exp(-1) / m for m in (1, 1, 2, 6, 24, 120, 720, 5040)]))
 
 
