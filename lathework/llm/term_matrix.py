@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from lathework.llm.textbytes import _SPACE, chunks, prefix_sums, stretch_hash, word_bounds
 from lathework.session import settle
@@ -22,7 +22,7 @@ from lathework.session import settle
 SHARD_BYTES = 1 << 22
 PIECE_BYTES = 1 << 19
 SLICE_ROWS = 1 << 9  # rows of a batch that are copied at a time
-HELD_ROWS = 1 << 20  # words of a partition that a task holds before it passes them on
+HELD_WORDS = 1 << 20  # words of a bucket that a task looks up at a time
 
 
 def pieces(column, most=PIECE_BYTES):
@@ -43,29 +43,20 @@ def pieces(column, most=PIECE_BYTES):
         yield row, (offsets if at == 0 else np.array([0, len(data) - at])), data[at:]
 
 
-def same_words(data, starts, ends, other) -> bool:
-    """Whether every word has the bytes of the word that ``other`` says it has."""
-    size = ends - starts
-    if (size != size[other]).any():
-        return False
-    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    return bool((data[inside + np.repeat(starts, size)] == data[inside + np.repeat(starts[other], size)]).all())
+def word_array(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Words that follow each other in ``data`` without gaps."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def encoded(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def encoded(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row and word number of every word of a piece, and the distinct words."""
     starts, ends, first = word_bounds(offsets, data)
     rows = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     if not len(starts):
-        return rows, rows, []
-    hashes = stretch_hash(prefix_sums(data), starts, ends)
-    _, at, codes = np.unique(hashes, return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    if same_words(data, starts, ends, at[codes]):
-        return rows, codes, [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-    numbers: dict[bytes, int] = {}  # two words with one hash: compare the words themselves
-    codes = np.array([numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(starts.tolist(), ends.tolist())])
-    return rows, codes, list(numbers)
+        return rows, rows, np.zeros(0, object)
+    found = word_array(data[~_SPACE[data]], ends - starts).dictionary_encode()
+    return rows, found.indices.to_numpy(), found.dictionary.to_numpy(zero_copy_only=False)
 
 
 def slim(x: np.ndarray) -> bytes:
@@ -102,9 +93,14 @@ def terms_of(ends: bytes, terms: bytes) -> np.ndarray:
     return unstepped(wide(terms), wide(ends))
 
 
+def cell_order(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Order of cells by row, then column; cells are not that many that the two do not fit one number."""
+    return np.argsort(rows.astype(np.int64) * (int(columns.max()) + 1 if len(columns) else 1) + columns)
+
+
 def summed_cells(rows, columns, counts):
     """Distinct cells in row and column order, with their counts added up."""
-    order = np.lexsort((columns, rows))
+    order = cell_order(rows, columns)
     rows, columns, counts = rows[order], columns[order], counts[order]
     new = np.ones(len(rows), dtype=bool)
     new[1:] = (rows[1:] != rows[:-1]) | (columns[1:] != columns[:-1])
@@ -116,39 +112,68 @@ class Shard:
     """Documents, cells and words that a task has gathered."""
 
     def __init__(self):
-        self.docs, self.cells, self.words, self.size, self.rows = [], [], {}, 0, 0
+        self.docs, self.cells, self.words, self.size, self.rows = [], [], [], 0, 0
 
     def add(self, row: int, offsets, data) -> None:
         """``row``: number of the piece's first document in the shard."""
         rows, codes, words = encoded(offsets, data)
         if len(words):
-            own = np.array([self.words.setdefault(w, len(self.words)) for w in words])
             cell, counts = np.unique(rows * len(words) + codes, return_counts=True)
-            self.cells.append([x.astype(np.int32) for x in (row + cell // len(words), own[cell % len(words)], counts)])
+            self.cells.append([x.astype(np.int32) for x in (row + cell // len(words), cell % len(words), counts)])
+            self.words.append(pa.array(words, pa.large_binary()))
         self.size += len(data)
 
-    def row(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
+    def dealt(self, buckets: int):
+        """The distinct words by bucket, ``(bucket, place of its first word, sizes, bytes)``, and the places of the pieces' words."""
+        if not self.words:
+            return [], []
+        found = pa.concat_arrays(self.words).dictionary_encode()
+        words = found.dictionary
+        bounds = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+        bucket = stretch_hash(prefix_sums(np.frombuffer(words.buffers()[2], np.uint8)), bounds[:-1], bounds[1:]) % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        words = words.take(pa.array(order))
+        bounds = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+        raw, bucket = words.buffers()[2], bucket[order]
+        begin = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
+        parts = [
+            (int(bucket[a]), a, slim(np.diff(bounds[a:b + 1])), raw[int(bounds[a]):int(bounds[b])].to_pybytes())
+            for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(bucket)])
+        ]
+        own = place[found.indices.to_numpy()]
+        return parts, np.split(own, np.cumsum([len(x) for x in self.words])[:-1])
+
+    def row(self, number: int, schema: pa.Schema, buckets: int) -> pa.RecordBatch:
+        parts, places = self.dealt(buckets)
+        cells = [(rows, own[columns], counts) for (rows, columns, counts), own in zip(self.cells, places)]
         none = (np.zeros(0, np.int32),) * 3
-        rows, columns, counts = summed_cells(*(np.concatenate(x) for x in zip(*self.cells))) if self.cells else none
+        rows, columns, counts = summed_cells(*(np.concatenate(x) for x in zip(*cells))) if cells else none
         ends = np.searchsorted(rows, np.arange(self.rows + 1))
         docs = pa.concat_arrays(self.docs)
+        entry = schema.field("words").type.value_type
+        words = pa.array([dict(zip(("bucket", "at", "sizes", "raw"), x)) for x in parts], entry)
         cells = [
             pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
             *[pa.array([slim(x)], pa.binary()) for x in (ends, steps(columns, ends), counts)],
-            pa.array([list(self.words)], pa.list_(pa.binary())),
+            pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
         ]
         return pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(cells, schema)], schema=schema)
 
 
-def local_shards(docs: DataFrame, text="text", shard_bytes=SHARD_BYTES) -> DataFrame:
+def local_shards(docs: DataFrame, buckets: int, text="text", shard_bytes=SHARD_BYTES) -> DataFrame:
     """``shard, docs, ends, columns, counts, words``: shards with columns of their own, not shuffled.
 
     ``docs`` has a text column (null counts as empty); its other columns go into the array ``docs``.
+    Words are dealt to ``buckets`` by hash; ``words`` has an entry for each bucket, with the column of its first word.
     """
     kept = [f for f in docs.schema if f.name != text]
     schema = StructType([
         StructField("shard", LongType()), StructField("docs", ArrayType(StructType(kept))),
-        *[StructField(k, BinaryType()) for k in ("ends", "columns", "counts")], StructField("words", ArrayType(BinaryType())),
+        *[StructField(k, BinaryType()) for k in ("ends", "columns", "counts")], StructField("words", ArrayType(StructType([
+            StructField("bucket", IntegerType()), StructField("at", LongType()), StructField("sizes", BinaryType()), StructField("raw", BinaryType()),
+        ]))),
     ])
     arrow = to_arrow_schema(schema)
     entry = arrow.field("docs").type.value_type
@@ -162,70 +187,61 @@ def local_shards(docs: DataFrame, text="text", shard_bytes=SHARD_BYTES) -> DataF
                 if shard.size >= shard_bytes and row > last >= 0:
                     shard.docs.append(meta.slice(done, row - done))
                     shard.rows = base + row
-                    yield shard.row(number, arrow)
+                    yield shard.row(number, arrow, buckets)
                     number, shard, base, done = number + 1, Shard(), -row, row
                 shard.add(base + row, offsets, data)
                 last = row + len(offsets) - 2
             shard.docs.append(meta.slice(done))
             shard.rows = base + batch.num_rows
         if shard.rows:
-            yield shard.row(number, arrow)
+            yield shard.row(number, arrow, buckets)
 
     return docs.select(*[f.name for f in kept], text).mapInArrow(run, schema)
 
 
-def numbered_words(shards: DataFrame, listed=False) -> DataFrame:
+def numbered_words(shards: DataFrame, buckets: int, listed=False) -> DataFrame:
     """``owner, at, terms``: the numbers of the words of a shard, the same in all shards, in a few rows.
 
-    Words are dealt by hash and sorted; the r-th word of partition p of P is number r * P + p, so
-    the numbers have few gaps, and a word is shuffled once for each shard that has it. With
-    ``listed``, the dictionary ``word, term`` instead.
+    A bucket's words meet in one task, by shard; the r-th new word of bucket b of B is number
+    r * B + b, so the numbers have few gaps, and a word is shuffled once for each shard that
+    has it. ``at`` is the column of the first word. With ``listed``, the dictionary ``word, term`` instead.
     """
-    parts = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = shards.select(F.col("shard").alias("owner"), F.posexplode("words").alias("at", "word"))
+    words = shards.select(F.col("shard").alias("owner"), F.explode("words").alias("x")).select("owner", "x.*")
 
-    def ranked(batches):
-        rank, last = -1, None
+    def numbered(batches):
+        """Rows of one bucket with the numbers of their words and the words that are new."""
+        bucket, known = None, {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            word = batch.column("word")
-            new = np.ones(len(word), dtype=np.int64)
-            new[0] = word[0].as_py() != last
-            new[1:] = pc.not_equal(word.slice(1), word.slice(0, len(word) - 1)).to_numpy(zero_copy_only=False)
-            ranks = rank + np.cumsum(new)
-            rank, last = int(ranks[-1]), word[len(word) - 1].as_py()
-            yield batch, new > 0, ranks * parts + TaskContext.get().partitionId()
+            found = batch.column("bucket").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(found)) + 1).tolist(), len(found)] if len(found) else [0]
+            for first, last in zip(edges[:-1], edges[1:]):
+                if found[first] != bucket:
+                    bucket, known = int(found[first]), {}
+                at = first
+                while at < last:  # rows that have HELD_WORDS words together, or one row
+                    sizes, raw, n, begin = [], [], 0, at
+                    while at < last and (at == begin or n < HELD_WORDS):
+                        sizes.append(wide(batch.column("sizes")[at].as_py()))
+                        raw.append(np.frombuffer(batch.column("raw")[at].as_buffer(), np.uint8))
+                        n, at = n + len(sizes[-1]), at + 1
+                    coded = word_array(np.concatenate(raw), np.concatenate(sizes)).dictionary_encode()
+                    before, own = len(known), coded.dictionary.to_numpy(zero_copy_only=False)
+                    ranks = np.array([known.setdefault(w, len(known)) for w in own], np.int64)
+                    terms = ranks[coded.indices.to_numpy()] * buckets + bucket
+                    fresh = ranks >= before
+                    yield batch.slice(begin, at - begin), [len(x) for x in sizes], terms, coded.dictionary.filter(pa.array(fresh)), ranks[fresh] * buckets + bucket
 
     def dictionary(batches):
-        for batch, new, terms in ranked(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("word").filter(pa.array(new)), pa.array(terms[new])], names=["word", "term"])
-
-    def by_owner(held):
-        owner, at, terms = (np.concatenate(x) for x in zip(*held))
-        order = np.argsort(owner, kind="stable")
-        ends = np.flatnonzero(np.diff(owner[order], append=-1)) + 1
-        parts = [order[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]), ends)]
-        cells = [pa.array([int(owner[p[0]]) for p in parts])] + [
-            pa.array([slim(x) for x in found], pa.binary())
-            for found in ([at[p] for p in parts], [np.diff(terms[p], prepend=0) for p in parts])
-        ]
-        return pa.RecordBatch.from_arrays(cells, names=["owner", "at", "terms"])
+        for _, _, _, new, terms in numbered(batches):
+            yield pa.RecordBatch.from_arrays([new.cast(pa.binary()), pa.array(terms)], names=["word", "term"])
 
     def places(batches):
-        held, rows = [], 0
-        for batch, _, terms in ranked(batches):
-            held.append((batch.column("owner").to_numpy(), batch.column("at").to_numpy(), terms))
-            rows += len(terms)
-            if rows >= HELD_ROWS:
-                yield by_owner(held)
-                held, rows = [], 0
-        if held:
-            yield by_owner(held)
+        for rows, sizes, terms, _, _ in numbered(batches):
+            cells = [slim(x) for x in np.split(terms, np.cumsum(sizes)[:-1])]
+            yield pa.RecordBatch.from_arrays([rows.column("owner"), rows.column("at"), pa.array(cells, pa.binary())], names=["owner", "at", "terms"])
 
-    # a fixed number of partitions: those that adaptive execution merges would not know their own
-    dealt = words.repartition(parts, "word").sortWithinPartitions("word")
-    return dealt.mapInArrow(dictionary, "word binary, term long") if listed else dealt.mapInArrow(places, "owner long, at binary, terms binary")
+    dealt = words.repartition(buckets, "bucket").sortWithinPartitions("bucket", "owner").select("owner", "bucket", "at", "sizes", "raw")
+    return dealt.mapInArrow(dictionary, "word binary, term long") if listed else dealt.mapInArrow(places, "owner long, at long, terms binary")
 
 
 def term_matrix(docs: DataFrame, text="text", shard_bytes=SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -237,29 +253,30 @@ def term_matrix(docs: DataFrame, text="text", shard_bytes=SHARD_BYTES) -> tuple[
     A null, empty or blank text is a document without cells; long texts, repeated rows and
     words of any length count in full. An empty table gives an empty matrix.
     """
-    local = settle(local_shards(docs, text, shard_bytes), "shards")
-    places = numbered_words(local)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    local = settle(local_shards(docs, buckets, text, shard_bytes), "shards")
+    places = numbered_words(local, buckets)
     schema = StructType([*local.schema.fields[:3], StructField("terms", BinaryType()), StructField("counts", BinaryType())])
     arrow = to_arrow_schema(schema)
 
     def renumber(shard: pa.Table, places: pa.Table) -> pa.Table:
-        found = [(wide(a), np.cumsum(wide(t))) for a, t in zip(places.column("at").to_pylist(), places.column("terms").to_pylist())]
-        number = np.zeros(sum(len(a) for a, _ in found), np.int64)
+        found = [(a, wide(t)) for a, t in zip(places.column("at").to_pylist(), places.column("terms").to_pylist())]
+        number = np.zeros(sum(len(t) for _, t in found), np.int64)
         for at, terms in found:
-            number[at] = terms
+            number[at:at + len(terms)] = terms
         out = []
         for row in shard.to_batches():
             for i in range(row.num_rows):
                 ends, columns, counts = (wide(row.column(k)[i].as_py()) for k in ("ends", "columns", "counts"))
                 terms = number[unstepped(columns, ends)]
-                order = np.lexsort((terms, np.repeat(np.arange(len(ends) - 1), np.diff(ends))))
+                order = cell_order(np.repeat(np.arange(len(ends) - 1), np.diff(ends)), terms)
                 cells = [pa.array([slim(x)], pa.binary()) for x in (steps(terms[order], ends), counts[order])]
                 parts = [row.column(k).slice(i, 1) for k in ("shard", "docs", "ends")] + cells
                 out.append(pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(parts, arrow)], schema=arrow))
         return pa.Table.from_batches(out, schema=arrow)
 
     whole = local.drop("words")
-    return whole.groupBy("shard").cogroup(places.groupBy("owner")).applyInArrow(renumber, schema), numbered_words(local, listed=True)
+    return whole.groupBy("shard").cogroup(places.groupBy("owner")).applyInArrow(renumber, schema), numbered_words(local, buckets, listed=True)
 
 
 def row_totals(matrix: DataFrame) -> DataFrame:

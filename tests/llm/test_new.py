@@ -127,6 +127,23 @@ def test_words_with_one_hash_stay_apart(monkeypatch):
     assert [words[i] for i in codes] == [b"aa", b"b", b"ab", b"aa"]
 
 
+def test_words_travel_by_bucket(nasty):
+    found = term_matrix.local_shards(nasty.select("doc_id", "text"), 3, shard_bytes=500).collect()
+    of_word = {}
+    for r in found:
+        assert [x["bucket"] for x in r["words"]] == sorted({x["bucket"] for x in r["words"]}) and len(r["words"]) <= 3
+        at = 0
+        for x in r["words"]:  # buckets follow each other in the shard's columns
+            sizes = term_matrix.wide(x["sizes"])
+            assert x["at"] == at and sizes.sum() == len(x["raw"])
+            at += len(sizes)
+            for a, n in zip(np.cumsum(sizes) - sizes, sizes):
+                assert of_word.setdefault(bytes(x["raw"][a:a + n]), x["bucket"]) == x["bucket"]
+    assert len(found) > 1
+    want = {w.encode() for r in nasty.collect() for w in WORD.findall(r["text"] or "")}
+    assert set(of_word) == want and len(set(of_word.values())) == 3
+
+
 def test_filter_audit(spark, nasty, nothing):
     labels = spark.createDataFrame([(i, i % 2, i % 3 == 0) for i in range(19)] + [(3, None, False), (None, 1, True), (4, 1, None)], "doc_id long, quality int, t boolean")
     labels = labels.select("doc_id", "quality", F.col("t").cast("int").alias("toxic"), F.lit(1).alias("part"))
