@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from lathework.llm.textbytes import _SPACE, chunks, prefix_sums, stretch_hash, word_bounds
+from lathework.llm.textbytes import _SPACE, chunks, prefix_sums, stretch_hash, word_array, word_bounds
 from lathework.session import settle
 
 SHARD_BYTES = 1 << 22
@@ -43,12 +43,6 @@ def pieces(column, most=PIECE_BYTES):
         yield row, (offsets if at == 0 else np.array([0, len(data) - at])), data[at:]
 
 
-def word_array(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """Words that follow each other in ``data`` without gaps."""
-    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
-
-
 def encoded(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row and word number of every word of a piece, and the distinct words."""
     starts, ends, first = word_bounds(offsets, data)

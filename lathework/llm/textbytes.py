@@ -83,10 +83,10 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def word_bounds(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the number of the first word of each row."""
+def word_bounds(offsets: np.ndarray, data: np.ndarray, space=_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the number of the first word of each row; ``space``: which bytes part words."""
     n = len(data)
-    word = ~_SPACE[data]
+    word = ~space[data]
     edge = np.zeros(n + 1, dtype=bool)  # a row's end ends a word
     edge[offsets] = True
     before = np.zeros(n, dtype=bool)
@@ -98,6 +98,12 @@ def word_bounds(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def word_array(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Words that follow each other in ``data`` without gaps."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def shingles(offsets: np.ndarray, data: np.ndarray, words=5) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of a run of rows, and the number of the first one of each row.
 

@@ -11,7 +11,6 @@ of the sum and the maximum of its marginals, and neighbouring tokens above one h
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 from math import log
 
@@ -26,6 +25,7 @@ from lathework.functions.columns import add_up, c
 from lathework.llm.common import narrow, text_of
 from lathework.llm.mixing import place_hash
 from lathework.llm.rules import held_out
+from lathework.llm.textbytes import chunks, word_array, word_bounds
 from lathework.session import settle
 
 FIT_ROWS = 12_000  # labelled rows at most that the field is fitted on, chosen by the hash of the id
@@ -37,8 +37,10 @@ STEPS = 30
 DECAY = 0.1  # of the squared weights, against the sum of the log likelihoods
 CUT = 0.7
 HELD_OUT, AT = 3, 1
-LANE = 64
+LANE = 1024
+TEXT_BYTES = 1 << 22  # text whose words and tokens are looked at together
 TOKEN = re.compile(r"\w+")
+BETWEEN = np.array([b < 128 and not TOKEN.match(chr(b)) for b in range(256)])  # bytes that are in no token
 CACHE_WORDS = 300_000
 
 
@@ -48,13 +50,68 @@ def features(word: str) -> list[str]:
     return ["w" + w, *["p" + w[:k] for k in (3, 4, 5, 6, 7) if len(w) > k], *["s" + w[-k:] for k in (3, 4) if len(w) > k]]
 
 
+def coded(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of the texts in ``data``: how many each has, the number of each token's word, and the distinct words.
+
+    The same as ``TOKEN.findall``: bytes decide where all are ASCII, the pattern in other texts.
+    """
+    high = np.flatnonzero(data > 127)
+    if len(high):
+        other = set((np.searchsorted(offsets, high, side="right") - 1).tolist())
+        parts = [data[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        for i in other:  # tokens parted by blanks; all bytes above 127 belong to one
+            parts[i] = np.frombuffer(" ".join(TOKEN.findall(parts[i].tobytes().decode())).encode(), np.uint8)
+        offsets, data = np.concatenate([[0], np.cumsum([len(x) for x in parts])]), np.concatenate(parts)
+    starts, ends, first = word_bounds(offsets, data, BETWEEN)
+    if not len(starts):
+        return np.diff(first), np.zeros(0, np.int32), np.zeros(0, object)
+    found = word_array(data[~BETWEEN[data]], ends - starts).dictionary_encode()
+    return np.diff(first), found.indices.to_numpy(), found.dictionary.cast(pa.large_string()).to_numpy(zero_copy_only=False)
+
+
+def between_lanes(hit, a, enter, begin, size, owner, number) -> tuple[np.ndarray, np.ndarray]:
+    """Messages into the first and out of the last token of lanes, by products of the lanes' matrices.
+
+    The lanes of rows that have several, the longest first; a message is the toxic part over the plain one.
+    """
+    product = np.tile(np.eye(2), (len(begin), 1, 1))
+    for t in range(int(size[0])):
+        k = int(np.searchsorted(-size, -t, side="left"))  # lanes longer than t
+        m = np.empty((k, 2, 2))
+        m[:] = a
+        if t == 0:
+            m[number == 0] = enter  # a row's first token comes from a fixed state
+        m[:, :, 1] *= hit[begin[:k] + t][:, None]
+        q = product[:k]
+        p = q[:, :, :1] * m[:, :1, :] + q[:, :, 1:] * m[:, 1:, :]
+        product[:k] = p / p.max(axis=(1, 2))[:, None, None]
+    into, outof = np.zeros(len(begin)), np.ones(len(begin))
+    order = np.argsort(number, kind="stable")
+    edges = np.searchsorted(number[order], np.arange(int(number.max()) + 2))
+    lanes = [order[x:y] for x, y in zip(edges[:-1], edges[1:])]
+    message = np.tile(np.array([1.0, 0.0]), (int(owner.max()) + 1, 1))
+    for at in lanes:
+        m = message[owner[at]]
+        into[at] = m[:, 1] / m[:, 0]
+        m = np.einsum("ri,rij->rj", m, product[at])
+        message[owner[at]] = m / m.sum(axis=1)[:, None]
+    message[:] = 1.0
+    for at in reversed(lanes):
+        m = message[owner[at]]
+        outof[at] = m[:, 1] / m[:, 0]
+        m = np.einsum("rij,rj->ri", product[at], m)
+        message[owner[at]] = m / m.sum(axis=1)[:, None]
+    return into, outof
+
+
 def forward_backward(logits: np.ndarray, lengths: np.ndarray, steps: np.ndarray, start: float, with_pairs=True):
     """Marginals of the toxic state, sums over pairs if asked for, and log normalisers of all rows.
 
     ``logits``: how much a token speaks for the toxic state; ``steps[i, j]``: log weight of a
-    step from state i to j, ``start``: of a toxic first token. Rows are cut into lanes; the
-    product of a lane's matrices carries a message over it, so that numpy works on all lanes
-    at once and a long text needs few sequential steps.
+    step from state i to j, ``start``: of a toxic first token. A message between two tokens is
+    one number, its toxic part over its plain one. Tokens lie by their place in the row, so that
+    numpy takes a step of all rows at once; long rows are cut into lanes, whose products carry
+    messages over them, so that they need few sequential steps too.
     """
     n = len(logits)
     if not n:
@@ -62,90 +119,70 @@ def forward_backward(logits: np.ndarray, lengths: np.ndarray, steps: np.ndarray,
     lanes = -(-lengths // LANE)
     owner = np.repeat(np.arange(len(lengths)), lanes)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-    begin = (np.cumsum(lengths) - lengths)[owner] + number * LANE
     size = np.minimum(lengths[owner] - number * LANE, LANE)
-    # by length, so that the lanes that still run are always the first ones
-    by = np.argsort(-size, kind="stable")
-    begin, size = begin[by], size[by]
-    where = np.empty(len(by), dtype=np.int64)
-    where[by] = np.arange(len(by))
-    active = np.searchsorted(-size, -np.arange(LANE), side="left")  # lanes longer than t
+    begin = np.cumsum(size) - size
+    by = np.argsort(-size, kind="stable")  # so that the lanes that still run are always the first ones
+    rank = np.empty(len(by), dtype=np.int64)
+    rank[by] = np.arange(len(by))
+    active = np.searchsorted(-size[by], -np.arange(int(size.max()) + 1), side="left")  # lanes longer than t
+    place = np.concatenate([[0], np.cumsum(active)])
+    at = place[np.arange(n) - np.repeat(begin, size)] + np.repeat(rank, size)
     hit = np.exp(np.clip(logits, -30, 30))
     a = np.exp(steps)
-    weight_start = np.array([1.0, np.exp(start)])
-    first = np.zeros(n, dtype=bool)
-    first[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
-
-    def matrix(at):
-        """Step matrices into the tokens ``at``; a row's first token comes from a fixed state."""
-        m = np.empty((len(at), 2, 2))
-        m[:] = a
-        m[first[at]] = weight_start
-        m[:, :, 1] *= hit[at][:, None]
-        return m
-
-    # products of the lanes
-    product = np.tile(np.eye(2), (len(begin), 1, 1))
-    scale = np.zeros(len(begin))
-    for t in range(LANE):
-        k = active[t]
-        if not k:
-            break
-        m, q = matrix(begin[:k] + t), product[:k]
-        p = q[:, :, :1] * m[:, :1, :] + q[:, :, 1:] * m[:, 1:, :]
-        top = p.max(axis=(1, 2))
-        product[:k], scale[:k] = p / top[:, None, None], scale[:k] + np.log(top)
-    # messages into and out of the lanes, from lane to lane of all rows at once
-    into = np.ones((len(begin), 2)) * np.array([1.0, 0.0])
-    outof = np.ones((len(begin), 2))
+    (a00, a01), (a10, a11) = a.tolist()
+    enter = float(np.exp(start))
+    into, outof = np.zeros(len(by)), np.ones(len(by))
+    cut = np.flatnonzero((lanes > 1)[owner[by]])
+    if len(cut):
+        x = by[cut]
+        into[cut], outof[cut] = between_lanes(hit, a, np.array([1.0, enter]), begin[x], size[x], owner[x], number[x])
+    moved = np.empty(n)
+    moved[at] = hit
+    # forward; a plain part grows by the factors in grown
+    ahead, grown = np.empty(n), np.empty(n)
+    before, k = into, len(by)
+    for t in range(len(active) - 1):
+        k, p = int(active[t]), int(place[t])
+        f, g, m = ahead[p:p + k], grown[p:p + k], before[:k]
+        np.multiply(m, a10, out=g)
+        g += a00
+        np.multiply(m, a11, out=f)
+        f += a01
+        f /= g
+        if t == 0:
+            opens = number[by] == 0
+            f[opens], g[opens] = enter, 1.0
+        f *= moved[p:p + k]
+        before = f
+    # backward
+    back = np.empty(n)
+    for t in range(len(active) - 2, -1, -1):
+        k, p, more = int(active[t]), int(place[t]), int(active[t + 1])
+        b = back[p:p + k]
+        b[more:] = outof[more:k]
+        if more:
+            q = moved[p + k:p + k + more] * back[p + k:p + k + more]
+            d = q * a01
+            d += a00
+            q *= a11
+            q += a10
+            np.divide(q, d, out=b[:more])
+    ratio = (ahead * back)[at]
+    marginal = ratio / (1.0 + ratio)
+    first = np.cumsum(lengths) - lengths
+    full = lengths > 0
+    factor, after = np.log(grown)[at], ahead[at]
     norm = np.zeros(len(lengths))
-    starts = np.cumsum(lanes) - lanes
-    message = np.tile(np.array([1.0, 0.0]), (len(lengths), 1))
-    for j in range(int(lanes.max())):
-        rows = np.flatnonzero(lanes > j)
-        at = where[starts[rows] + j]
-        into[at] = message[rows]
-        m = np.einsum("ri,rij->rj", message[rows], product[at])
-        total = m.sum(axis=1)
-        norm[rows] += np.log(total) + scale[at]
-        message[rows] = m / total[:, None]
-    message = np.ones((len(lengths), 2))
-    for j in range(int(lanes.max()) - 1, -1, -1):
-        rows = np.flatnonzero(lanes > j)
-        at = where[starts[rows] + j]
-        outof[at] = message[rows]
-        m = np.einsum("rij,rj->ri", product[at], message[rows])
-        message[rows] = m / m.sum(axis=1)[:, None]
-    # within the lanes
-    alpha = np.empty((n, 2))
-    m = into.copy()
-    for t in range(LANE):
-        k = active[t]
-        if not k:
-            break
-        at = begin[:k] + t
-        w = matrix(at)
-        v = m[:k, :1] * w[:, 0, :] + m[:k, 1:] * w[:, 1, :]
-        m[:k] = v / v.sum(axis=1)[:, None]
-        alpha[at] = m[:k]
-    beta = np.empty((n, 2))
-    m = outof.copy()
-    for t in range(LANE - 1, -1, -1):
-        k = active[t]
-        if not k:
-            continue
-        at = begin[:k] + t
-        beta[at] = m[:k]
-        w = matrix(at)
-        v = w[:, :, 0] * m[:k, :1] + w[:, :, 1] * m[:k, 1:]
-        m[:k] = v / v.sum(axis=1)[:, None]
-    both = alpha * beta
-    marginal = both[:, 1] / both.sum(axis=1)
+    norm[full] = np.add.reduceat(factor, first[full]) + np.log1p(after[(first + lengths - 1)[full]])
     pairs = np.zeros((2, 2))
-    inner = np.flatnonzero(~first)
-    if with_pairs and len(inner):
-        p = alpha[inner - 1][:, :, None] * a * np.stack([np.ones(len(inner)), hit[inner]], axis=1)[:, None, :] * beta[inner][:, None, :]
-        pairs = (p / p.sum(axis=(1, 2))[:, None, None]).sum(axis=0)
+    if with_pairs:
+        inner = np.ones(n, dtype=bool)
+        inner[first[full]] = False
+        inner = np.flatnonzero(inner)
+        f, q = after[inner - 1], (moved * back)[at[inner]]
+        parts = [np.full(len(inner), a00), a01 * q, a10 * f, a11 * f * q]
+        total = sum(parts)
+        pairs = np.array([(x / total).sum() for x in parts]).reshape(2, 2)
     return marginal, pairs, norm
 
 
@@ -169,8 +206,10 @@ class Logits(dict):
     def __missing__(self, word: str) -> float:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        get = self.model.weights.get
-        out = self[word] = self.model.bias + sum(get(f, 0.0) for f in features(word))
+        get, out = self.model.weights.get, self.model.bias
+        for f in features(word):
+            out += get(f, 0.0)
+        self[word] = out
         return out
 
 
@@ -191,30 +230,32 @@ def count_features(rows: DataFrame) -> DataFrame:
     names = ("toxic", "total", "toxic_tokens", "tokens")
 
     def run(batches):
-        sums: dict = {}
-
-        def out():
-            columns = [pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(4)]
-            return pa.RecordBatch.from_arrays([pa.array(list(sums)), *columns], names=["feature", *names])
-
         for batch in batches:
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                found: Counter = Counter()
-                for w, n in Counter(TOKEN.findall(text)).items():
-                    for f in features(w):
-                        found[f] += n
-                for f, n in found.items():
-                    v = sums.setdefault(f, [0, 0, 0, 0])
-                    n = min(n, BURST)
-                    v[0] += label
-                    v[1] += 1
-                    v[2] += n * label
-                    v[3] += n
-                if len(sums) > 300_000:
-                    yield out()
-                    sums = {}
-        if sums:
-            yield out()
+            labels = batch.column("label").to_numpy()
+            for row, offsets, data in chunks(batch.column("text")):
+                lengths, codes, words = coded(offsets, data)
+                if not len(codes):
+                    continue
+                index: dict = {}
+                column = [[index.setdefault(f, len(index)) for f in features(w)] for w in words]
+                own = np.array([len(x) for x in column])
+                flat, begin = np.array([i for x in column for i in x]), np.cumsum(own) - own
+                # each text's words and how often it has them, then the same for features
+                cell, n = np.unique(np.repeat(np.arange(len(lengths)), lengths) * len(words) + codes, return_counts=True)
+                text, word = cell // len(words), cell % len(words)
+                each = own[word]
+                inside = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                key = np.repeat(text * len(index), each) + flat[np.repeat(begin[word], each) + inside]
+                order = np.argsort(key)
+                key = key[order]
+                new = np.flatnonzero(np.diff(key, prepend=-1))
+                tokens = np.minimum(np.add.reduceat(np.repeat(n, each)[order], new), BURST)
+                text, feature = key[new] // len(index), key[new] % len(index)
+                label = labels[row + text]
+                sums = [np.bincount(feature, x, minlength=len(index)) for x in (label, np.ones(len(new)), tokens * label, tokens)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(index)), *[pa.array(x.astype(np.int64)) for x in sums]], names=["feature", *names]
+                )
 
     counts = rows.select("text", "label").mapInArrow(run, "feature string, " + ", ".join(f"{n} long" for n in names))
     return counts.groupBy("feature").agg(*[F.sum(n).alias(n) for n in names])
@@ -244,22 +285,19 @@ def fit_field(rows: DataFrame, steps=STEPS, least_texts=LEAST_TEXTS, needed=EVID
         """Each batch as arrays: words of its texts with their features, tokens, labels."""
         known, marked = shared.value
         for batch in batches:
-            words, ids, lengths, gold = {}, [], [], []
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                found = TOKEN.findall(text)
-                lengths.append(len(found))
-                ids += [words.setdefault(w, len(words)) for w in found]
-                gold += [label] * len(found)
-            of = [features(w) for w in words]
-            column = [[known[f] for f in fs if f in known] for fs in of]
-            is_marked = np.array([any(f in marked for f in fs) for fs in of], dtype=bool)
-            ids = np.array(ids, np.int32)
-            gold = (np.array(gold, bool) & is_marked[ids]).astype(np.uint8) if len(ids) else np.zeros(0, np.uint8)
-            parts = [
-                np.array(lengths, np.int64), ids, gold, np.array([len(x) for x in column], np.int32),
-                np.array([i for x in column for i in x], np.int32),
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], names=["lengths", "ids", "gold", "own", "features"])
+            labels = batch.column("label").to_numpy()
+            for row, offsets, data in chunks(batch.column("text"), TEXT_BYTES):
+                lengths, ids, words = coded(offsets, data)
+                of = [features(w) for w in words]
+                column = [[known[f] for f in fs if f in known] for fs in of]
+                is_marked = np.array([any(f in marked for f in fs) for fs in of], dtype=bool)
+                label = np.repeat(labels[row:row + len(lengths)], lengths)
+                gold = ((label > 0) & is_marked[ids]).astype(np.uint8)
+                parts = [
+                    lengths.astype(np.int64), ids.astype(np.int32), gold, np.array([len(x) for x in column], np.int32),
+                    np.array([i for x in column for i in x], np.int32),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], names=["lengths", "ids", "gold", "own", "features"])
 
     data = settle(rows.select("text", "label").mapInArrow(tokens, "lengths binary, ids binary, gold binary, own binary, features binary"), "tokens")
     shared.destroy()  # the arrays are written
@@ -360,22 +398,17 @@ def tagged(rows: DataFrame, model: Field) -> DataFrame:
         logits = Logits(shared.value)
         m = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = part.column("text").to_pylist()
-                values, lengths = [], []
-                for text in texts:
-                    v = np.fromiter(map(logits.__getitem__, TOKEN.findall(text)), float)
-                    values.append(v)
-                    lengths.append(len(v))
-                lengths = np.array(lengths, np.int64)
-                marginal, _, _ = forward_backward(np.concatenate(values), lengths, m.steps, m.start, with_pairs=False)
+            for at, offsets, data in chunks(batch.column("text"), TEXT_BYTES):
+                lengths, ids, words = coded(offsets, data)
+                part = batch.slice(at, len(lengths))
+                of_word = np.fromiter(map(logits.__getitem__, words), float, len(words))
+                marginal, _, _ = forward_backward(of_word[ids], lengths, m.steps, m.start, with_pairs=False)
                 total, most, spans = [], [], []
-                for text, b, n in zip(texts, (np.cumsum(lengths) - lengths).tolist(), lengths.tolist()):
+                for i, (b, n) in enumerate(zip((np.cumsum(lengths) - lengths).tolist(), lengths.tolist())):
                     own = marginal[b:b + n]
                     total.append(float(own.sum()))
                     most.append(float(own.max()) if n else 0.0)
-                    spans.append(_spans(text, own) if n and most[-1] > 0.5 else [])
+                    spans.append(_spans(part.column("text")[i].as_py(), own) if n and most[-1] > 0.5 else [])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(k) for k in kept]
                     + [pa.array(total, pa.float64()), pa.array(most, pa.float64()), pa.array(lengths), pa.array(spans, kind)],

@@ -1,12 +1,14 @@
 """Rules and the random field on held-out labels, forward-backward against enumeration."""
 
 import itertools
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lathework.llm import rules, toxicity
+from lathework.llm import rules, textbytes, toxicity
 
 
 def accuracy(found, labels, label):
@@ -93,3 +95,40 @@ def test_climb_finds_the_maximum():
         return np.concatenate([-2 * (x - 3), [-((x - 3) ** 2).sum() - 10]])
 
     assert toxicity.climb(gradient, 4, 30, decay=0.0) == pytest.approx(np.full(4, 3.0), abs=1e-3)
+
+
+def test_coded_tokens_are_those_of_the_pattern():
+    texts = ["", "a_b-c 1.5x", "  ", "ümlaut ßtraße_1 x٣", "日本 語a\u00a0b", "Same same same", "\x00a\x7fb", None, "é"]
+    at = 0
+    for row, offsets, data in textbytes.chunks(pa.array(texts), 12):
+        lengths, ids, words = toxicity.coded(offsets, data)
+        assert row == at and len(set(words)) == len(words)
+        for text, own in zip(texts[row:row + len(lengths)], np.split(words[ids], np.cumsum(lengths))):
+            assert own.tolist() == toxicity.TOKEN.findall(text or "")
+        at += len(lengths)
+    assert at == len(texts)
+
+
+def test_lanes_do_not_change_marginals(monkeypatch):
+    rng = np.random.default_rng(2)
+    lengths = np.array([2500, 0, 1, 1024, 1025, 40])
+    logits, steps = rng.normal(scale=9.0, size=lengths.sum()), rng.normal(size=(2, 2))
+    found = []
+    for lane in (7, toxicity.LANE, 5000):
+        monkeypatch.setattr(toxicity, "LANE", lane)
+        found.append(toxicity.forward_backward(logits, lengths, steps, -0.3))
+    for got in found[:-1]:
+        assert all(a == pytest.approx(b, rel=1e-9, abs=1e-12) for a, b in zip(got, found[-1]))
+
+
+def test_feature_counts(spark):
+    rows = [("Abcd abcd x", 1), ("abcd", 0), ("x " * 9, 1), (None, 0), ("", 1)]
+    df = spark.createDataFrame(rows, "text string, label int").repartition(2)
+    found = {r["feature"]: tuple(r)[1:] for r in toxicity.count_features(df).collect()}
+    want = {}
+    for text, label in rows:
+        tally = Counter(f for w in toxicity.TOKEN.findall(text or "") for f in toxicity.features(w))
+        for f, n in tally.items():
+            n = min(n, toxicity.BURST)
+            want[f] = tuple(a + b for a, b in zip(want.get(f, (0,) * 4), (label, 1, n * label, n)))
+    assert found == want
