@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow as pa
 import pytest
 
 from lathework.llm import components, exact_dedup, merkle, near_join, suffix_dedup, textbytes
@@ -167,6 +168,69 @@ def test_repeats_against_brute_force(spark, nasty, sort_runs):
     assert found == brute_repeats(rows)
 
 
+def test_runs_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 100, n).astype(np.uint8) for n in (0, 199, 200, 1500, 3, 200, 900)]
+    texts.append(np.tile(texts[3][:7], 200))  # equal anchors: the first place counts
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    found = list(zip(*suffix_dedup.runs_of(offsets, np.concatenate(texts))))
+    want = []
+    for i, t in enumerate(texts):
+        own = suffix_dedup.runs_of(np.array([0, len(t)]), t)
+        want += [(i, *x[1:]) for x in zip(*own)] if own is not None else []
+    assert found == want and suffix_dedup.runs_of(offsets[:3], texts[1]) is None
+    for i, t in enumerate(texts):  # each window once, and never more than fit around an anchor
+        covered = [w for text, first, n, *_ in found if text == i for w in range(first, first + n)]
+        assert covered == list(range(max(0, len(t) - 199)))
+    assert max(x[2] for x in found) <= 137
+
+
+@pytest.mark.parametrize("rows", [1, 3, 10_000])
+def test_stretches_join_across_batches(spark, rows):
+    rng = random.Random(5)
+    have = [(rng.choice([-4, 0, 1, 2, 9]), a, a + rng.randrange(1, 40)) for a in (rng.randrange(900) for _ in range(120))]
+    want = {}
+    for row, a, b in sorted(have):
+        mine = want.setdefault(row, [])
+        if mine and a <= mine[-1][1]:
+            mine[-1][1] = max(b, mine[-1][1])
+        else:
+            mine.append([a, b])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        got = suffix_dedup.joined(spark.createDataFrame(have, "_row long, begin long, end long")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {r["_row"]: [list(x) for x in r["hits"]] for r in got} == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("window, size, runs", [(200, 1, 1), (200, 7, 4), (21, 7, 4), (200, 20, 4096), (200, 1, 4096), (200, 1000, 4096)])
+def test_anchors_sorted_in_parts_are_those_of_one(monkeypatch, window, size, runs):
+    monkeypatch.setattr(suffix_dedup, "SORT_RUNS", runs)
+    rng = random.Random(6)
+    kinds = [bytes(rng.choice(b"ab") for _ in range(window + 30)) for _ in range(4)]
+    rows = []
+    for r in range(60):  # copies of a few kinds that differ in a byte, with their anchors at one place or another
+        raw = bytearray(rng.choice(kinds))
+        raw[rng.randrange(len(raw))] = 120
+        a, n, place = rng.randrange(10), rng.randrange(1, 20), rng.randrange(20, 23)
+        rows.append((r // 12 * 1000, r, n, place, 1 + (r % 17 == 0), bytes(raw[a:a + n + window - 1])))
+    names = ["h", "r", "windows", "place", "many", "stretch"]
+    whole = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=names)
+    seen = Counter()
+    for h, _, n, place, many, raw in rows:
+        seen.update({(h, place - s, raw[s:s + window]): many for s in range(n)})
+    want = {}
+    for h, r, n, place, _, raw in rows:
+        hit = [s for s in range(n) if seen[h, place - s, raw[s:s + window]] > 1]
+        if hit:
+            want[h, r] = (hit[0], hit[-1])
+    parts = [whole.slice(i, size) for i in range(0, len(rows), size)]
+    got = [x for b in suffix_dedup._sort_anchors(iter(parts), window) for x in zip(*b.to_pydict().values())]
+    assert len(got) == len(want) > 3 and {(h, r): (low, high) for h, r, low, high in got} == want
+
+
 def test_blind_trie_orders_and_groups():
     rng = np.random.default_rng(0)
     table = rng.integers(0, 3, (200, 6)).astype(np.uint64)
