@@ -127,6 +127,20 @@ def test_words_with_one_hash_stay_apart(monkeypatch):
     assert [words[i] for i in codes] == [b"aa", b"b", b"ab", b"aa"]
 
 
+def test_term_matrix_over_small_batches(spark, nasty, monkeypatch):
+    rows = nasty.select("doc_id", "text")
+    want = cells_of(*term_matrix.term_matrix(rows, shard_bytes=500))
+    monkeypatch.setattr(term_matrix, "HELD_WORDS", 2)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        got = cells_of(*term_matrix.term_matrix(rows, shard_bytes=500))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    order = lambda found: {k: sorted(map(str, map(sorted, (c.items() for c in v)))) for k, v in found.items()}
+    assert order(got) == order(want)
+
+
 def test_words_travel_by_bucket(nasty):
     found = term_matrix.local_shards(nasty.select("doc_id", "text"), 3, shard_bytes=500).collect()
     of_word = {}
