@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +55,10 @@ def free_shuffles(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of tables that nothing refers to any more.
 
     Its cleaner follows the garbage collector of the driver's JVM, which may not run for half an
-    hour on a driver with little garbage; until then the files fill the executors' disks.
+    hour on a driver with little garbage; until then the files fill the executors' disks. One
+    collection right after a job leaves the files of that job; a second one a moment later takes them.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for pause in (0.2, 0):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)

@@ -223,15 +223,19 @@ def classes(texts: DataFrame, words=WORDS, percent=PERCENT) -> DataFrame:
     null for an empty set.
     """
     spark = texts.sparkSession
-    table = settle(
-        set_table(texts, commonness(texts, words), words, percent).withColumn("_at", F.monotonically_increasing_id()), "sets"
-    )
+    common = commonness(texts, words)
+    free_shuffles(spark)
+    with recorded() as prefixes:
+        table = settle(set_table(texts, common, words, percent).withColumn("_at", F.monotonically_increasing_id()), "sets")
     key = ["n", "f1", "f2"]
     whole = table.withColumn("last", F.element_at("prefix", -1)).filter("n > 0")
     sets = settle(whole.groupBy(*key).agg(F.min(F.struct("_at", "doc_id", "tail", "last")).alias("first")).select(
         F.col("first._at").alias("id"), F.col("first.doc_id").alias("doc_id"), *key, "first.tail", "first.last"
     ), "distinct")
     lists = _lists(table, sets)
+    # nothing reads the prefixes from here on, and they are the largest table but the texts
+    rows = settle(table.select(*[x for x in table.columns if x not in ("tail", "prefix", "_at")]), "members")
+    drop_tables(spark, prefixes)
     free_shuffles(spark)
     wanted = sets.join(lists.filter("rank = 1").select("id"), "id").select("id", "doc_id", *key)
     held = settle(texts_of(texts, wanted, words), "texts")
@@ -262,7 +266,6 @@ def classes(texts: DataFrame, words=WORDS, percent=PERCENT) -> DataFrame:
     by_set = sets.select("id", *key).join(named.withColumnRenamed("node", "id"), "id", "left").select(
         *key, "id", F.coalesce("component", "id").alias("class")
     )
-    rows = table.select(*[x for x in table.columns if x not in ("tail", "prefix", "_at")])
     return rows.filter("n > 0").join(by_set.hint("merge"), key).unionByName(
         rows.filter("n = 0").withColumns({"id": F.lit(None).cast("long"), "class": F.lit(None).cast("long")})
     )

@@ -91,7 +91,7 @@ def recorded():
     try:
         yield folders
     finally:
-        _recorders.remove(folders)
+        _recorders[:] = [x for x in _recorders if x is not folders]  # lists that are equal are not the same
 
 
 def drop_tables(spark: SparkSession, folders) -> None:

@@ -1,8 +1,10 @@
 """Exact dedup, near join, repeated passages and Merkle fingerprints against brute force."""
 
 import hashlib
+import os
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,6 +13,8 @@ import pyarrow as pa
 import pytest
 
 from lathework.llm import components, exact_dedup, merkle, near_join, suffix_dedup, textbytes
+from lathework.llm.common import free_shuffles
+from lathework.session import recorded, settle
 from pyspark.sql import functions as F
 
 SPACE = re.compile(r"[\x20\x09-\x0D]")
@@ -114,6 +118,51 @@ def test_keep_one(nasty):
     assert out.count() == want
 
 
+def test_prefixes_go_before_texts_are_fetched(spark, monkeypatch):
+    """The prefixes, the largest table but the texts, are on the disk no longer than they are read."""
+    there = []
+
+    def fetched(*args, real=near_join.texts_of):
+        there.append([x for x in written if os.path.exists(x.removeprefix("file:"))])
+        return real(*args)
+
+    monkeypatch.setattr(near_join, "texts_of", fetched)
+    rows = near_cluster()
+    with recorded() as written:
+        got = near_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(tuple(r) for r in got) == brute_components(rows)
+    assert len(there) == 1 and {os.path.basename(x) for x in there[0]} == {"distinct", "groups", "lists", "members"}
+
+
+def test_recorders_that_are_equal(spark):
+    with recorded() as outer:
+        with recorded() as inner:
+            settle(spark.range(2))
+        settle(spark.range(3))
+    assert len(inner) == 1 and len(outer) == 2 and outer[0] == inner[0]
+
+
+def test_free_shuffles(spark):
+    """Files of a job that nothing refers to go at once, also those of the last job."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {x for x in re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().mkString(" "))}
+
+    for _ in range(3):
+        before = files()
+        counts = spark.range(20_000).withColumn("k", F.col("id") % 100).groupBy("k").count()
+        settle(spark.range(20_000).withColumn("k", F.col("id") % 100).join(counts.hint("merge"), "k").groupBy("k").agg(F.sum("count")))
+        own = files() - before
+        assert own
+        free_shuffles(spark)
+        for _ in range(20):
+            if not own & files():
+                break
+            time.sleep(0.1)
+        assert not own & files()
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 440)] + [(500, i) for i in range(501, 600)]
