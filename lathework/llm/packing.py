@@ -13,6 +13,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from lathework.llm.tokens import chunk_ids
 
 CAPACITY = 2048
 END_ID = 1
+STRETCH = 4 << 20  # bytes of text whose words are looked up together
 PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -62,7 +64,8 @@ class LevelPacker:
             full.append([(doc, a, ids[a:a + self.capacity], total)])
         if whole == total:
             return full
-        piece, size = (doc, whole, ids[whole:], total), total - whole
+        # a copy, as an open window must not hold the array of all texts of its stretch
+        piece, size = (doc, whole, ids[whole:].copy(), total), total - whole
         level = self.level_for(size)
         window = self.open[level].pop() if level else []
         window.append(piece)
@@ -119,6 +122,14 @@ def pieces_batch(windows, first: int, id_type) -> pa.RecordBatch:
     )
 
 
+def stretches(batch: pa.RecordBatch):
+    """The rows of a batch, as many at a time as have about ``STRETCH`` bytes of text."""
+    share = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(), dtype=np.int64) // STRETCH
+    cuts = [0, *np.flatnonzero(np.diff(share)) + 1, batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
 def pack(docs: DataFrame, tokenizer_path: str, doc_id="doc_id", text="text", capacity=CAPACITY, end_id=END_ID) -> DataFrame:
     """One row for each piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``.
 
@@ -135,18 +146,16 @@ def pack(docs: DataFrame, tokenizer_path: str, doc_id="doc_id", text="text", cap
         raise ValueError("capacity must be a power of two")
     rows = narrow(docs, doc_id=c(doc_id), text=text_of(text))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         ids, packer = chunk_ids(tokenizer_path), LevelPacker(capacity)
         first, kind = TaskContext.get().partitionId() << 33, None
         for batch in batches:
             kind = batch.column("doc_id").type
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in stretches(batch):
                 full = []
-                for doc, t in zip(part.column("doc_id").to_pylist(), part.column("text")):
-                    full += packer.place(doc, np.frombuffer(ids.of(t.as_py()) + end, "<u4"))
+                for doc, got in zip(part.column("doc_id").to_pylist(), ids.many(part.column("text").to_pylist(), [end_id])):
+                    full += packer.place(doc, got)
                 if full:
                     yield pieces_batch(full, first, kind)
                     first += len(full)
