@@ -35,6 +35,7 @@ EVERY = 1 << 30
 BLOB_ROWS, BLOB_BYTES = 4096, 4 << 20  # of a block at most, however large ``blockRows`` is
 PART_BYTES = 64 << 20  # of the training rows that a task holds at once
 REACH_CELLS = 1 << 20  # numbers in a matrix of query rows and cells
+QUERY_BLOCK = 512  # query rows that are compared at once
 PIECE = 2048  # training rows that are compared at once
 FIRST = 256  # rows whose distances are worked out where no bound is known
 GATHER = 1 << 20  # numbers of the rows whose exact distances are worked out at once
@@ -303,15 +304,37 @@ def city_hits(x: np.ndarray, y: np.ndarray, limit: np.ndarray):
             yield np.full(len(other), i), other
 
 
+def euclid_hits(x: np.ndarray, y: np.ndarray, limit: np.ndarray):
+    """``(row, other)`` for all pairs with a euclidean distance within the row's limit, and a few more.
+
+    Squares of distances from the mean of ``y`` come from one product of matrices in 32 bits, whose
+    rounding is bounded by the sizes of both sides.
+    """
+    middle = y.mean(axis=0, dtype=float)
+    a, b = x - middle, y - middle
+    a_size, b_size = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+    largest = b_size.max()
+    if not max(largest, a_size.max()) < 1e30:
+        for i in range(0, len(x), QUERY_BLOCK):
+            row, other = np.divmod(np.arange(len(x[i:i + QUERY_BLOCK]) * len(y)), len(y))
+            yield row + i, other
+        return
+    right = np.empty((x.shape[1] + 1, len(y)), np.float32)
+    right[:-1], right[-1] = -2 * b.T, b_size
+    left = np.ones((len(x), x.shape[1] + 1), np.float32)
+    left[:, :-1] = a
+    off = 4 * (x.shape[1] + 8) * 2.0 ** -24 * (2 * np.sqrt(a_size * largest) + largest) + 1e-30
+    far = max(np.abs(x).max(), np.abs(y).max()) * 2.0 ** -50 * math.sqrt(x.shape[1])  # of the differences from the mean
+    off += 8 * far * (np.sqrt(a_size) + math.sqrt(largest) + far)
+    with np.errstate(over="ignore"):
+        most = np.nextafter((np.minimum(limit, 1e16) ** 2 * (1 + 1e-9) - a_size + off).astype(np.float32), np.float32(np.inf))
+    for i in range(0, len(x), QUERY_BLOCK):
+        row, other = np.divmod(np.flatnonzero(left[i:i + QUERY_BLOCK] @ right <= most[i:i + QUERY_BLOCK, None]), len(y))
+        yield row + i, other
+
+
 def hits(x: np.ndarray, y: np.ndarray, limit: np.ndarray, p: int):
     """``(row, other, distance)`` for all pairs within the row's limit."""
-    if p == 2:
-        step = max(1, int(1e6 // len(y)))
-        for i in range(0, len(x), step):
-            d = distances(x[i:i + step], y, p)
-            row, other = np.nonzero(d <= limit[i:i + step, None])
-            yield row + i, other, d[row, other]
-        return
     most, held, size = max(1, GATHER // x.shape[1]), [], 0
 
     def exact():
@@ -322,7 +345,7 @@ def hits(x: np.ndarray, y: np.ndarray, limit: np.ndarray, p: int):
             near = d <= limit[r]
             yield r[near], o[near], d[near]
 
-    for row, other in city_hits(x, y, limit):
+    for row, other in (city_hits if p == 1 else euclid_hits)(x, y, limit):
         held.append((row, other))
         size += len(row)
         if size >= most:

@@ -59,7 +59,7 @@ def shuffled(spark):
     return {f: os.path.getsize(f) for f in files}
 
 
-@pytest.mark.parametrize("p, weights", [(1, "distance")])
+@pytest.mark.parametrize("p, weights", [(1, "distance"), (2, "uniform")])
 def test_rows_are_not_copied_to_every_cell(spark, p, weights):
     rng = np.random.default_rng(8)
     frame = pd.DataFrame(rng.normal(size=(2500, 24)), columns=[f"x{i}" for i in range(24)])
@@ -115,3 +115,20 @@ def test_repeated_and_missing_keys(spark):
     got = {(r["id"], r["neighbor"], r["distance"], r["y"]) for r in model.neighbors(data).collect()}
     assert {v for v in got if v[0] in (2, 3, None)} == {(2, 2, 0.0, 3.0), (None, 2, 0.0, 3.0), (3, 3, 0.0, None)}
     assert [v[2] for v in got if v[0] == 1] == [0.0] and len(model.transform(data).collect()) == 5
+
+
+@pytest.mark.parametrize("p", [1, 2])
+@pytest.mark.parametrize("shift, scale", [(0.0, 1.0), (1e6, 1.0), (1e8, 1e-4), (0.0, 1e-160), (0.0, 1e40)])
+def test_few_distances_are_worked_out(monkeypatch, p, shift, scale):
+    rng = np.random.default_rng(4)
+    x, y = (shift + scale * rng.normal(size=(n, 40)) for n in (300, 900))
+    d = distances(x, y, p)
+    limit = np.partition(d, 6, axis=1)[:, 6]
+    asked = []
+    monkeypatch.setattr(neighbors, "pair_distances", lambda a, b, p, f=neighbors.pair_distances: asked.append(len(a)) or f(a, b, p))
+    found = list(neighbors.hits(x, y, limit, p))
+    row, other = (np.concatenate([v[i] for v in found]) for i in (0, 1))
+    want = np.nonzero(d <= limit[:, None])
+    assert sorted(zip(row, other)) == sorted(zip(*want))
+    if scale == 1.0:
+        assert sum(asked) < 0.03 * d.size
