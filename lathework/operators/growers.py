@@ -13,10 +13,14 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lathework.operators.gram import matrix_of
+from lathework.operators.stages import list_matrix
 
 CELLS = 1 << 20  # numbers that one scan brings back at most, for one tree at least
+SAMPLE_ROWS = 10_000  # of each tree's rows, or the square of the bins, from which thresholds are taken
+SAMPLE_FEATURES = 128  # features of the sample that the driver holds at once
 
 
 def blocks_of(rows: DataFrame, reduce_batch, best=np.add) -> dict[int, np.ndarray]:
@@ -259,3 +263,138 @@ class RandomSplits:
             at = tree.split(node, feature[slot, best], threshold[slot, best], (label[best] / sizes[0], (total - label[best]) / sizes[1]))
             opened += [at + side for side in (0, 1) if sizes[side] >= max(self.min_split, 2 * self.min_leaf, 2)]
         return opened
+
+
+def thresholds(values: np.ndarray, weights: np.ndarray, bins: int) -> np.ndarray:
+    """Middles between distinct values, or between as many groups of near equal weight as there are bins."""
+    distinct, back = np.unique(values, return_inverse=True)
+    size = np.bincount(back, weights)
+    middles = (distinct[:-1] + distinct[1:]) / 2
+    if len(middles) < bins:
+        return middles
+    stride, total = size.sum() / bins, np.cumsum(size)
+    target, picked = stride, []
+    for i in range(1, len(distinct)):
+        if abs(total[i - 1] - target) < abs(total[i] - target):
+            picked.append(i - 1)
+            target += stride
+    return middles[picked]
+
+
+@dataclass
+class BestSplits:
+    """Regression trees whose nodes take the best of all binned thresholds, grown together over weighted rows.
+
+    Rows are ``x`` (array), ``y`` and ``w`` (array: the row's weight in each tree). Each tree has its own thresholds,
+    at most ``bins - 1`` of a feature, from a sample of its rows. A level takes one scan: tasks add up rows, weights
+    and labels by node, feature and bin, so what is held and brought back does not grow with the rows.
+    """
+
+    trees: int
+    tries: int
+    bins: int = 32
+    min_leaf: int = 1
+    max_depth: int = 5
+    seed: int = 7
+
+    def grow(self, rows: DataFrame, features: int, count: int) -> list[Tree]:
+        cuts, centre = self._cuts(rows, features, count)
+        grown = [Tree() for _ in range(self.trees)]
+        opened: list[tuple[int, int]] = [(t, 0) for t in range(self.trees)]
+        for depth in range(max(self.max_depth, 1)):
+            following = []
+            for part in self._parts(opened, features):
+                sums = self._sums(rows, grown, part, cuts, centre, features)
+                for t, nodes in part.items():
+                    following += [(t, n) for n in self._split(grown[t], t, nodes, cuts[t], sums.get(t), features)]
+            opened = following
+            if not opened:
+                break
+        for tree in grown:
+            tree.value = [v + centre for v in tree.value]
+        return grown
+
+    def _cuts(self, rows: DataFrame, features: int, count: int) -> tuple[list[list[np.ndarray]], float]:
+        """Thresholds by tree and feature, and a number near the labels' mean."""
+        wanted = max(self.bins ** 2, SAMPLE_ROWS)
+        # Two thirds of the rows weigh something in a tree.
+        part = rows if count <= 1.5 * wanted else rows.sample(min(1.0, 2.0 * wanted / count), self.seed)
+        cuts: list[list[np.ndarray]] = [[] for _ in range(self.trees)]
+        centre = 0.0
+        for begin in range(0, features, SAMPLE_FEATURES):
+            found = part.select(F.slice("x", begin + 1, SAMPLE_FEATURES).alias("x"), "y", "w").toArrow()
+            if not found.num_rows:
+                raise ValueError("no rows to fit on")
+            x, w = (np.array(found.column(n).to_pylist(), dtype=float) for n in ("x", "w"))
+            centre = float(np.mean(found.column("y").to_numpy()))
+            for t in range(self.trees):
+                held = w[:, t] > 0
+                cuts[t] += [thresholds(x[held, f], w[held, t], self.bins) for f in range(x.shape[1])]
+        return cuts, centre
+
+    def _parts(self, opened: list[tuple[int, int]], features: int):
+        """Open nodes by tree, as many as go into one scan."""
+        most = max(1, CELLS // (3 * features * self.bins))
+        for i in range(0, len(opened), most):
+            part: dict[int, list[int]] = {}
+            for t, node in opened[i:i + most]:
+                part.setdefault(t, []).append(node)
+            yield part
+
+    def _sums(self, rows: DataFrame, grown: list[Tree], part: dict, cuts, centre: float, features: int) -> dict[int, np.ndarray]:
+        """For each tree ``(rows, weight, label sum) x slot x feature x bin``."""
+        routes, slots = {t: Routes(grown[t].state()) for t in part}, {}
+        for t, nodes in part.items():
+            slots[t] = np.full(len(grown[t].feature), -1)
+            slots[t][nodes] = np.arange(len(nodes))
+        bins, trees = self.bins, self.trees
+        own = {t: cuts[t] for t in part}
+
+        def reduce_batch(batch):
+            x, y = list_matrix(batch.column("x")), batch.column("y").to_numpy() - centre
+            if not np.isfinite(x).all():
+                raise ValueError("a feature is no finite number")
+            w = batch.column("w").flatten().to_numpy().reshape(-1, trees)
+            out = {}
+            for t, route in routes.items():
+                slot, n = slots[t][route.leaves(x)], int(slots[t].max()) + 1
+                inside = np.flatnonzero((slot >= 0) & (w[:, t] > 0))
+                slot, weight, label = slot[inside], w[inside, t], w[inside, t] * y[inside]
+                cells = np.empty((3, n, features, bins))
+                for f in range(features):
+                    at = slot * bins + np.searchsorted(own[t][f], x[inside, f], side="left")
+                    for i, values in enumerate((None, weight, label)):
+                        cells[i, :, f] = np.bincount(at, values, n * bins).reshape(n, bins)
+                out[t] = cells.ravel()
+            return out
+
+        found = blocks_of(rows, reduce_batch)
+        return {t: v.reshape(3, -1, features, bins) for t, v in found.items()}
+
+    def _split(self, tree: Tree, t: int, nodes: list[int], cuts: list[np.ndarray], sums, features: int) -> list[int]:
+        """Split the open nodes where that leaves less squares; gives the children that may be split in turn."""
+        if sums is None or not sums[0].any():
+            raise ValueError("no rows to fit on")
+        opened = []
+        for slot, node in enumerate(nodes):
+            rows, weight, label = sums[:, slot]
+            n, total, squares = rows[0].sum(), weight[0].sum(), label[0].sum()
+            if node == 0:
+                tree.value[0] = squares / total
+            picked = np.arange(features)
+            if self.tries < features:
+                picked = np.sort(node_draws(self.seed, t, tree.name[node], features)[0][:self.tries])
+            left, w, s = (np.cumsum(v[picked], axis=1)[:, :-1] for v in (rows, weight, label))
+            allowed = (np.minimum(left, n - left) >= max(self.min_leaf, 1)) & (
+                np.arange(self.bins - 1) < np.array([len(cuts[f]) for f in picked])[:, None]
+            )
+            if tree.name[node].bit_length() > self.max_depth or not allowed.any():
+                continue
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = np.where(allowed, s ** 2 / w + (squares - s) ** 2 / (total - w) - squares ** 2 / total, -np.inf)
+            f, b = np.unravel_index(int(gain.argmax()), gain.shape)
+            if not gain[f, b] > 0:
+                continue
+            at = tree.split(node, picked[f], cuts[picked[f]][b], (s[f, b] / w[f, b], (squares - s[f, b]) / (total - w[f, b])))
+            opened += [at, at + 1]
+        return opened if opened and tree.name[opened[0]].bit_length() <= self.max_depth else []

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lathework.functions.columns import add_up, key_bucket, vector_size
 from lathework.functions.metrics import r2
-from lathework.operators.growers import RandomSplits, Routes
+from lathework.operators.growers import BestSplits, RandomSplits, Routes
 from lathework.operators.quantiles import exact_quantiles, order_statistics
 from lathework.operators.stages import (
     DropColumns, FittedRegressor, Regressor, list_matrix, number, shared_params, switch, text, whole,
@@ -336,16 +336,44 @@ class AdaBoostR2(Regressor):
         return PipelineModel([*trees, combine, DropColumns(columns=columns)])
 
 
+def bag_steps() -> np.ndarray:
+    """Shares of the uniform numbers with a weight of at most 0, 1 and so on."""
+    return np.cumsum([math.exp(-1) / math.factorial(k) for k in range(8)])
+
+
+def bag_uniform(key: Column, tree: int, seed=7) -> Column:
+    size = 1 << 30
+    return key_bucket(key, size, f"{seed}-bag-{tree}") / F.lit(float(size))
+
+
 def poisson_weight(key: Column, tree: int, seed=7) -> Column:
     """Bootstrap weight of a row in a tree: Poisson(1) by the hash of key and tree."""
-    size = 1 << 30
-    u = key_bucket(key, size, f"{seed}-bag-{tree}") / F.lit(float(size))
-    steps = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(8)])
-    return add_up([F.when(u >= F.lit(float(s)), 1.0).otherwise(0.0) for s in steps])
+    u = bag_uniform(key, tree, seed)
+    return add_up([F.when(u >= F.lit(float(s)), 1.0).otherwise(0.0) for s in bag_steps()])
+
+
+class GrownTree(FittedRegressor):
+    """The value that a row reaches in one grown tree."""
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        tree = self.get("state")["tree"]
+
+        @F.arrow_udf("double")
+        def value(x: pa.Array) -> pa.Array:
+            if not len(x):
+                return pa.array([], pa.float64())
+            route = Routes(tree)
+            return pa.array(route.value[route.leaves(list_matrix(x))])
+
+        return dataset.withColumn(self.getPredictionCol(), value(vector_to_array(F.col(self.getFeaturesCol()))))
 
 
 class BaggedTrees(Regressor):
-    """Bagged trees that know which rows each tree has not seen."""
+    """Bagged trees that know which rows each tree has not seen. Every feature is a number.
+
+    All trees grow together, a scan for each level. The hashes that weigh the rows are worked out once,
+    and written with the rows where there is more than one level.
+    """
 
     n_estimators = whole("n_estimators")
     max_features = number("max_features")
@@ -354,41 +382,57 @@ class BaggedTrees(Regressor):
     maxBins = whole("maxBins")
     keyCol = text("keyCol")
     seed = whole("seed")
-    parallelism = whole("parallelism")
+    parallelism = whole("parallelism", "of no effect: all trees share their scans")
     defaults = {"n_estimators": 10, "max_features": 1.0, "max_depth": 5, "min_rows": 1, "maxBins": 32, "seed": 7,
                 "parallelism": 2}
 
     def _fit(self, dataset):
-        key, seed = F.col(self.get("keyCol")), self.get("seed")
-
-        def fit_tree(t):
-            weighted = dataset.withColumn("_w", poisson_weight(key, t, seed)).filter("_w > 0")
-            out = f"_{self.uid}_p{t}"
-            forest = RandomForestRegressor(
-                numTrees=1, bootstrap=False, featureSubsetStrategy=subset(self.get("max_features")),
-                maxDepth=self.get("max_depth"), minInstancesPerNode=self.get("min_rows"),
-                maxBins=self.get("maxBins"), seed=seed + t, weightCol="_w", featuresCol=self.getFeaturesCol(),
-                labelCol=self.getLabelCol(), predictionCol=out,
-            )
-            return forest.fit(weighted)
-
-        trees = in_parallel(dataset.sparkSession, fit_tree, range(self.get("n_estimators")), self.get("parallelism"))
+        count, seed = self.get("n_estimators"), self.get("seed")
+        label = F.col(self.getLabelCol()).cast("double")
+        missing = F.raise_error(F.lit("a row has no label")).cast("double")
+        rows = dataset.select(
+            vector_to_array(F.col(self.getFeaturesCol())).alias("x"),
+            F.when(label.isNull() | F.isnan(label), missing).otherwise(label).alias("y"),
+            F.array(*[poisson_weight(F.col(self.get("keyCol")), t, seed) for t in range(count)]).alias("w"),
+        )
+        if self.get("max_depth") > 1:
+            rows = settle(rows, "bag")
+        features = vector_size(dataset, self.getFeaturesCol())
+        tries = features if subset(self.get("max_features")) == "all" else math.ceil(self.get("max_features") * features)
+        grower = BestSplits(
+            trees=count, tries=max(1, tries), bins=self.get("maxBins"), min_leaf=self.get("min_rows"),
+            max_depth=self.get("max_depth"), seed=seed,
+        )
+        shared = shared_params(self, "featuresCol", "labelCol")
+        trees = [
+            GrownTree(state={"tree": tree.state()}, predictionCol=f"_{self.uid}_p{t}", **shared)
+            for t, tree in enumerate(grower.grow(rows, features, dataset.count()))
+        ]
         columns = [t.getPredictionCol() for t in trees]
         state = {"columns": columns, "weights": [1.0] * len(columns), "how": "mean"}
-        combine = CombineColumns(state=state, **shared_params(self, "featuresCol", "labelCol", "predictionCol"))
+        combine = CombineColumns(state=state, predictionCol=self.getPredictionCol(), **shared)
         return PipelineModel([*trees, combine, DropColumns(columns=columns)])
 
     def oob_predictions(self, model: PipelineModel, dataset: DataFrame, out="oob_prediction") -> DataFrame:
         """Mean prediction of the trees that did not draw the row; NULL if all did."""
-        trees = model.stages[:-2]
-        df = dataset
-        for t in trees:
-            df = t.transform(df)
-        key, seed = F.col(self.get("keyCol")), self.get("seed")
-        unseen = [F.when(poisson_weight(key, i, seed) == 0, F.col(t.getPredictionCol())) for i, t in enumerate(trees)]
-        left = F.filter(F.array(*unseen), lambda v: v.isNotNull())
-        mean = F.aggregate(left, F.lit(0.0), lambda a, v: a + v) / F.size(left)
-        return df.withColumn(out, F.when(F.size(left) > 0, mean)).drop(*[t.getPredictionCol() for t in trees])
+        trees = [t.get("state")["tree"] for t in model.stages[:-2]]
+        key, seed, least = F.col(self.get("keyCol")), self.get("seed"), float(bag_steps()[0])
+
+        @F.arrow_udf("double")
+        def judged(x: pa.Array, drawn: pa.Array) -> pa.Array:
+            if not len(x):
+                return pa.array([], pa.float64())
+            rows, numbers = list_matrix(x), drawn.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+            total, judges = np.zeros(len(rows)), np.zeros(len(rows))
+            for tree, number in zip(trees, numbers.T):
+                route, unseen = Routes(tree), number < least
+                total += np.where(unseen, route.value[route.leaves(rows)], 0.0)
+                judges += unseen
+            return pa.array(total / np.maximum(judges, 1), mask=judges == 0)
+
+        # a row without key weighs nothing in any tree
+        drawn = F.array(*[F.coalesce(bag_uniform(key, t, seed), F.lit(0.0)) for t in range(len(trees))])
+        return dataset.withColumn(out, judged(vector_to_array(F.col(self.getFeaturesCol())), drawn))
 
     def oob_score(self, model: PipelineModel, dataset: DataFrame) -> float:
         """R2 of the out-of-bag predictions."""

@@ -3,10 +3,14 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import DenseVector
+from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import functions as F
 
 from lathework.operators import growers, trees
 from lathework.operators.encode import assemble
 from lathework.operators.growers import RandomSplits, node_draws
+from lathework.operators.trees import BaggedTrees, poisson_weight
 
 
 def recursion(x, y, tree, tries, min_split, min_leaf, depth, seed, name=1):
@@ -97,3 +101,53 @@ def test_labels_without_spread(spark):
     assert {r["prediction"] for r in trees.ExtraTrees(n_estimators=2).fit(data).transform(data).collect()} == {3.5}
     with pytest.raises(ValueError, match="no rows"):
         trees.ExtraTrees(n_estimators=2).fit(data.limit(0))
+
+
+def bag_rows(spark, n=1500):
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.normal(size=n), rng.integers(0, 6, n), np.abs(rng.normal(size=n)).round(2), rng.integers(0, 2, n)])
+    y = 1e4 + 3 * x[:, 0] + x[:, 1] ** 2 - 4 * (x[:, 2] > 0.7) * x[:, 3] + rng.normal(size=n)
+    rows = [(int(i), DenseVector(v), float(t)) for i, (v, t) in enumerate(zip(x, y))]
+    return spark.createDataFrame(rows, ["id", "features", "label"]).repartition(3)
+
+
+@pytest.mark.parametrize("depth, least, bins", [(1, 1, 64), (4, 1, 16), (5, 20, 32)])
+def test_bagged_trees_are_the_built_in_ones(spark, depth, least, bins):
+    data = bag_rows(spark).cache()
+    model = BaggedTrees(n_estimators=2, max_depth=depth, min_rows=least, maxBins=bins, keyCol="id").fit(data)
+    for t, tree in enumerate(model.stages[:-2]):
+        weighed = data.withColumn("w", poisson_weight(F.col("id"), t)).filter("w > 0")
+        built_in = DecisionTreeRegressor(maxDepth=depth, minInstancesPerNode=least, maxBins=bins, weightCol="w").fit(weighed)
+        both = built_in.transform(tree.transform(data))
+        assert both.filter(F.abs(F.col("prediction") - F.col(tree.getPredictionCol())) > 1e-6).count() == 0
+
+
+def test_bagged_trees_share_their_scans(spark):
+    data, jobs = bag_rows(spark, 300).cache(), {}
+    data.count()
+    for trees in (2, 7):
+        spark.sparkContext.setJobGroup(f"bag-{trees}", "")
+        BaggedTrees(n_estimators=trees, max_depth=2, keyCol="id").fit(data)
+        jobs[trees] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"bag-{trees}"))
+    spark.sparkContext.setJobGroup("other", "")
+    assert jobs[7] <= jobs[2] + 2
+
+
+def test_out_of_bag_by_hand(spark):
+    data = bag_rows(spark, 400).withColumn("id", F.expr("nullif(id, 7)")).cache()
+    stage = BaggedTrees(n_estimators=3, max_depth=3, max_features=0.5, keyCol="id")
+    model = stage.fit(data)
+    trees = model.stages[:-2]
+    rows = stage.oob_predictions(model, data)
+    for i, tree in enumerate(trees):
+        rows = tree.transform(rows).withColumn(f"w{i}", poisson_weight(F.col("id"), i))
+    seen = rows.collect()
+    for r in seen:
+        own = [r[tree.getPredictionCol()] for i, tree in enumerate(trees) if r[f"w{i}"] == 0]
+        assert r["oob_prediction"] == (pytest.approx(np.mean(own)) if own else None)
+    assert {r["oob_prediction"] is None for r in seen} == {True, False} and [r["w0"] for r in seen if r["id"] is None] == [0.0]
+
+
+def test_bagged_trees_refuse_missing_labels(spark):
+    with pytest.raises(Exception, match="label"):
+        BaggedTrees(n_estimators=2, keyCol="id").fit(bag_rows(spark, 50).withColumn("label", F.expr("nullif(label, label)")))
