@@ -299,8 +299,8 @@ def city_hits(x: np.ndarray, y: np.ndarray, limit: np.ndarray):
             for g in groups:
                 part = np.minimum(b[g], a[i, g], out=lesser[:g.stop - g.start])
                 sums += np.add.reduce(part, axis=0, out=total)
-        other = np.flatnonzero(sums >= np.uint16(least[i])) if one and least[i] > 0 else np.flatnonzero(sums >= least[i])
-        if len(other):
+        if sums.max() >= least[i]:
+            other = (sums >= (np.uint16(max(least[i], 0)) if one else least[i])).nonzero()[0]
             yield np.full(len(other), i), other
 
 
@@ -518,14 +518,15 @@ class KNNModel(FittedRegressor):
                     few = min(end, len(pieces))
                     near = np.argpartition(low, few - 1, axis=1)[:, :few]
                     near = np.take_along_axis(near, np.argsort(np.take_along_axis(low, near, axis=1), axis=1, kind="stable"), axis=1)
-                    for place in range(begin, min(end, near.shape[1])):
-                        at = near[:, place]
-                        asked = low[np.arange(len(at)), at] <= best.limit
-                        count.add(int(asked.sum()))
-                        for i in np.unique(at[asked]):
-                            rows = np.flatnonzero(asked & (at == i))
-                            done[rows, i] = True
-                            best.meet(rows, pieces[i][0], pieces[i][1])
+                    near = near[:, begin:end]
+                    row, place = np.nonzero(np.take_along_axis(low, near, axis=1) <= best.limit[:, None])
+                    at = near[row, place]
+                    count.add(len(at))
+                    done[row, at] = True
+                    order = np.argsort(at, kind="stable")
+                    row, at = row[order], at[order]
+                    for i, rows in zip(np.unique(at), np.split(row, np.flatnonzero(np.diff(at)) + 1)):
+                        best.meet(rows, pieces[i][0], pieces[i][1])
                     continue
                 sections: dict = {}
                 for i, piece in enumerate(pieces):
