@@ -13,6 +13,7 @@ lower bound of the distances finds the few rows whose exact distance is worked o
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ VISITS = (1, 5)  # cells that a row has visited after the first and the second r
 FEW_CELLS = 64  # up to so many, further rounds cost more than they save, and there is one
 EVERY = 1 << 30
 BLOB_ROWS, BLOB_BYTES = 4096, 4 << 20  # of a block at most, however large ``blockRows`` is
+PAIRS = 8  # of blocks that go to a Python worker at once
 PART_BYTES = 64 << 20  # of the training rows that a task holds at once
 REACH_CELLS = 1 << 20  # numbers in a matrix of query rows and cells
 QUERY_BLOCK = 512  # query rows that are compared at once
@@ -108,6 +110,18 @@ def table_of(batches):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+@contextmanager
+def batches_of(spark, rows: int):
+    """Jobs that start inside hand at most so many table rows to a Python worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def column(table: pa.Table, name: str) -> pa.Array:
     found = table.column(name).combine_chunks()
     return found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
@@ -274,8 +288,9 @@ def city_hits(x: np.ndarray, y: np.ndarray, limit: np.ndarray):
     finite = limit[np.isfinite(limit) & (limit > 0)]
     step = (np.median(finite) if len(finite) else 1.0) * 10 / (top * width)
     if not (step > 1e-290 and step < 1e290):
-        row, other = np.divmod(np.arange(len(x) * len(y)), len(y))
-        yield row, other
+        for i in range(0, len(x), QUERY_BLOCK):
+            row, other = np.divmod(np.arange(len(x[i:i + QUERY_BLOCK]) * len(y)), len(y))
+            yield row + i, other
         return
     low = y.mean(axis=0, dtype=float) - step * (top // 2)
     steps = lambda v: np.clip(np.floor((v - low) / step), 0, top).astype(np.uint16)
@@ -362,7 +377,7 @@ class Best:
         self.x, self.k, self.p, self.rank = x, k, p, np.append(rank, np.iinfo(np.int64).max)
         self.bound = bound * (1 + 1e-9) + 1e-12  # from the ranges of the cells, so not exact
         self.distance, self.ref = np.full((len(x), k), np.inf), np.full((len(x), k), -1)
-        self.limit = self.bound.copy()
+        self.limit, self.begun = self.bound.copy(), np.zeros(len(x), dtype=bool)
 
     def offer(self, row: np.ndarray, ref: np.ndarray, distance: np.ndarray) -> None:
         new = ~(self.ref[row] == ref[:, None]).any(axis=1)  # a row may be met twice
@@ -381,21 +396,21 @@ class Best:
 
     def meet(self, rows: np.ndarray, y: np.ndarray, ref: int) -> None:
         """Let the rows meet ``y``, whose rows have the numbers from ``ref`` on."""
-        unknown = ~np.isfinite(self.limit[rows])
+        # Rows that have not met k others yet get a limit of their own first; a bound from the cells alone is loose.
+        unknown = ~np.isfinite(self.limit[rows]) | ~(self.begun[rows] | np.isfinite(self.distance[rows, -1]))
         if unknown.any():
             near = rows[unknown]
-            for i in range(0, len(near), 512):
-                part = near[i:i + 512]
+            self.begun[near] = True
+            for i in range(0, len(near), QUERY_BLOCK):
+                part = near[i:i + QUERY_BLOCK]
                 d = distances(self.x[part], y[:FIRST].astype(float, copy=False), self.p)
-                row, other = np.nonzero(np.isfinite(d))
+                row, other = np.nonzero(np.isfinite(d) & (d <= self.limit[part, None]))
                 self.offer(part[row], ref + other, d[row, other])
             if len(y) > FIRST:
                 self.meet(near, y[FIRST:], ref + FIRST)
             rows = rows[~unknown]
         if len(rows):
-            found = [v for v in hits(self.x[rows], y, self.limit[rows], self.p) if len(v[0])]
-            if found:
-                row, other, d = (np.concatenate(v) for v in zip(*found))
+            for row, other, d in hits(self.x[rows], y, self.limit[rows], self.p):
                 self.offer(rows[row], ref + other, d)
 
 
@@ -616,7 +631,8 @@ class KNNModel(FittedRegressor):
         pairs = blocks.join(trained.hint("shuffle_replicate_nl"), F.arrays_overlap("needed", "cells")).drop("needed")
         found = pairs.mapInArrow(meet, f"id {key_type}, neighbor {own_type}, distance double, y double")
         order = W.partitionBy("id").orderBy("distance", "neighbor")
-        best = settle(found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k), "best")
+        with batches_of(spark, PAIRS):
+            best = settle(found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k), "best")
         self.visits = [v.value for v in seen]
         return best
 
